@@ -58,8 +58,8 @@ def epoch_to_date_text(c: Column, pattern: str = "yyyy-MM-dd") -> Column:
 
 
 def date_from_file_name(path: Column) -> Column:
-    """``name_2025-05-02.parquet`` -> 2025-05-02, else null."""
-    return F.regexp_extract(path, r"_(\d{4}-\d{2}-\d{2})\.[^./]+$", 1).try_cast("date")
+    """``name_2025-05-02.parquet`` -> 2025-05-02, also for a part file below it; else null."""
+    return F.regexp_extract(path, r"_(\d{4}-\d{2}-\d{2})\.[^./]+(?:/[^/]*)?$", 1).try_cast("date")
 
 
 def run_date(value: str | dt.date | None = None) -> Column:

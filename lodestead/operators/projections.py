@@ -151,7 +151,7 @@ def tag_columns(df: DataFrame, properties: str, tags: Sequence[tuple[str, str]])
 
     ``tags`` pairs the JSON key with the column name.
     """
-    schema = StructType.fromDDL(", ".join(f"`{key}` string" for key, _ in tags))
+    schema = ", ".join(f"`{key}` string" for key, _ in tags)
     parsed = df.withColumn("_tags", F.from_json(F.col(properties).cast("string"), schema))
     kept = [c for c in df.columns if c != properties]
     return parsed.select(*kept, *[F.col("_tags")[key].alias(name) for key, name in tags])

@@ -22,14 +22,20 @@ def one_per_batch_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str
     """One row per key of the batch, the last in ``order``; rows with a null key all stay.
 
     The rank is taken in every map task before the shuffle, so a hot key sends
-    one row per task.
+    one row per task.  A row without a key is a group of its own, which also
+    spreads such rows over all tasks.
     """
-    has_key = F.lit(True)
+    no_key = F.lit(False)
     for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
-    ranked = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    keyed = batch.filter(has_key).withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
-    return keyed.unionByName(batch.filter(~has_key))
+        no_key = no_key | F.col(k).isNull()
+    own = F.when(no_key, F.monotonically_increasing_id())
+    ranked = Window.partitionBy(*keys, "_own").orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return (
+        batch.withColumn("_own", own)
+        .withColumn("_rank", F.row_number().over(ranked))
+        .filter("_rank = 1")
+        .drop("_rank", "_own")
+    )
 
 
 def keyed_append(

@@ -1,13 +1,13 @@
-"""Declared schemas and column lists."""
+"""Declared schemas, as DDL text, and column lists."""
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 # Shape of one search result.
-LISTING_ITEM_DDL = """
+LISTING_ITEM = """
   id string, title string, slug string, estate string, transaction string,
   developmentId string, developmentTitle string, developmentUrl string,
   location struct<address:struct<city:struct<name:string>,province:struct<name:string>,street:string>,
@@ -22,10 +22,9 @@ LISTING_ITEM_DDL = """
   shortDescription string, totalPossibleImages string,
   images array<struct<large:string>>
 """
-LISTING_ITEM = StructType.fromDDL(LISTING_ITEM_DDL)
 
 # One document per district: location path -> its search results.
-DISTRICT_DOCUMENT = MapType(StringType(), ArrayType(LISTING_ITEM))
+DISTRICT_DOCUMENT = f"map<string,array<struct<{LISTING_ITEM}>>>"
 
 
 class StagingColumn(NamedTuple):
@@ -113,18 +112,16 @@ _AD_DDL = """
   adTrackingData:struct<ad_price:string,business:string,city_name:string,poster_type:string,
     region_name:string,seller_id:string>
 """
-PROPS = StructType.fromDDL(f"pageProps struct<ad:struct<{_AD_DDL}>>")
-PAGE = StructType.fromDDL(f"props struct<pageProps:struct<ad:struct<{_AD_DDL}>>>")
+PROPS = f"pageProps struct<ad:struct<{_AD_DDL}>>"
+PAGE = f"props struct<pageProps:struct<ad:struct<{_AD_DDL}>>>"
 
 # One municipality of the location tree.
 _LOCATION_DDL = "id:string,name:string,detailedLevel:string,parentIds:array<string>"
-LOCATION_TREE = StructType.fromDDL(
+LOCATION_TREE = (
     "data struct<locationTree:struct<locationTreeObjects:array<struct<"
     f"{_LOCATION_DDL},sublocations:array<struct<{_LOCATION_DDL}>>>>>>"
 )
-CATALOG = StructType.fromDDL(
-    "district string, municipality string, id string, name string, detailedLevel string, parentIds string"
-)
+CATALOG = "district string, municipality string, id string, name string, detailedLevel string, parentIds string"
 
 # Attributes of an administrative area, in table order.
 BOUNDARY_ATTRIBUTES = (
@@ -140,12 +137,12 @@ BOUNDARY_ATTRIBUTES = (
     ("area_ha", "double"),
     ("perimetro_km", "double"),
 )
-BOUNDARY_FEATURE = StructType.fromDDL(
+BOUNDARY_FEATURE = (
     "properties struct<" + ",".join(f"{n}:{t}" for n, t in BOUNDARY_ATTRIBUTES) + ">, geometry string"
 )
 
 # Unknown fields of a point-of-interest line are ignored by naming only these.
-POI_FEATURE = StructType.fromDDL("geometry string, properties string, id string")
+POI_FEATURE = "geometry string, properties string, id string"
 
 
 def without_field(data_type: DataType, name: str) -> DataType:

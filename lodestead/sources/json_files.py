@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from lodestead import schemas
 from lodestead.functions.json_text import is_json
 
 
 def read_documents(
-    spark: SparkSession, path: str, document: DataType = schemas.DISTRICT_DOCUMENT, whole_file: bool = True,
+    spark: SparkSession, path: str, document: str = schemas.DISTRICT_DOCUMENT, whole_file: bool = True,
     key: str = "location_id", on_bad: str = "fail",
 ) -> DataFrame:
     """Documents ``{key: [item, ...]}`` to one row per item.
@@ -40,7 +39,7 @@ def read_documents(
 
 
 def bad_documents(
-    spark: SparkSession, path: str, document: DataType = schemas.DISTRICT_DOCUMENT, whole_file: bool = True
+    spark: SparkSession, path: str, document: str = schemas.DISTRICT_DOCUMENT, whole_file: bool = True
 ) -> DataFrame:
     docs = spark.read.option("wholetext", whole_file).text(path)
     return docs.select(F.col("_metadata.file_path").alias("path"), "value").filter(
