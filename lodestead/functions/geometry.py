@@ -68,7 +68,7 @@ def rings_segments(rings: Column) -> Column:
     return F.transform(
         pairs,
         lambda s: F.struct(
-            s["0"]["x"].alias("x1"), s["0"]["y"].alias("y1"), s["1"]["x"].alias("x2"), s["1"]["y"].alias("y2")
+            s["a"]["x"].alias("x1"), s["a"]["y"].alias("y1"), s["b"]["x"].alias("x2"), s["b"]["y"].alias("y2")
         ),
     )
 

@@ -24,9 +24,20 @@ def repair_surrogates(raw_json: Column, replacement: str = r"�") -> Column:
     return F.regexp_replace(F.regexp_replace(raw_json, _LONE_HIGH, escaped), _LONE_LOW, escaped)
 
 
+# Closes the list that is_json puts around a text; not expected in data.
+_END = "\\u0001end\\u0001"
+
+
 def is_json(c: Column) -> Column:
-    """Does the text hold one complete JSON value."""
-    return F.try_parse_json(c).isNotNull()
+    """Does the text hold exactly one JSON value and nothing after it.
+
+    The JSON reader stops at the end of the first value and ignores the rest.
+    Inside a list with a closing mark the mark is only found in its place when
+    the text is one whole value.
+    """
+    listed = F.from_json(F.concat(F.lit("["), c, F.lit(f',"{_END}"]')), "array<string>")
+    whole = (F.size(listed) == 2) & (F.get(listed, F.lit(1)) == "\u0001end\u0001")
+    return F.coalesce(whole, F.lit(False))
 
 
 def variant_text(v: Column) -> Column:

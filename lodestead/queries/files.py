@@ -200,8 +200,8 @@ def page_embedded_json(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.struct(F.struct(F.col("page_id").alias("id")).alias("ad")).alias("pageProps")).alias("props"),
     ))
     data = F.when(F.contains("html", F.lit('lang="fr"')), F.concat(data, F.lit("]"))).otherwise(data)
-    script = F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), data, F.lit("</script></body>"))
-    pages = table(spark, sf, "pages").withColumn("html", F.replace("html", F.lit("</body>"), script))
+    script = F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), data, F.lit("</script>"))
+    pages = table(spark, sf, "pages").withColumn("html", F.concat("html", script))
     found = page_source.embedded_json(pages, run_date="2024-05-02")
     return found.select(
         F.get_json_object("page", "$.props.pageProps.ad.id").cast("bigint").alias("ad_id"),
@@ -210,23 +210,22 @@ def page_embedded_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _NODES = r"""
-    SELECT page_id, list_transform(
-        list_filter(
-            string_split(regexp_replace(html,
-                '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<![^>]*>|<[^>]*>', chr(1), 'g'), chr(1)),
-            n -> n <> ''),
-        n -> replace(replace(replace(replace(n, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&')
-    ) AS nodes FROM pages
+    SELECT page_id, [replace(replace(replace(replace(n, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&')
+        for n in string_split(regexp_replace(html,
+            '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<![^>]*>|<[^>]*>', chr(1), 'g'), chr(1))
+        if n <> ''] AS nodes
+    FROM pages
 """
 
 
 @query(rf"""
     WITH t AS ({_NODES})
     SELECT page_id,
-           regexp_replace(replace(list_aggregate(list_transform(nodes, n -> CASE WHEN trim(n, chr(10) || chr(9) || ' ') <> '' THEN n
-               WHEN contains(n, chr(10)) THEN chr(10) ELSE ' ' END), 'string_agg', ' '), chr(10), ' '), '^\s+|\s+$', '', 'g') AS line,
-           list_aggregate(list_filter(list_transform(nodes, n -> regexp_replace(n, '^\s+|\s+$', '', 'g')), n -> n <> ''),
-               'string_agg', chr(10)) AS lines
+           regexp_replace(replace(array_to_string([
+               CASE WHEN regexp_matches(n, '\S') THEN n WHEN contains(n, chr(10)) THEN chr(10) ELSE ' ' END
+               for n in nodes], ' '), chr(10), ' '), '^\s+|\s+$', '', 'g') AS line,
+           array_to_string([regexp_replace(n, '^\s+|\s+$', '', 'g') for n in nodes if regexp_matches(n, '\S')],
+               chr(10)) AS lines
     FROM t
 """)
 def page_text(spark: SparkSession, sf: str) -> DataFrame:

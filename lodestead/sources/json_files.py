@@ -23,7 +23,7 @@ def read_documents(
     can be looked up with :func:`bad_documents`.
     """
     docs = spark.read.option("wholetext", whole_file).text(path)
-    parsed = docs.select(F.col("value"), F.from_json("value", document).alias("doc"))
+    parsed = docs.select(F.when(is_json(F.col("value")), F.from_json("value", document)).alias("doc"))
     if on_bad == "fail":
         checked = F.when(F.col("doc").isNotNull(), F.col("doc")).otherwise(
             F.raise_error(F.lit("a document is not valid JSON")).cast(document)
@@ -43,7 +43,7 @@ def bad_documents(
 ) -> DataFrame:
     docs = spark.read.option("wholetext", whole_file).text(path)
     return docs.select(F.col("_metadata.file_path").alias("path"), "value").filter(
-        F.from_json("value", document).isNull()
+        ~is_json(F.col("value")) | F.from_json("value", document).isNull()
     )
 
 
