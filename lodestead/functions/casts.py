@@ -11,32 +11,39 @@ from pyspark.sql import functions as F
 
 from lodestead.functions.text import strip
 
-# Plain decimal notation only: a bare try_cast would also take forms such as 1d.
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_WHOLE = r"^[+-]?\d+$"
+# Characters of plain decimal notation.  A bare try_cast would also take 1d, 0x1p3 or Infinity.
+_NUMBER_CHARACTERS = "0123456789.+-eE"
+_WHOLE_CHARACTERS = "0123456789+-"
 _BIGINT_LIMIT = 9.2e18
 
 
+def _only(text: Column, characters: str) -> Column:
+    return F.translate(text, characters, "") == ""
+
+
 def to_text(c: Column) -> Column:
     return c.cast("string")
 
 
 def to_double(c: Column) -> Column:
     text = strip(c.cast("string"))
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(_only(text, _NUMBER_CHARACTERS), text.try_cast("double"))
 
 
 def to_long(c: Column) -> Column:
     """Whole numbers, also written as 12.0; fractions become null."""
-    number = to_double(c)
+    text = strip(c.cast("string"))
+    number = text.try_cast("double")
     whole = (number == F.floor(number)) & (F.abs(number) < _BIGINT_LIMIT)
-    return F.coalesce(strip(c.cast("string")).try_cast("bigint"), F.when(whole, number.try_cast("bigint")))
+    return F.when(_only(text, _WHOLE_CHARACTERS), text.try_cast("bigint")).when(
+        _only(text, _NUMBER_CHARACTERS) & whole, number.try_cast("bigint")
+    )
 
 
 def to_whole_text_number(c: Column) -> Column:
     """Only digits with an optional sign; 2.0 is rejected."""
     text = strip(c.cast("string"))
-    return F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
+    return F.when(_only(text, _WHOLE_CHARACTERS), text.try_cast("bigint"))
 
 
 def to_boolean(c: Column) -> Column:
@@ -77,12 +84,28 @@ CASTS = {
 }
 
 
+# Source types that need no text on the way to the target type.
+_DIRECT = {
+    ("int", "long"), ("bigint", "long"), ("int", "double"), ("bigint", "double"), ("float", "double"),
+    ("double", "double"), ("boolean", "boolean"), ("date", "date"), ("timestamp", "timestamp"),
+}
+_SPARK_NAMES = {"long": "bigint"}
+
+
+def convert(c: Column, source: str, target: str) -> Column:
+    """Cast from a known source type; only other sources are parsed as text."""
+    if (source, target) in _DIRECT:
+        return c.cast(_SPARK_NAMES.get(target, target))
+    return CASTS[target](c)
+
+
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Convert the listed columns; unknown columns are reported and skipped."""
     missing = [c for c in types if c not in df.columns]
     if missing:
         warnings.warn(f"columns to convert not found: {missing}", stacklevel=2)
-    return df.withColumns({c: CASTS[t](F.col(c)) for c, t in types.items() if c not in missing})
+    sources = dict(df.dtypes)
+    return df.withColumns({c: convert(F.col(c), sources[c], t) for c, t in types.items() if c not in missing})
 
 
 def lossy_cast_counts(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -21,7 +21,10 @@ def repair_surrogates(raw_json: Column, replacement: str = r"�") -> Column:
     """
     # In a replacement text a literal backslash needs another one.
     escaped = "$1" + replacement.replace("\\", "\\\\")
-    return F.regexp_replace(F.regexp_replace(raw_json, _LONE_HIGH, escaped), _LONE_LOW, escaped)
+    repaired = F.regexp_replace(F.regexp_replace(raw_json, _LONE_HIGH, escaped), _LONE_LOW, escaped)
+    # Few texts hold any such escape; a plain search spares the others the patterns.
+    suspect = F.contains(raw_json, F.lit(r"\ud")) | F.contains(raw_json, F.lit(r"\uD"))
+    return F.when(suspect, repaired).otherwise(raw_json)
 
 
 # Closes the list that is_json puts around a text; not expected in data.
@@ -42,12 +45,9 @@ def is_json(c: Column) -> Column:
 
 def variant_text(v: Column) -> Column:
     """Text of one open value: text as is, objects as JSON, null as empty, True/False."""
-    return (
-        F.when(v.isNull() | F.is_variant_null(v), F.lit(""))
-        .when(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.to_json(v))
-        .when(F.schema_of_variant(v) == "BOOLEAN", F.initcap(F.to_json(v)))
-        .otherwise(F.try_variant_get(v, "$", "string"))
-    )
+    text = F.try_variant_get(v, "$", "string")
+    flag = text.isin("true", "false") & (F.schema_of_variant(v) == "BOOLEAN")
+    return F.coalesce(F.when(flag, F.initcap(text)).otherwise(text), F.lit(""))
 
 
 def variant_list_text(v: Column) -> Column:

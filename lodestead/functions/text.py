@@ -8,13 +8,16 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# All Unicode whitespace at either end; F.trim only removes spaces.
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
-_ONLY_SPACE = r"(?U)^\s*$"
+# The characters that count as whitespace at the ends of a text.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    """Without whitespace at either end; a bare trim would only remove spaces."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def normalise(c: Column) -> Column:
@@ -23,7 +26,7 @@ def normalise(c: Column) -> Column:
 
 
 def blank_to_null(c: Column) -> Column:
-    return F.when(~c.rlike(_ONLY_SPACE), c)
+    return F.when(strip(c) != "", c)
 
 
 def clean_category(c: Column) -> Column:

@@ -21,19 +21,25 @@ from lodestead.functions.text import (
 _NO_TEXTS = "array<string>"
 
 
-def entries(characteristics: Column, key: str) -> Column:
-    return F.filter(characteristics, lambda c: c["key"] == key)
-
-
 def last_entry(characteristics: Column, key: str, value: str) -> Column:
     """Field of the last entry with this key, null when there is none."""
-    return F.try_element_at(entries(characteristics, key), F.lit(-1))[value]
+    from_end = F.array_position(F.reverse(characteristics["key"]), key)
+    at = F.size(characteristics) - from_end.cast("int")
+    return F.when(from_end > 0, F.get(characteristics[value], at))
 
 
 def last_parsed(characteristics: Column, key: str, parse, value: str = "value") -> Column:
-    """Last value of this key that parses; later values that do not are passed over."""
-    parsed = F.transform(entries(characteristics, key), lambda c: parse(c[value]))
-    return F.try_element_at(F.filter(parsed, lambda v: v.isNotNull()), F.lit(-1))
+    """Last value of this key that parses; later values that do not are passed over.
+
+    Nearly always the last entry parses, so the list is only searched further
+    when it does not.
+    """
+    own = F.filter(characteristics, lambda c: c["key"] == key)
+    parsed = F.filter(F.transform(own, lambda c: parse(c[value])), lambda v: v.isNotNull())
+    return F.coalesce(
+        parse(last_entry(characteristics, key, value)),
+        F.when(F.array_contains(characteristics["key"], key), F.try_element_at(parsed, F.lit(-1))),
+    )
 
 
 def large_image_urls(images: Column) -> Column:
@@ -167,7 +173,8 @@ AREA_UNIT = "m²"
 def flat_rows(df: DataFrame, line: str = "value") -> DataFrame:
     """Raw page lines to the 69-column flat row; lines without an ad are left out."""
     parsed = F.from_json(repair_surrogates(F.col(line), "?"), schemas.PAGE)
-    ads = df.select(parsed["props"]["pageProps"]["ad"].alias("ad")).filter("ad is not null")
+    # A filter would be moved below the projection and parse every line again.
+    ads = df.select(F.explode(F.array_compact(F.array(parsed["props"]["pageProps"]["ad"]))).alias("ad"))
     ad = F.col("ad")
     chars, target, place = ad["characteristics"], ad["target"], ad["location"]
     parish = F.get(

@@ -83,7 +83,7 @@ def multi_hot(df: DataFrame, pairs: str, vocabulary: Mapping[str, Sequence[str]]
 
 def features_long(df: DataFrame, key: str, pairs: str) -> DataFrame:
     """Distinct (key, feature column) rows for vocabularies too wide for columns."""
-    exploded = df.select(key, F.explode(pairs).alias("pair"))
+    exploded = df.select(key, F.explode(pairs).alias("pair")).distinct()
     parts = F.split("pair", _BETWEEN, 2)
     names = exploded.select("pair").distinct().select(
         "pair",

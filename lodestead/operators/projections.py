@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from lodestead import schemas
-from lodestead.functions.casts import CASTS, run_date as run_date_column
+from lodestead.functions.casts import convert, run_date as run_date_column
 from lodestead.functions.text import path_part
 
 
@@ -38,14 +38,14 @@ def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.drop(*columns)
 
 
-def field(schema: StructType, path: str) -> Column:
-    """Nested field by path; null when the path or any value on it is missing."""
+def field(schema: StructType, path: str) -> tuple[Column, str]:
+    """Nested field by path with its type; null when the path or any value on it is missing."""
     here: DataType = schema
     for name in path.split("."):
         if not isinstance(here, StructType) or name not in here.names:
-            return F.lit(None)
+            return F.lit(None), "void"
         here = here[name].dataType
-    return F.col(path)
+    return F.col(path), here.simpleString()
 
 
 # --- listings --------------------------------------------------------------
@@ -61,7 +61,7 @@ def stage_listings(df: DataFrame, run_date: str | dt.date | None = None) -> Data
             return run_date_column(run_date)
         if not c.path:
             return F.lit(None).cast(c.type)
-        return CASTS[c.type](field(df.schema, c.path))
+        return convert(*field(df.schema, c.path), c.type)
 
     return df.select(*[target(c).alias(c.name) for c in schemas.STAGING_COLUMNS])
 

@@ -95,14 +95,16 @@ def exact_quantiles(
     brackets: dict[tuple[str, float], tuple[float | None, float | None]] = {k: (None, None) for k in wanted}
     below = {k: 0 for k in wanted}
     inside = {k: counts[k[0]] for k in wanted}
-    # The last round takes brackets as they are: one value may fill them.
     open_keys = list(wanted)
     while open_keys:
-        _narrow(df, open_keys, wanted, brackets, below, inside, accuracy)
-        sizes = _bracket_sizes(df, open_keys, brackets)
-        for k in open_keys:
-            below[k], inside[k], _ = sizes[k]
-        small = [k for k in open_keys if sizes[k][2] <= max_values]
+        large = [k for k in open_keys if inside[k] > max_values]
+        if large:
+            _narrow(df, large, wanted, brackets, below, inside, accuracy)
+            _measure(df, large, brackets, below, inside)
+        # Many rows may still be few values: one value can fill a bracket.
+        many = [k for k in open_keys if inside[k] > max_values]
+        values = _distinct_values(df, many, brackets) if many else {}
+        small = [k for k in open_keys if values.get(k, 0) <= max_values]
         if small:
             ranked = _values_at_ranks(df, small, wanted, brackets, below, max_values * 2 * len(small))
             for (c, p), (lo, hi) in ranked.items():
@@ -126,31 +128,40 @@ def _within(c: str, bracket: tuple[float | None, float | None]) -> Column:
 def _narrow(df, keys, wanted, brackets, below, inside, accuracy) -> None:
     """Replace each bracket by a narrower one that still holds the wanted ranks."""
     slack = 2.0 / accuracy
+    shared: dict = {}
+    for k in keys:
+        shared.setdefault((k[0], brackets[k]), []).append(k)
     asks = []
-    for i, k in enumerate(keys):
-        lo, hi = (r - below[k] for r in wanted[k])
-        share = [max(0.0, lo / inside[k] - slack), min(1.0, (hi + 2) / inside[k] + slack)]
-        value = F.when(_within(k[0], brackets[k]), F.col(k[0]).cast("double"))
-        asks.append(F.percentile_approx(value, share, accuracy).alias(f"q{i}"))
+    for i, ((c, bracket), members) in enumerate(shared.items()):
+        shares = []
+        for k in members:
+            lo, hi = (r - below[k] for r in wanted[k])
+            shares += [max(0.0, lo / inside[k] - slack), min(1.0, (hi + 2) / inside[k] + slack)]
+        value = F.when(_within(c, bracket), F.col(c).cast("double"))
+        asks.append(F.percentile_approx(value, shares, accuracy).alias(f"q{i}"))
     row = df.agg(*asks).first()
-    for i, k in enumerate(keys):
-        low, high = row[f"q{i}"]
-        brackets[k] = (low, high)
+    for i, members in enumerate(shared.values()):
+        for j, k in enumerate(members):
+            brackets[k] = (row[i][2 * j], row[i][2 * j + 1])
 
 
-def _bracket_sizes(df, keys, brackets) -> dict:
-    """Rows below, rows inside and about how many distinct values inside each bracket."""
+def _measure(df, keys, brackets, below, inside) -> None:
+    """Count the rows below and inside each bracket."""
     asks = []
     for i, k in enumerate(keys):
-        value = F.col(k[0]).cast("double")
-        hit = _within(k[0], brackets[k])
-        asks += [
-            F.count_if(value < F.lit(brackets[k][0])).alias(f"b{i}"),
-            F.count_if(hit).alias(f"i{i}"),
-            F.approx_count_distinct(F.when(hit, value)).alias(f"d{i}"),
-        ]
+        asks.append(F.count_if(F.col(k[0]).cast("double") < F.lit(brackets[k][0])).alias(f"b{i}"))
+        asks.append(F.count_if(_within(k[0], brackets[k])).alias(f"i{i}"))
     row = df.agg(*asks).first()
-    return {k: (row[f"b{i}"], row[f"i{i}"], row[f"d{i}"]) for i, k in enumerate(keys)}
+    for i, k in enumerate(keys):
+        below[k], inside[k] = row[f"b{i}"], row[f"i{i}"]
+
+
+def _distinct_values(df, keys, brackets) -> dict:
+    asks = [
+        F.approx_count_distinct(F.when(_within(k[0], brackets[k]), F.col(k[0]))).alias(f"d{i}")
+        for i, k in enumerate(keys)
+    ]
+    return dict(zip(keys, df.agg(*asks).first()))
 
 
 def _values_at_ranks(df, keys, wanted, brackets, below, limit) -> dict:

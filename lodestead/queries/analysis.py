@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestead.operators import features, quality
-from lodestead.queries.registry import query, table
+from lodestead.queries.registry import query, spread_table, table
 
 
 @query("""
@@ -98,7 +98,7 @@ def multi_hot(spark: SparkSession, sf: str) -> DataFrame:
         ),
     )
     text = F.when(F.col("event_type") == "view", '{"label": "x"}').otherwise(F.to_json(lists))
-    rows = table(spark, sf, "events").select("event_id", text.alias("json"))
+    rows = spread_table(spark, sf, "events", "event_id", "event_type", "value").select("event_id", text.alias("json"))
     paired = rows.withColumn("pairs", features.label_value_pairs("json"))
     return features.multi_hot(paired, "pairs", features.feature_vocabulary(paired, "pairs")).drop("json", "pairs")
 
@@ -109,5 +109,5 @@ def multi_hot(spark: SparkSession, sf: str) -> DataFrame:
 def multi_hot_long(spark: SparkSession, sf: str) -> DataFrame:
     """The long form, for vocabularies of any width."""
     k = F.array(F.struct(F.lit("k").alias("label"), F.array(F.get_json_object("props", "$.k")).alias("values")))
-    rows = table(spark, sf, "events").select("user_id", F.to_json(k).alias("json"))
+    rows = spread_table(spark, sf, "events", "user_id", "props").select("user_id", F.to_json(k).alias("json"))
     return features.features_long(rows.withColumn("pairs", features.label_value_pairs("json")), "user_id", "pairs")

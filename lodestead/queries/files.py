@@ -12,7 +12,7 @@ from lodestead.operators import keys
 from lodestead.operators.details import with_file_date
 from lodestead.operators.projections import concat_pages
 from lodestead.operators.quality import run_counters
-from lodestead.queries.registry import query, table
+from lodestead.queries.registry import query, spread_table, table
 from lodestead.session import scratch_path
 from lodestead.sources import geography, json_files, pages as page_source, sinks, snapshots
 
@@ -229,7 +229,7 @@ _NODES = r"""
     FROM t
 """)
 def page_text(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select(
+    return spread_table(spark, sf, "pages", "page_id", "html").select(
         "page_id", html_to_line(F.col("html")).alias("line"), html_to_lines(F.col("html")).alias("lines")
     )
 

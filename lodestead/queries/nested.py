@@ -12,7 +12,7 @@ from lodestead.functions.text import bedrooms_from_typology, clean_suffix
 from lodestead.operators import details, filters, projections
 from lodestead.plans.loads import one_per_batch_key
 from lodestead.operators.keys import new_rows as rows_not_in
-from lodestead.queries.registry import query, table
+from lodestead.queries.registry import query, spread_table, table
 
 
 def _j(value: Column, default: str | None = None) -> Column:
@@ -22,7 +22,7 @@ def _j(value: Column, default: str | None = None) -> Column:
 def order_listings(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with their customer and nation as raw search results, parsed from JSON text."""
     rows = (
-        table(spark, sf, "orders")
+        spread_table(spark, sf, "orders")
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
@@ -169,7 +169,7 @@ def part_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(price.cast("string").alias("ad_price"), F.lit("rent").alias("business")).alias("adTrackingData"),
     )
     props = F.to_json(F.struct(F.struct(ad.alias("ad")).alias("pageProps")))
-    return table(spark, sf, "part").select("p_partkey", props.alias("props"), F.lit("2024-05-02").alias("ingestionDate"))
+    return spread_table(spark, sf, "part").select("p_partkey", props.alias("props"), F.lit("2024-05-02").alias("ingestionDate"))
 
 
 @query("""
@@ -264,7 +264,7 @@ def kv_pivot_last_wins(spark: SparkSession, sf: str) -> DataFrame:
         entry("rooms_num", localized=F.when(F.col("l_returnflag") == "A", F.lit("Loft")).otherwise(
             F.concat(F.lit("T"), F.col("l_linenumber")))),
     )
-    lines = table(spark, sf, "lineitem").withColumn("chars", chars)
+    lines = spread_table(spark, sf, "lineitem").withColumn("chars", chars)
     c = F.col("chars")
     return lines.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",

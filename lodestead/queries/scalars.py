@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestead.functions import casts, text
 from lodestead.operators import features, filters
-from lodestead.queries.registry import query, table
+from lodestead.queries.registry import query, spread_table, table
 
 
 @query("""
@@ -49,7 +49,7 @@ def type_coercion(spark: SparkSession, sf: str) -> DataFrame:
     """Text columns with junk, cast by a column -> type table."""
     flag = F.col("l_returnflag")
     shipped = F.when(flag == "A", "31/12/99").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
-    rows = table(spark, sf, "lineitem").select(
+    rows = spread_table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         F.when(flag == "A", F.concat(F.lit(" "), F.col("l_extendedprice").cast("decimal(18,2)")))
         .when(flag == "N", F.concat(F.col("l_linenumber"), F.lit("e3"))).otherwise("1d").alias("amount"),
@@ -118,7 +118,9 @@ def text_flags(spark: SparkSession, sf: str) -> DataFrame:
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """)
 def date_features(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = spread_table(
+        spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
+    ).join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     floor = F.when(F.col("l_linenumber") == 1, "Rés do chão").otherwise(F.col("l_linenumber").cast("string"))
     return rows.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",

@@ -65,6 +65,16 @@ def read_snapshot(spark: SparkSession, path: str, schema: StructType | str | Non
     return reader.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work per row on an input of few files.
+
+    A file with one row group is one task, however many cores are idle.  An
+    input that already has a task per core is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_slugs(spark: SparkSession, path: str, column: str = "slug") -> DataFrame:
     """Distinct non-empty keys of a snapshot."""
     return distinct_values(require_columns(spark.read.parquet(path), [column]), column)
