@@ -87,7 +87,7 @@ def stage_details(
         property_type = F.lit(None).cast("string")
     date = casts.to_date(F.col(ingestion)) if ingestion in df.columns else F.lit(None).cast("date")
     columns: dict[str, Column] = {
-        "id": ad["id"],
+        "id": casts.to_long(ad["id"]),
         "title": ad["title"],
         "url": ad["url"],
         "description_text": text,

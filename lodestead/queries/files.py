@@ -210,7 +210,7 @@ def page_embedded_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _NODES = r"""
-    SELECT page_id, [replace(replace(replace(replace(n, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&')
+    SELECT page_id, [regexp_replace(replace(replace(replace(n, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;?', '&', 'g')
         for n in string_split(regexp_replace(html,
             '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<![^>]*>|<[^>]*>', chr(1), 'g'), chr(1))
         if n <> ''] AS nodes

@@ -85,9 +85,9 @@ def staging_schema() -> StructType:
     )
 
 
-# The part of a detail page that is read.
+# The part of a detail page that is read.  Ids are read as text, since some are written as 12.0.
 _AD_DDL = """
-  id:bigint, slug:string, url:string, title:string, advertiserType:string, advertType:string,
+  id:string, slug:string, url:string, title:string, advertiserType:string, advertType:string,
   status:string, createdAt:string, modifiedAt:string, pushedUpAt:string, description:string,
   category:struct<name:array<struct<value:string>>>,
   adCategory:struct<id:string,name:string,type:string>,
@@ -105,7 +105,7 @@ _AD_DDL = """
     reverseGeocoding:struct<locations:array<struct<fullName:string,fullNameItems:array<string>,id:string,
       locationLevel:string,name:string,parentIds:array<string>>>>>,
   contactDetails:struct<name:string,phones:array<string>>,
-  owner:struct<id:bigint,name:string,type:string,phones:array<string>>,
+  owner:struct<id:string,name:string,type:string,phones:array<string>>,
   seo:struct<title:string,description:string>,
   breadcrumbs:array<struct<label:string>>,
   additionalInformation:array<struct<label:string,values:array<string>>>,
