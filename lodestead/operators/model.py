@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,10 +65,10 @@ def fit_boosted_trees(
         bins = max(bins, int(widest * 1.2) + 2)
     _use_checkpoints(spark)
     indexed = [f"{c}_index" for c in categorical]
-    stages = []
+    stages = [_known_numbers(numeric)]
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[*numeric, *indexed], outputCol="features_vector", handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=[*[_KNOWN + c for c in numeric], *indexed], outputCol="features_vector"))
     trees = GBTRegressor(
         featuresCol="features_vector", labelCol=target, predictionCol="prediction", maxIter=max_iter,
         stepSize=step_size, maxDepth=max_depth, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=bins,
@@ -80,6 +80,16 @@ def fit_boosted_trees(
     return Pipeline(stages=stages).fit(train)
 
 
+# The trees take no missing numbers.  A value below all others lets a split set them apart.
+_KNOWN = "known_"
+_MISSING = -1e9
+
+
+def _known_numbers(numeric: Sequence[str]) -> SQLTransformer:
+    known = ", ".join(f"coalesce(nanvl(cast(`{c}` as double), null), {_MISSING}D) AS `{_KNOWN}{c}`" for c in numeric)
+    return SQLTransformer(statement=f"SELECT *, {known} FROM __THIS__")
+
+
 def _use_checkpoints(spark: SparkSession) -> None:
     """Boosting cuts its lineage every few rounds, in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
@@ -88,7 +98,7 @@ def _use_checkpoints(spark: SparkSession) -> None:
 
 def feature_importances(model: PipelineModel, n: int | None = 20) -> list[tuple[str, float]]:
     """The ``n`` most important features, by share of impurity gain."""
-    names = model.stages[-2].getInputCols()
+    names = [c.removeprefix(_KNOWN).removesuffix("_index") for c in model.stages[-2].getInputCols()]
     pairs = zip(names, model.stages[-1].featureImportances.toArray().tolist())
     return sorted(pairs, key=lambda p: (-p[1], p[0]))[:n]
 

@@ -14,7 +14,7 @@ from lodestead.operators.projections import require_columns, stage_listings
 from lodestead.operators.quality import counted
 from lodestead.sources.sinks import append_table
 from lodestead.sources.pages import embedded_json
-from lodestead.sources.snapshots import newest_snapshot, read_snapshot
+from lodestead.sources.snapshots import newest_snapshot, read_snapshot, read_table
 from lodestead.functions.casts import date_from_file_name
 
 
@@ -50,7 +50,7 @@ def keyed_append(
     spark = batch.sparkSession
     received, seen = counted(batch, "received", {})
     unique = one_per_batch_key(received, keys, order) if dedup else received
-    added, kept = counted(new_rows(unique, spark.table(table), keys, dates, date_column), "added", {})
+    added, kept = counted(new_rows(unique, read_table(spark, table), keys, dates, date_column), "added", {})
     append_table(added, table)
     return {"received": _first_count(seen), "appended": _first_count(kept)}
 
@@ -98,4 +98,4 @@ def detail_pages(pages: DataFrame, run_date: str | dt.date | None = None) -> Dat
 def already_loaded(spark: SparkSession, table: str, batch: DataFrame, keys: Sequence[str],
                    dates: Iterable[str] | None = None) -> DataFrame:
     """Keys of the batch that a load would skip."""
-    return existing_keys(spark.table(table), batch, keys, dates)
+    return existing_keys(read_table(spark, table), batch, keys, dates)

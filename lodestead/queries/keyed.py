@@ -13,6 +13,7 @@ from lodestead.plans.loads import keyed_append
 from lodestead.queries.registry import query, table
 from lodestead.session import scratch_path
 from lodestead.sources.sinks import create_table, laid_out, replace_table
+from lodestead.sources.snapshots import read_table
 from lodestead.streaming.ingest import append_arrivals, arriving_files, load_arrivals
 
 
@@ -117,7 +118,7 @@ def idempotent_load(spark: SparkSession, sf: str) -> DataFrame:
     create_table(spark, name, events.schema, path)
     for batch in (events.filter(_TARGET), events, events):
         keyed_append(batch, name, ["user_id", "ingestionDate"], ["ts", "event_id"])
-    return spark.table(name).select("user_id", F.col("day").cast("string").alias("day"), "event_id", "event_type")
+    return read_table(spark, name).select("user_id", F.col("day").cast("string").alias("day"), "event_id", "event_type")
 
 
 @query("""
@@ -131,7 +132,7 @@ def partitioned_refresh(spark: SparkSession, sf: str) -> DataFrame:
     rows = _user_days(spark, sf)
     for _ in range(2):
         replace_table(laid_out(rows, ["day"], ["user_id"], files_per_partition=2), name, path, ["day"])
-    return spark.table(name).groupBy(F.col("day").cast("string").alias("day")).agg(
+    return read_table(spark, name).groupBy(F.col("day").cast("string").alias("day")).agg(
         F.count("*").alias("events"), F.min("user_id").alias("first_user"), F.max("event_id").alias("last_event")
     )
 
@@ -180,4 +181,4 @@ def stream_keyed_load(spark: SparkSession, sf: str) -> DataFrame:
         arriving_files(spark, folder, schema, files_per_batch=4), project, name,
         ["user_id", "ingestionDate"], ["ts", "event_id"],
     ).awaitTermination()
-    return spark.table(name).select("user_id", F.col("ingestionDate").cast("string").alias("day"))
+    return read_table(spark, name).select("user_id", F.col("ingestionDate").cast("string").alias("day"))

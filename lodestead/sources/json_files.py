@@ -22,7 +22,7 @@ def read_documents(
     does not parse fails the job, or is left out with ``on_bad="skip"`` and
     can be looked up with :func:`bad_documents`.
     """
-    docs = spark.read.option("wholetext", whole_file).text(path)
+    docs = spark.read.text(path, wholetext=whole_file)
     parsed = docs.select(F.when(is_json(F.col("value")), F.from_json("value", document)).alias("doc"))
     if on_bad == "fail":
         checked = F.when(F.col("doc").isNotNull(), F.col("doc")).otherwise(
@@ -41,7 +41,7 @@ def read_documents(
 def bad_documents(
     spark: SparkSession, path: str, document: str = schemas.DISTRICT_DOCUMENT, whole_file: bool = True
 ) -> DataFrame:
-    docs = spark.read.option("wholetext", whole_file).text(path)
+    docs = spark.read.text(path, wholetext=whole_file)
     return docs.select(F.col("_metadata.file_path").alias("path"), "value").filter(
         ~is_json(F.col("value")) | F.from_json("value", document).isNull()
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from lodestead.operators.keys import hash_bucket
-from lodestead.sources.snapshots import snapshot_name
+from lodestead.sources.snapshots import read_table, snapshot_name
 
 
 def create_table(
@@ -50,7 +50,7 @@ def replace_table(df: DataFrame, name: str, path: str | None = None, partition_b
 
 
 def table_rows(spark: SparkSession, name: str) -> int:
-    return spark.table(name).count()
+    return read_table(spark, name).count()
 
 
 def write_snapshot(df: DataFrame, folder: str, source: str, day: str | dt.date, if_exists: str = "overwrite") -> str:

@@ -81,6 +81,8 @@ def read_slugs(spark: SparkSession, path: str, column: str = "slug") -> DataFram
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """The table as it is now: another session, such as a stream, may have added files."""
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
