@@ -28,7 +28,8 @@ from lodestead.functions.geometry import (
 )
 
 _FINEST = 20
-_SPLIT = 2  # levels per split: a cell becomes 4 x 4 cells
+_SPLIT = 3  # levels per split: a cell becomes 8 x 8 cells
+_FEW_CELLS = 9  # up to this level the globe has at most 132,000 cells
 
 
 def _places(df: DataFrame, lon: str, lat: str) -> DataFrame:
@@ -114,10 +115,10 @@ def _cell_table(points: DataFrame, levels: Sequence[int], sums: Sequence[str]) -
     )
 
 
-def _split_open(rows: DataFrame, cells: DataFrame, level_values: Sequence[int], sums: Sequence[str]) -> DataFrame:
+def _split_open(rows: DataFrame, points: DataFrame, levels: Sequence[int], sums: Sequence[str]) -> DataFrame:
     """Replace each open row by its non-empty sub-cells; other rows pass through."""
     side = 2**_SPLIT
-    subs = cells.filter(F.col("level").isin(list(level_values))).select(
+    subs = _cell_table(points, levels, sums).select(
         F.lit(True).alias("open"),
         (F.col("level") - _SPLIT).alias("level"),
         F.floor(F.col("x") / side).alias("x"),
@@ -125,10 +126,14 @@ def _split_open(rows: DataFrame, cells: DataFrame, level_values: Sequence[int],
         F.col("level").alias("s_level"), F.col("x").alias("s_x"), F.col("y").alias("s_y"),
         F.col("n").alias("s_n"), *[F.col(c).alias(f"s_{c}") for c in sums],
     )
-    joined = rows.join(subs, ["open", "level", "x", "y"], "left")
+    if max(levels) <= _FEW_CELLS:
+        # Bounded by the number of cells on the globe, however many points there are.
+        subs = F.broadcast(subs)
     replaced = ["level", "x", "y", "n", *sums]
     kept = [c for c in rows.columns if c not in replaced]
-    return joined.select(*kept, *[F.when(F.col("open"), F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) for c in replaced])
+    return rows.join(subs, ["open", "level", "x", "y"], "left").select(
+        *kept, *[F.when(F.col("open"), F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) for c in replaced]
+    )
 
 
 def _center_distance() -> tuple[Column, Column]:
@@ -142,7 +147,7 @@ def _center_distance() -> tuple[Column, Column]:
 
 def poi_counts(
     listings: DataFrame, pois: DataFrame, category: str, categories: Sequence[str], radii: Sequence[int],
-    lon: str = "lon", lat: str = "lat", leaf_points: int = 64, splits: int = 4,
+    lon: str = "lon", lat: str = "lat", leaf_points: int = 64, splits: int = 3,
 ) -> DataFrame:
     """Adds ``count_<category>_<radius>m`` for every category and radius.
 
@@ -163,27 +168,25 @@ def poi_counts(
     last = {r: min(first[r] + _SPLIT * splits, 30) for r in radii}
     per_radius = {r: list(range(first[r], last[r] + 1, _SPLIT)) for r in radii}
     levels = sorted({n for ns in per_radius.values() for n in ns})
-    cells = _cell_table(points, levels, sums)
 
     rows = _touched_cells(_places(listings, lon, lat), {r: (first[r], per_radius[r][-1]) for r in radii})
-    rows = rows.join(cells.filter(F.col("level").isin(list(first.values()))), ["level", "x", "y"])
-    rows = _classify_circle(rows.withColumn("open", F.lit(True)), leaf_points)
+    rows = rows.join(_cell_table(points, sorted(set(first.values())), sums), ["level", "x", "y"])
+    rows = _classify_circle(rows, leaf_points)
     for k in range(1, splits + 1):
         at = sorted({per_radius[r][k] for r in radii if k < len(per_radius[r])})
         if at:
-            rows = _classify_circle(_split_open(rows, cells, at, sums), leaf_points)
+            rows = _classify_circle(_split_open(rows, points, at, sums), leaf_points)
 
-    leaves = _leaf_points(points, cells, levels, {ns[-1] for ns in per_radius.values()}, leaf_points, sums)
+    leaves = _leaf_points(points, levels, {ns[-1] for ns in per_radius.values()}, leaf_points, sums)
     # Whole cells already have their counts and match no point.
     rows = rows.join(leaves.withColumn("whole", F.lit(False)), ["whole", "level", "x", "y"], "left")
-    near = haversine(F.col("lon"), F.col("lat"), F.col("p_lon"), F.col("p_lat")) <= F.col("radius")
-
-    def added(s: str) -> Column:
-        return F.when(F.col("whole"), F.col(s)).when(near, F.col(f"p_{s}")).otherwise(F.lit(0))
-
+    distance = haversine(F.col("lon"), F.col("lat"), F.col("p_lon"), F.col("p_lat"))
+    near = rows.select("*", (distance <= F.col("radius")).alias("_near"))
+    added = {s: F.when(F.col("whole"), F.col(s)).when(F.col("_near"), F.col(f"p_{s}")).otherwise(F.lit(0)) for s in sums}
+    per_circle = near.select("lon", "lat", "radius", *[c.alias(s) for s, c in added.items()])
     names = {(s, r): f"count_{c}_{r}m" for c, s in zip(categories, sums) for r in radii}
-    per_place = rows.groupBy("lon", "lat").agg(
-        *[F.sum(F.when(F.col("radius") == r, added(s))).alias(n) for (s, r), n in names.items()]
+    per_place = per_circle.groupBy("lon", "lat").agg(
+        *[F.sum(F.when(F.col("radius") == r, F.col(s))).alias(n) for (s, r), n in names.items()]
     )
     joined = _join_back(listings, per_place, lon, lat)
     known = F.col(lon).isNotNull() & F.col(lat).isNotNull()
@@ -231,21 +234,26 @@ def _touched_cells(places: DataFrame, radii: dict[int, tuple[int, int]]) -> Data
 
 def _classify_circle(rows: DataFrame, leaf_points: int) -> DataFrame:
     distance, reach = _center_distance()
-    measured = rows.withColumn("_d", distance).withColumn("_r", reach)
-    touched = measured.filter(F.col("_d") - F.col("_r") <= F.col("radius"))
+    cell = [c for c in rows.columns if c not in ("whole", "open")]
+    measured = rows.select(*cell, distance.alias("_d"), reach.alias("_r"))
     whole = F.col("_d") + F.col("_r") <= F.col("radius")
     crowded = (F.col("n") > leaf_points) & (F.col("level") < F.col("last"))
-    return touched.withColumn("whole", whole).withColumn("open", ~F.col("whole") & crowded).drop("_d", "_r")
+    return measured.filter(F.col("_d") - F.col("_r") <= F.col("radius")).select(
+        *cell, whole.alias("whole"), (~whole & crowded).alias("open")
+    )
 
 
-def _leaf_points(points, cells, levels, last_levels, leaf_points, sums) -> DataFrame:
+def _leaf_points(points, levels, last_levels, leaf_points, sums) -> DataFrame:
     """Points under each cell that can be compared point by point.
 
     Crowded cells above the last level are never compared, so their points are
     left out here: no cell key gathers a large share of the points.
     """
-    crowded = cells.filter((F.col("n") > leaf_points) & ~F.col("level").isin(sorted(last_levels)))
-    filed = _with_cells(points, levels).join(crowded.select("level", "x", "y"), ["level", "x", "y"], "left_anti")
+    above = [n for n in levels if n not in last_levels]
+    filed = _with_cells(points, levels)
+    if above:
+        crowded = _cell_table(points, above, []).filter(F.col("n") > leaf_points).select("level", "x", "y")
+        filed = filed.join(crowded, ["level", "x", "y"], "left_anti")
     return filed.select(
         "level", "x", "y", F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"),
         *[F.col(s).alias(f"p_{s}") for s in sums],
@@ -267,20 +275,20 @@ def nearest_distance(
     """
     targets = _places(points, lon, lat)
     levels = list(range(_SPLIT, finest + 1, _SPLIT))
-    cells = _cell_table(targets, levels, [])
-    start = levels[0]
+    first = levels[0]
+    every_x = F.sequence(F.lit(0).cast("bigint"), F.lit(2**first - 1).cast("bigint"))
+    every_y = F.sequence(F.lit(0).cast("bigint"), F.lit(2 ** (first - 1)).cast("bigint"))
     rows = (
         _places(listings, lon, lat)
-        .withColumn("x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2**start - 1).cast("bigint"))))
-        .withColumn("y", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2 ** (start - 1)).cast("bigint"))))
-        .withColumn("level", F.lit(start))
-        .join(cells.filter(F.col("level") == start), ["level", "x", "y"])
-        .withColumn("open", F.lit(True))
+        .select("lon", "lat", F.lit(first).alias("level"), F.explode(every_x).alias("x"))
+        .select("*", F.explode(every_y).alias("y"))
+        # At most 40 cells, by construction.
+        .join(F.broadcast(_cell_table(targets, [first], [])), ["level", "x", "y"])
     )
     rows = _keep_candidates(rows, leaf_points, levels[-1])
     for level in levels[1:]:
-        rows = _keep_candidates(_split_open(rows, cells, [level], []), leaf_points, levels[-1])
-    leaves = _leaf_points(targets, cells, levels, {levels[-1]}, leaf_points, [])
+        rows = _keep_candidates(_split_open(rows, targets, [level], []), leaf_points, levels[-1])
+    leaves = _leaf_points(targets, levels, {levels[-1]}, leaf_points, [])
     distance = haversine(F.col("lon"), F.col("lat"), F.col("p_lon"), F.col("p_lat"))
     per_place = rows.join(leaves, ["level", "x", "y"]).groupBy("lon", "lat").agg(F.min(distance).alias(name))
     return _join_back(listings, per_place, lon, lat)
@@ -288,13 +296,9 @@ def nearest_distance(
 
 def _keep_candidates(rows: DataFrame, leaf_points: int, last: int) -> DataFrame:
     distance, reach = _center_distance()
+    cell = [c for c in rows.columns if c != "open"]
     # A place has few candidate cells left, so its window stays small.
     best = F.min(F.col("_d") + F.col("_r")).over(Window.partitionBy("lon", "lat"))
-    return (
-        rows.withColumn("_d", distance)
-        .withColumn("_r", reach)
-        .withColumn("_best", best)
-        .filter(F.col("_d") - F.col("_r") <= F.col("_best"))
-        .withColumn("open", (F.col("n") > leaf_points) & (F.col("level") < last))
-        .drop("_d", "_r", "_best")
-    )
+    measured = rows.select(*cell, distance.alias("_d"), reach.alias("_r")).select("*", best.alias("_best"))
+    crowded = (F.col("n") > leaf_points) & (F.col("level") < last)
+    return measured.filter(F.col("_d") - F.col("_r") <= F.col("_best")).select(*cell, crowded.alias("open"))
