@@ -36,7 +36,8 @@ _SUMMARY = """
 
 @query(" UNION ALL ".join(_SUMMARY.format(c=c) for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def column_profile(spark: SparkSession, sf: str) -> DataFrame:
-    summary = quality.column_summary(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    columns = ["l_quantity", "l_extendedprice", "l_discount"]
+    summary = quality.column_summary(spread_table(spark, sf, "lineitem", *columns), columns)
     rounded = {c: F.round(c, 6) for c in ("mean", "std", "q25", "q50", "q75")}
     return summary.withColumns(rounded)
 

@@ -20,6 +20,8 @@ def local_session(app: str, cores: str = "8", shuffle_partitions: int = 8, **con
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Larger generated methods are never compiled by the JVM; wide projections make them.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
