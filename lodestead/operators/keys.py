@@ -80,8 +80,8 @@ def existing_keys(
     """
     if dates is not None:
         target = target.filter(F.col(date_column).isin([F.lit(str(d)).cast("date") for d in dates]))
-    found = target.select(*keys).join(distinct_keys(batch, keys), list(keys), "left_semi")
-    return found if multiply else found.distinct()
+    held = target.select(*keys) if multiply else distinct_keys(target, keys)
+    return held.join(distinct_keys(batch, keys), list(keys), "left_semi")
 
 
 def new_rows(
@@ -102,13 +102,13 @@ def batch_numbers(df: DataFrame, key: str, batch_size: int, number: str = "batch
     """Number the distinct keys in full batches of ``batch_size``.
 
     Keys are put in the order of their MD5 text, whose prefix cuts them into
-    4,096 even ranges whatever the keys look like.  Each range is numbered on
+    65,536 even ranges whatever the keys look like.  Each range is numbered on
     its own and shifted by the size of the ranges before it, so no task sees
     all keys.
     """
     keys = distinct_values(df, key).withColumn("_hash", F.md5(F.col(key).cast("string")))
-    keys = keys.withColumn("_range", F.substring("_hash", 1, 3))
-    # At most 4,096 rows, by construction.
+    keys = keys.withColumn("_range", F.substring("_hash", 1, 4))
+    # At most 65,536 rows, by construction.
     before = keys.groupBy("_range").agg(F.count("*").alias("_n")).select(
         "_range",
         (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"),
@@ -128,16 +128,32 @@ def lists_per_key(df: DataFrame, key: str, value: str, max_items: int = 10_000)
     """Sorted lists of the values of each key, cut into lists of about ``max_items``.
 
     A key with few values has one list, numbered 0.  A key with many is spread
-    over as many lists as it needs by the hash of the value, so no task builds
-    a list of unbounded length.
+    over as many lists as it needs by the hash of the value; copies of one
+    value are counted first and dealt out over the lists in turn.  So no task
+    builds a list of unbounded length, and nothing is left out.
     """
-    sizes = df.groupBy(key).agg(F.ceil(F.count("*") / F.lit(max_items)).alias("_lists"))
+    counted = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_copies"))
+    dealt = deal_copies(counted, [key], F.col(value), max_items, "list_no")
+    return dealt.groupBy(key, "list_no").agg(
+        F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col(value), F.col("_copies"))))).alias("items")
+    )
+
+
+def deal_copies(counted: DataFrame, group: Sequence[str], spread_by: Column, max_items: int, number: str) -> DataFrame:
+    """Deal distinct rows with a count ``_copies`` into numbered parts of about ``max_items``.
+
+    A row is split into one row per part that gets some of its copies, with
+    ``_copies`` now the share of that part.
+    """
+    parts = counted.groupBy(*group).agg(F.ceil(F.sum("_copies") / F.lit(max_items)).alias("_parts"))
+    turns = F.sequence(F.lit(0).cast("bigint"), F.least("_copies", "_parts") - 1)
+    share = F.floor((F.col("_copies") - F.col("_turn") + F.col("_parts") - 1) / F.col("_parts"))
     return (
-        df.select(key, value)
-        .join(sizes, key)
-        .withColumn("list_no", hash_bucket(F.col(value), F.col("_lists")))
-        .groupBy(key, "list_no")
-        .agg(F.sort_array(F.collect_list(value)).alias("items"))
+        counted.join(parts, list(group))
+        .withColumn("_turn", F.explode(turns))
+        .withColumn(number, F.pmod(hash_bucket(spread_by, F.col("_parts")) + F.col("_turn"), F.col("_parts")))
+        .withColumn("_copies", share.cast("int"))
+        .drop("_turn", "_parts")
     )
 
 

@@ -71,7 +71,7 @@ def column_summary(df: DataFrame, columns: Sequence[str], quartiles: Sequence[fl
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-    accuracy: int = 2_000, max_values: int = 100_000,
+    accuracy: int = 2_000, max_values: int = 5_000,
 ) -> dict[str, dict[float, float | None]]:
     """Exact interpolated quantiles of several columns without a full sort.
 

@@ -131,7 +131,7 @@ def partitioned_refresh(spark: SparkSession, sf: str) -> DataFrame:
     name, path = f"refreshed_{uuid.uuid4().hex}", scratch_path(spark, "refresh")
     rows = _user_days(spark, sf)
     for _ in range(2):
-        replace_table(laid_out(rows, ["day"], ["user_id"], files_per_partition=2), name, path, ["day"])
+        replace_table(laid_out(rows, ["day"], ["user_id"]), name, path, ["day"])
     return read_table(spark, name).groupBy(F.col("day").cast("string").alias("day")).agg(
         F.count("*").alias("events"), F.min("user_id").alias("first_user"), F.max("event_id").alias("last_event")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from lodestead.operators.keys import hash_bucket
+from lodestead.operators.keys import deal_copies
 from lodestead.sources.snapshots import read_table, snapshot_name
 
 
@@ -21,17 +21,14 @@ def create_table(
     replace_table(spark.createDataFrame([], schema), name, path, partition_by)
 
 
-def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = (),
-             files_per_partition: int = 1) -> DataFrame:
+def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
     """Rows of one partition together and sorted, so row groups can be skipped by key.
 
-    ``files_per_partition`` spreads a large date over several tasks and files.
+    Rebalancing, unlike a plain repartition, lets adaptive execution split a
+    date that holds a large share of the rows over several tasks and files.
     """
-    if files_per_partition > 1 and sort_by:
-        df = df.repartition(*partition_by, hash_bucket(F.concat_ws("|", *sort_by), files_per_partition))
-    else:
-        df = df.repartition(*partition_by)
-    return df.sortWithinPartitions(*partition_by, *sort_by)
+    together = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    return together.sortWithinPartitions(*partition_by, *sort_by)
 
 
 def append_table(df: DataFrame, name: str) -> None:
@@ -68,15 +65,21 @@ def district_documents(df: DataFrame, district: str, location: str, items_per_do
     """JSON documents ``{location: [listing, ...]}``, several for a large district.
 
     A location's listings are spread over documents by the hash of the row,
-    so that no document grows beyond about ``items_per_document`` listings
-    however many a district or a location has.
+    copies of one row in turn, so that no document grows beyond about
+    ``items_per_document`` listings however many a district, a location or a
+    group of copies has.
     """
-    listing = [c for c in df.columns if c not in (district, location)]
-    sizes = df.groupBy(district).agg(F.ceil(F.count("*") / F.lit(items_per_document)).alias("_docs"))
-    numbered = df.join(sizes, district).withColumn(
-        "document_no", hash_bucket(F.to_json(F.struct(*listing)), F.col("_docs"))
+    listing = F.struct(*[c for c in df.columns if c not in (district, location)])
+    counted = (
+        df.select(district, location, listing.alias("_item"))
+        .withColumn("_text", F.to_json("_item"))
+        .groupBy(district, location, "_text")
+        .agg(F.any_value("_item").alias("_item"), F.count(F.lit(1)).alias("_copies"))
+    )
+    dealt = deal_copies(counted, [district], F.col("_text"), items_per_document, "document_no")
+    items = dealt.groupBy(district, "document_no", location).agg(
+        F.flatten(F.collect_list(F.array_repeat(F.col("_item"), F.col("_copies")))).alias("items")
     )
-    items = numbered.groupBy(district, "document_no", location).agg(F.collect_list(F.struct(*listing)).alias("items"))
     return items.groupBy(district, "document_no").agg(
         F.to_json(F.map_from_entries(F.collect_list(F.struct(location, "items")))).alias("value")
     )

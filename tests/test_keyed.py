@@ -1,6 +1,7 @@
 """Keys, loads, names, quantiles; also on data where one key holds a third of the rows."""
 
 import datetime as dt
+import json
 import random
 import uuid
 
@@ -120,6 +121,24 @@ def test_lists_are_bounded_and_whole(spark):
     assert lists.filter("slug = 'k1'").first()["items"] == ["1"]
 
 
+def test_copies_are_dealt_out(spark):
+    """One value makes up a third of the rows: it is spread over the lists, none is lost."""
+    df = skewed(spark).select(F.lit("braga").alias("district"), F.col("slug"))
+    rows = keys.lists_per_key(df, "district", "slug", 100).collect()
+    sizes = [len(r["items"]) for r in rows]
+    assert len(rows) == 30 and sum(sizes) == 3000 and max(sizes) < 150
+    hot = [sum(1 for i in r["items"] if i == "hot") for r in rows]
+    assert sum(hot) == 1000 and max(hot) - min(hot) <= 1
+    docs = sinks.district_documents(df.withColumn("loc", F.lit("braga/x")), "district", "loc", 100).collect()
+    lengths = [len(json.loads(r["value"])["braga/x"]) for r in docs]
+    assert len(docs) == 30 and sum(lengths) == 3000 and max(lengths) < 150
+
+
+def test_layout_can_split_a_hot_date(spark):
+    laid = sinks.laid_out(skewed(spark), ["ingestionDate"], ["slug"])
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(laid) and laid.count() == 3000
+
+
 AREAS = [("Santa Maria ", "Bragança", 1), ("santa maria", "Lisboa", 2), ("Azurém", "Guimarães", 3),
          ("Creixomil", "Guimarães", 4), ("Guimarães", "Outra", 5)]
 
