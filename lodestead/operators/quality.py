@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -165,15 +167,20 @@ def _distinct_values(df, keys, brackets) -> dict:
 
 
 def _values_at_ranks(df, keys, wanted, brackets, below, limit) -> dict:
-    hits = F.array(
-        *[
-            F.when(_within(c, brackets[(c, p)]), F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")))
-            for i, (c, p) in enumerate(keys)
-        ]
+    """The values at the wanted ranks, from the value counts inside the brackets."""
+    by_column: dict = {}
+    for k in keys:
+        by_column.setdefault(k[0], []).append(k)
+    hit = {c: reduce(or_, [_within(c, brackets[k]) for k in members]) for c, members in by_column.items()}
+    # Few rows fall into any bracket: drop the others before the list is built.
+    lists = F.array(
+        *[F.when(hit[c], F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"))) for c in by_column]
     )
     found = (
-        df.select(F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("h"))
-        .groupBy("h.i", "h.v")
+        df.filter(reduce(or_, hit.values()))
+        .select(F.explode(lists).alias("h"))
+        .filter("h is not null")
+        .groupBy("h.c", "h.v")
         .count()
         .limit(limit + 1)
         .collect()
@@ -181,9 +188,11 @@ def _values_at_ranks(df, keys, wanted, brackets, below, limit) -> dict:
     if len(found) > limit:
         raise RuntimeError("bracket holds more distinct values than estimated; raise max_values")
     out = {}
-    for i, k in enumerate(keys):
+    for k in keys:
+        low, high = brackets[k]
+        inside = [(v, n) for c, v, n in found if c == k[0] and (low is None or low <= v <= high)]
         rank, picked = below[k], []
-        for _, v, n in sorted((r for r in found if r[0] == i), key=lambda r: r[1]):
+        for v, n in sorted(inside):
             picked += [v for r in dict.fromkeys(wanted[k]) if rank <= r < rank + n]
             rank += n
         out[k] = (picked[0], picked[-1])

@@ -37,7 +37,7 @@ _SUMMARY = """
 @query(" UNION ALL ".join(_SUMMARY.format(c=c) for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def column_profile(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["l_quantity", "l_extendedprice", "l_discount"]
-    summary = quality.column_summary(spread_table(spark, sf, "lineitem", *columns), columns)
+    summary = quality.column_summary(table(spark, sf, "lineitem"), columns)
     # Sums of doubles differ in the last digits with the order of the rows.
     digits = {"mean": 5, "std": 5, "q25": 6, "q50": 6, "q75": 6}
     return summary.withColumns({c: F.round(c, n) for c, n in digits.items()})
