@@ -29,7 +29,7 @@ def list_snapshots(spark: SparkSession, folder: str, pattern: str = "*.parquet")
     )
     # The entry below the folder, whatever scheme prefix the path came back with.
     tail = folder.rstrip("/").split("://")[-1].replace("file:", "").lstrip("/")
-    entry = F.regexp_extract("path", rf"^(.*?\Q{tail}\E/[^/]+)", 1)
+    entry = F.regexp_extract("path", rf"^(.*?/\Q{tail}\E/[^/]+)", 1)
     return (
         files.groupBy(entry.alias("path"))
         .agg(F.max("modificationTime").alias("modified"), F.sum("length").alias("bytes"))
