@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import quality_rules
+from lodestead.llm import quality_rules, sentencepiece_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,12 @@ def _table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet").select(*columns)
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _quoted(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
@@ -57,7 +63,7 @@ QUALITY_CTES = f"""
                  CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
                  CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
                  CAST(length(regexp_replace(text, '[^!]', '', 'g')) AS BIGINT) AS n_exclamations,
-                 CAST(len(list_filter(ws, x -> x IN ({_quoted(quality_rules.STOP_WORDS)}))) AS BIGINT) AS n_stop_words,
+                 CAST(len(list_filter(ws, lambda x: x IN ({_quoted(quality_rules.STOP_WORDS)}))) AS BIGINT) AS n_stop_words,
                  CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
                  CAST(coalesce(n_lines - n_different, 0) AS BIGINT) AS n_dup_lines,
                  coalesce(n_repeat_words, 0) AS n_repeat_words
@@ -75,3 +81,10 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf, "documents", "doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@_query()
+def op9_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return sentencepiece_bpe.token_digests(
+        _table(spark, sf, "documents", "doc_id", "text"), _tokenizer("piece_bpe_32k.model"), "doc_id"
+    )
