@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import quality_rules, sentencepiece_bpe
+from lodestead.llm import chat_format, quality_rules, sentencepiece_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,6 +49,34 @@ def _rule_sql(rule: quality_rules.Rule) -> str:
     return f"((({') OR ('.join(tests)})) AND n_words >= {rule.at_least})"
 
 
+def _escaped_sql(column: str) -> str:
+    """Length of a text as the chat template writes it: one more for each control string or escape character."""
+    marks = "|".join(re.escape(x) for x in (chat_format.ESCAPE, *chat_format.CONTROL)).replace("'", "''")
+    return f"(length({column}) + len(regexp_extract_all({column}, '{marks}')))"
+
+
+_MARKS = len(chat_format.TURN + chat_format.TEXT + chat_format.END)
+
+
+@_query(f"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum({_MARKS} + {_escaped_sql("role")} + {_escaped_sql("text")}) AS BIGINT) AS formatted_chars
+    FROM t GROUP BY conv_id
+""")
+def op2_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat_format.read_back(chat_format.format_turns(rows.unionByName(probe)))
+
+
 QUALITY_CTES = f"""
     d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
     w AS (SELECT r, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
