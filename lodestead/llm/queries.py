@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import chat_format, quality_rules, sentencepiece_bpe
+from lodestead.llm import chat_format, quality_rules, secret_scan, sentencepiece_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +117,10 @@ def op9_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return sentencepiece_bpe.token_digests(
         _table(spark, sf, "documents", "doc_id", "text"), _tokenizer("piece_bpe_32k.model"), "doc_id"
     )
+
+
+@_query()
+def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf, "documents", "doc_id", "text")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked"
+    )
