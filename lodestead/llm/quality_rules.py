@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestead.llm.text import WHITE
+from lodestead.llm.text import WHITE, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -60,13 +60,6 @@ def _without(text: Column, chars: str) -> Column:
     return text
 
 
-def _words(text: Column) -> Column:
-    """The runs of other than ASCII white space."""
-    for c in WHITE[1:]:
-        text = F.replace(text, F.lit(c), F.lit(" "))
-    return F.array_remove(F.split(text, " "), "")
-
-
 def _joined(hashes: str, step: int) -> Column:
     """Hash of each entry with the one ``step`` further; entries without one are left out."""
     n = F.size(hashes) - step
@@ -82,7 +75,7 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     """
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: _without(x, WHITE) != "")
-    df = df.withColumns({"__words": _words(t), "__lines": lines})
+    df = df.withColumns({"__words": words(t), "__lines": lines})
     solid = F.array_join("__words", "")
     df = df.withColumns({
         "n_words": F.size("__words").cast("long"),

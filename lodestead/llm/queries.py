@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import chat_format, quality_rules, secret_scan, sentencepiece_bpe
+from lodestead.llm import chat_format, mixing, quality_rules, secret_scan, sentencepiece_bpe
+from lodestead.llm.text import words
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,3 +125,11 @@ def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf, "documents", "doc_id", "text")).select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked"
     )
+
+
+@_query()
+def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents", "doc_id", "source", "text")
+    slim = docs.select("doc_id", "source", F.size(words("text")).alias("n"), F.xxhash64("text").alias("h"))
+    mixed = mixing.mix(slim, F.col("n"), ["doc_id", "h"])
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
