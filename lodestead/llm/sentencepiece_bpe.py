@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-CACHED = 400_000
+#: Stretches and pairs of tokens that a worker remembers.
+CACHED, PAIRS = 150_000, 400_000
 _PROBE = " Á  ﬁ\t½　\n "
 
 
@@ -71,7 +72,7 @@ class Encoder:
         line = "" if any("\n" in p for p in self.ids) else "\n"
         # No piece crosses from other characters to a space, or over a line's end.
         self.stretch = re.compile(f".+(?s:.)*" if inner else f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+" + (line and f"|{line}"))
-        self.together: dict[tuple[int, int], bool] = {}
+        self.together: dict[int, bool] = {}
         self.known_stretches: dict[str, bytes] = {}
 
     def merges(self, piece: str) -> tuple[list[str], list[tuple[float, str, str]]]:
@@ -113,7 +114,7 @@ class Encoder:
     def _table(self, text: str) -> list[int]:
         """Ids of a stretch of known characters."""
         last, size = [-1] * (len(text) + 1), [0] * (len(text) + 1)
-        together = self.together
+        together, n = self.together, len(self.v.pieces)
         for end, (token, length) in self.automaton.iter(text):
             end += 1
             if size[end]:
@@ -123,11 +124,12 @@ class Encoder:
                 before = last[start]
                 if before < 0:
                     continue
-                fits = together.get((before, token))
+                pair = before * n + token
+                fits = together.get(pair)
                 if fits is None:
-                    if len(together) >= 2 * CACHED:
+                    if len(together) >= PAIRS:
                         together.clear()
-                    fits = together[before, token] = self.compatible(before, token)
+                    fits = together[pair] = self.compatible(before, token)
                 if not fits:
                     continue
             last[end], size[end] = token, length
@@ -194,7 +196,14 @@ class Tokenizer:
             for batch in ids:
                 yield pd.Series([own.decode(x) for x in batch], dtype=object)
 
+        def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            own = _encoder(sent.value)
+            for batch in texts:
+                ids = [own.encode(t) for t in batch]
+                yield pd.DataFrame({"ids": ids, "text": [own.decode(x) for x in ids]}, dtype=object)
+
         self._encode, self._decode = F.pandas_udf(encode, "binary"), F.pandas_udf(decode, "string")
+        self._both = F.pandas_udf(both, "ids binary, text string")
 
     def encode(self, text: str | Column) -> Column:
         """Ids of a text with begin and end, as a binary of little-endian unsigned 32-bit integers."""
@@ -203,6 +212,10 @@ class Tokenizer:
     def decode(self, ids: str | Column) -> Column:
         return self._decode(ids)
 
+    def round_trip(self, text: str | Column) -> Column:
+        """A struct of the ids and of the text decoded from them, in one pass through a worker."""
+        return self._both(text)
+
 
 def with_ids(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """The rows with their ids.  Null and empty texts have begin and end only; other columns pass through."""
@@ -211,11 +224,10 @@ def with_ids(df: DataFrame, model_path: str, text: str = "text", ids: str = "ids
 
 def token_digests(df: DataFrame, model_path: str, *keys: str, text: str = "text") -> DataFrame:
     """Keys, number of ids, digest of the ids, digest of the text decoded from them; a row for each row."""
-    tokenizer = Tokenizer(df.sparkSession, model_path)
-    coded = df.select(*keys, tokenizer.encode(F.col(text)).alias("__ids"))
+    coded = df.select(*keys, Tokenizer(df.sparkSession, model_path).round_trip(F.col(text)).alias("__coded"))
     return coded.select(
         *keys,
-        (F.octet_length("__ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("__ids", 256).alias("ids_sha256"),
-        F.sha2(tokenizer.decode("__ids"), 256).alias("decoded_sha256"),
+        (F.octet_length("__coded.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("__coded.ids", 256).alias("ids_sha256"),
+        F.sha2("__coded.text", 256).alias("decoded_sha256"),
     )
