@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The template's marks.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
@@ -121,23 +122,22 @@ def format_turns(df: DataFrame, content: str = "text") -> DataFrame:
     empty one; offsets count code points.  Repeated rows are turns of their own.
     """
     plain = df.schema[content].dataType.simpleString() == "string"
-    rows = df.select("conv_id", "turn", "role", F.col(content).alias("content"))
+    # Ids travel in a struct: in a column of their own nulls would turn them to floats.
+    key = F.struct("conv_id", "turn", "role").alias("key")
+    rows = df.select(key, F.col(content).alias("content"))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = ([{"text": c}] if plain else list(c) if c is not None else [] for c in batch["content"])
-            made = [format_turn(_text(r), c) for r, c in zip(batch["role"], texts)]
+            made = [format_turn(k["role"], c) for k, c in zip(batch["key"], texts)]
             out = pd.DataFrame(made, columns=["formatted", "n_chars", "loss_start", "loss_end", "n_expanded", "attachments"])
             for name in ("loss_start", "loss_end"):
                 out[name] = out[name].astype("Int64")
-            out.insert(0, "role", batch["role"].to_numpy())
-            out.insert(0, "turn", batch["turn"].to_numpy())
-            out.insert(0, "conv_id", batch["conv_id"].to_numpy())
+            out.insert(0, "key", batch["key"].to_numpy())
             yield out
 
-    types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    keys = ", ".join(f"{k} {types[k]}" for k in ("conv_id", "turn", "role"))
-    return rows.mapInPandas(work, f"{keys}, {TURN_SCHEMA}")
+    schema = T.StructType([rows.schema["key"], *T.StructType.fromDDL(TURN_SCHEMA).fields])
+    return rows.mapInPandas(work, schema).select("key.*", *[f.name for f in schema.fields[1:]])
 
 
 def _text(value) -> str | None:
