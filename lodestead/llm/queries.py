@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import chat_format, mixing, quality_rules, secret_scan, sentencepiece_bpe
+from lodestead.llm import chat_format, mixing, quality_rules, secret_scan, sentencepiece_bpe, toxicity
 from lodestead.llm.text import words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,7 +26,7 @@ def _query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def _table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+def _table(spark: SparkSession, sf: str, name: str, *columns) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet").select(*columns)
 
 
@@ -133,3 +133,17 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     slim = docs.select("doc_id", "source", F.size(words("text")).alias("n"), F.xxhash64("text").alias("h"))
     mixed = mixing.mix(slim, F.col("n"), ["doc_id", "h"])
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@_query()
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents", "doc_id", "text")
+    labels = _table(spark, sf, "labels", "doc_id", F.col("toxic").alias("label"))
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~toxicity.held_out("doc_id"))
+    # The sample is bounded before texts are read; the join keeps one text for each of its ids or more.
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(toxicity.MAX_DOCS)
+    weights, bias = toxicity.train(docs.join(sample, "doc_id"))
+    return toxicity.score(docs, weights, bias).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").cast("long").alias("n_offending"),
+    )
