@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import chat_format, mixing, quality_rules, secret_scan, sentencepiece_bpe, toxicity
+from lodestead.llm import chat_format, line_dedup, mixing, quality_rules, secret_scan, sentencepiece_bpe, toxicity
 from lodestead.llm.text import words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,3 +147,28 @@ def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").cast("long").alias("n_offending"),
     )
+
+
+LINE_CTES = f"""
+    line_docs AS (SELECT row_number() OVER () AS r, * FROM {{documents}}),
+    lines AS (SELECT r, source, generate_subscripts(string_split(text, chr(10)), 1) AS i,
+                     unnest(string_split(text, chr(10))) AS line FROM line_docs WHERE text IS NOT NULL),
+    bad AS (SELECT trim(line) AS line FROM lines WHERE length(trim(line)) >= {line_dedup.MIN_CHARS}
+            GROUP BY 1 HAVING count(DISTINCT coalesce('=' || source, '?')) >= {line_dedup.MIN_SITES}),
+    kept_lines AS (SELECT r, count(*) AS n_lines, CAST(count(*) FILTER (bad.line IS NOT NULL) AS BIGINT) AS n_removed,
+                          coalesce(string_agg(lines.line, chr(10) ORDER BY i) FILTER (bad.line IS NULL), '') AS kept
+                   FROM lines LEFT JOIN bad ON trim(lines.line) = bad.line GROUP BY r)
+"""
+
+
+@_query(f"""
+    WITH {LINE_CTES.format(documents="documents")}
+    SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+           sha256(kept) AS kept_sha256
+    FROM line_docs LEFT JOIN kept_lines USING (r)
+""")
+def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents", "doc_id", "source", "text")
+    return line_dedup.remove_boilerplate(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
