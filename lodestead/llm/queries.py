@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import chat_format, line_dedup, mixing, quality_rules, secret_scan, sentencepiece_bpe, toxicity
+from lodestead.llm import chat_format, line_dedup, mixing, quality_rules, secret_scan, sentencepiece_bpe, toxicity, vector_dedup
 from lodestead.llm.text import words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +172,21 @@ def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.remove_boilerplate(docs).select(
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+@_query(f"""
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= {vector_dedup.THRESHOLD}),
+    c AS (SELECT vec_id AS id, vec_id AS least FROM embeddings
+          UNION SELECT l.b, c.least FROM c JOIN l ON c.id = l.a WHERE c.least < l.b),
+    m AS (SELECT id, min(least) AS component_id FROM c GROUP BY id)
+    SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings e JOIN m ON m.id = e.vec_id
+""")
+def op8_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_dedup.near_duplicates(_table(spark, sf, "embeddings", "vec_id", "embedding", "label"))
