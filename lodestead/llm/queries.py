@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import chat_format, line_dedup, mixing, quality_rules, secret_scan, sentencepiece_bpe, toxicity, vector_dedup
+from lodestead.llm import chat_format, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, toxicity, vector_dedup
 from lodestead.llm.text import words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,3 +190,8 @@ def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def op8_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return vector_dedup.near_duplicates(_table(spark, sf, "embeddings", "vec_id", "embedding", "label"))
+
+
+@_query()
+def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.near_duplicates(_table(spark, sf, "documents", "doc_id", "text"))
