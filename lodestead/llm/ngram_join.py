@@ -329,12 +329,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    in_bucket = Window.partitionBy("key", F.col("n_shingles").isNull())
+    in_bucket = Window.partitionBy("key", "is_text")  # one window, so that rows are dealt out once
     rows = (
         bucket_rows(docs, words, percent)
-        .withColumn("least", F.min("id").over(in_bucket))
-        .withColumn("members", F.count("id").over(in_bucket))
-        .withColumn("mark", F.bit_xor(F.xxhash64("id")).over(in_bucket))
+        .withColumn("is_text", F.col("n_shingles").isNotNull())
+        .withColumns({
+            "least": F.min("id").over(in_bucket),
+            "members": F.count("id").over(in_bucket),
+            "mark": F.bit_xor(F.xxhash64("id")).over(in_bucket),
+        })
         .filter(F.col("n_shingles").isNotNull() | (F.col("members") > 1))
         .select("id", "n_shingles", "d1", "d2", "record", "least", "members", F.xxhash64("mark", "least", "members").alias("bucket"))
     )
