@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import chat_format, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, toxicity, vector_dedup
+from lodestead.llm import chat_format, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup, toxicity, vector_dedup
 from lodestead.llm.text import words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,3 +195,12 @@ def op8_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @_query()
 def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf, "documents", "doc_id", "text"))
+
+
+@_query()
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
