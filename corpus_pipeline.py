@@ -1,10 +1,20 @@
-"""From raw documents to token counts: the text operators in a row."""
+"""From raw documents to token counts: five of the text operators in a row.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows it is given; all
+but the last return the columns of ``documents``.  Between stages the rows are
+written and read again, which cuts lineage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from lodestead.llm import line_dedup, mixing, ngram_join, quality_rules, sentencepiece_bpe
+from lodestead.llm.text import stored, words
 
-from lodestead.llm import quality_rules
+MODEL = "piece_bpe_32k.model"
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,12 +22,54 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality rules", rules)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that stand on many sources; ``n_chars`` follows the text."""
+    cleaned = line_dedup.remove_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return cleaned.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones, the one with the smallest id; rows without an id stay.
+
+    Rows that share an id are one document, of which the least text stays.
+    """
+    groups = ngram_join.near_duplicates(docs)
+    dropped = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.filter("doc_id is not null").join(dropped, "doc_id", "left_anti")
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars"))
+    kept = kept.withColumn("__one", one).filter("__one = 1").select(*docs.columns)
+    return kept.unionByName(docs.filter("doc_id is null"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture: each document as many times as the sources' targets take it."""
+    keyed = docs.withColumn("__text", F.xxhash64("text"))
+    mixed = mixing.mix(keyed, F.size(words(F.coalesce("text", F.lit("")))), ["doc_id", "__text"])
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return mixed.filter("copies > 0").select(*docs.columns, copies.alias("__copy")).drop("__copy")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, as counts and digests."""
+    return sentencepiece_bpe.token_digests(docs, public_tokenizers.path(MODEL), "doc_id")
+
+
+STAGES = [
+    ("quality rules", rules),
+    ("line dedup", lines),
+    ("n-gram near duplicates", near_duplicates),
+    ("mixing", mix),
+    ("sentencepiece", tokens),
+]
+
+#: The dependent rounding of the mixture has no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = stored(spark, docs, "pipeline-" + name.replace(" ", "-"))
     return docs
