@@ -40,8 +40,10 @@ CHUNK = 4_000_000
 CACHED = 200_000
 #: Members of a bucket that one task compares with each other; larger buckets are cut into pairs of blocks.
 BLOCK = 1024
-#: Bits of the sketch that is compared, for each shingle of the largest set of its band.
-SKETCH_BITS = 4
+#: Bits of the sketch that is compared, for each shingle of the largest set of its band, and least words.
+SKETCH_BITS, LEAST_WORDS = 1, 2
+#: Bits of the filter that picks out the texts to verify.
+FILTER_BITS = 23
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -112,7 +114,7 @@ class Bands:
         """64-bit words of the sketch that is compared in a band's join."""
         while len(self.low) < band + 2:
             self.of(self.low[-1])
-        return -(-SKETCH_BITS * (self.low[band + 1] - 1) // 64)
+        return max(LEAST_WORDS, -(-SKETCH_BITS * (self.low[band + 1] - 1) // 64))
 
 
 def sketch(shingles: np.ndarray, band: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,12 +244,28 @@ def _near(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInPandas(work, "a long, b long").distinct()
 
 
+def _marked(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """Documents whose id's bit is set by a needed id, so that few other texts are moved.
+
+    The filter has 2 ** ``FILTER_BITS`` bits in at most as many rows of 64, which bounds the broadcast.
+    """
+    bit = lambda: F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << FILTER_BITS))
+    words = (
+        needed.select(bit().alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+    )
+    asked = docs.withColumn("bit", bit()).withColumn("word", F.shiftright("bit", 6))
+    found = asked.join(F.broadcast(words), "word").filter(F.expr("shiftrightunsigned(bits, cast(bit & 63 as int)) & 1 = 1"))
+    return found.select(*docs.columns)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The (a, b) pairs whose whole texts are linked."""
     spark = docs.sparkSession
     pairs = stored(spark, pairs, "ngram-pairs")
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.join(needed, "doc_id", "left_semi")
+    texts = _marked(docs, needed).join(needed, "doc_id", "left_semi")
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b"
     )
@@ -262,20 +280,20 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return stored(spark, both.mapInPandas(work, "a long, b long").distinct(), "ngram-links")
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame, records: DataFrame, percent: int) -> DataFrame:
     """(a, b) pairs of different components in one bucket that sketches do not rule out.
 
-    ``members`` has rows (bucket, id, component, record).  A bucket of many
-    members is cut into blocks, and each pair of blocks is a group of its own.
+    ``members`` has rows (bucket, id, component).  A bucket of many members is
+    cut into blocks, and each pair of blocks is a group of its own.
     """
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("id")) - 1
-    cut = members.withColumn("x", F.floor(place / BLOCK).cast("long")).withColumn(
-        "blocks", F.count("*").over(Window.partitionBy("bucket"))
-    )
-    others = F.sequence(F.lit(0).cast("long"), F.floor((F.col("blocks") - 1) / BLOCK).cast("long"))
+    in_order = Window.partitionBy("bucket").orderBy("id")
+    place = F.row_number().over(in_order) - 1
+    last = F.count("*").over(Window.partitionBy("bucket")) - 1
+    cut = members.withColumns({"x": F.floor(place / BLOCK).cast("long"), "last": F.floor(last / BLOCK).cast("long")})
     dealt = (
-        cut.withColumn("y", F.explode(others))
-        .select("bucket", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "id", "component", "record")
+        cut.withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
+        .select("bucket", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "id", "component")
+        .join(records, "id")
     )
     dealt = dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "id")
 
@@ -381,8 +399,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     members = met.filter("members > 2").groupBy("bucket", "id").agg(F.lit(1).alias("one")).select("bucket", "id")
     members = classed(members, "id").distinct().join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    members = members.join(mixed.select("bucket"), "bucket", "left_semi").join(records, "id")
-    second = _verified(_across(members, percent).join(first, ["a", "b"], "left_anti"), docs, words, percent)
+    members = members.join(mixed.select("bucket"), "bucket", "left_semi")
+    second = _verified(_across(members, records, percent).join(first, ["a", "b"], "left_anti"), docs, words, percent)
     parts = stored(spark, connected_components(first.unionByName(second).unionByName(same_id)), "ngram-components")
     grouped = classes.select("d1", "d2", "low", "id").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     lowest = grouped.groupBy("component").agg(F.min("low").alias("component_id"))
