@@ -171,11 +171,30 @@ class Splitters:
         return out
 
 
+def _joined(items: np.ndarray) -> bytes:
+    """Items field by field: ids that come again then compress well."""
+    return b"".join(items[name].tobytes() for name in items.dtype.names)
+
+
+def _parted(blobs: list[bytes], kind: np.dtype) -> np.ndarray:
+    """The items of blobs that were joined field by field."""
+    out = np.zeros(sum(len(b) for b in blobs) // kind.itemsize, kind)
+    at = 0
+    for blob in blobs:
+        n, place = len(blob) // kind.itemsize, 0
+        for name in kind.names:
+            size = n * kind[name].itemsize
+            out[name][at : at + n] = np.frombuffer(blob, kind[name], n, place)
+            place += size
+        at += n
+    return out
+
+
 def _packed(buckets: np.ndarray, items: np.ndarray, kind: int) -> pd.DataFrame:
     order = np.argsort(buckets, kind="stable")
     buckets, items = buckets[order], items[order]
     cuts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(buckets) else np.zeros(0, int)
-    blobs = [items[a:b].tobytes() for a, b in zip(cuts, np.r_[cuts[1:], len(items)])]
+    blobs = [_joined(items[a:b]) for a, b in zip(cuts, np.r_[cuts[1:], len(items)])]
     return pd.DataFrame({"bucket": buckets[cuts].astype(np.int64), "kind": np.full(len(cuts), kind, np.int64), "items": blobs})
 
 
@@ -231,18 +250,18 @@ def _splitters(docs: DataFrame, length: int, gram: int, least: int) -> tuple[Spl
     return Splitters(*anchors, buckets), Splitters(*starts, np.zeros_like(starts[0]), buckets), buckets
 
 
-def _by_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[dict[int, bytes]]:
-    """The items of each bucket by kind, of rows sorted by bucket."""
+def _by_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[dict[int, list[bytes]]]:
+    """The packed items of each bucket by kind, of rows sorted by bucket."""
     key, held = None, {}
     for batch in batches:
         for bucket, kind, items in zip(batch["bucket"], batch["kind"], batch["items"]):
             if bucket != key and key is not None:
-                yield {k: b"".join(v) for k, v in held.items()}
+                yield held
                 held = {}
             key = bucket
             held.setdefault(kind, []).append(items)
     if held:
-        yield {k: b"".join(v) for k, v in held.items()}
+        yield held
 
 
 def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
@@ -250,7 +269,7 @@ def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
 
 
 def _to_texts(items: np.ndarray, texts: int, kind: int = 0) -> pd.DataFrame:
-    place = mix(items["id"].view(np.uint64) if items["id"].flags.c_contiguous else items["id"].astype(np.int64).view(np.uint64)) % np.uint64(texts)
+    place = mix(items["id"].astype(np.int64).view(np.uint64)) % np.uint64(texts)
     return _packed(place.astype(np.int64), items, kind)
 
 
@@ -274,8 +293,8 @@ def _flagged_runs(docs: DataFrame, splitters: Splitters, buckets: int, length: i
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for held in _by_bucket(batches):
             if 1 in held:
-                yield _to_texts(np.frombuffer(held[1], FLAGGED), buckets)
-            items = np.frombuffer(held.get(0, b""), RUN)
+                yield _to_texts(_parted(held[1], FLAGGED), buckets)
+            items = _parted(held.get(0, []), RUN)
             if not len(items):
                 continue
             order = np.lexsort((items["ctx"], items["gram"]))
@@ -310,7 +329,7 @@ def _per_text(rows: DataFrame, kind: np.dtype, buckets: int, name: str) -> DataF
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for held in _by_bucket(batches):
-            items = np.frombuffer(b"".join(held.values()), kind)
+            items = _parted([b for blobs in held.values() for b in blobs], kind)
             items = items[np.lexsort((items["lo"], items["h"], items["id"]))]
             cuts = np.flatnonzero(np.r_[True, (items["id"][1:] != items["id"][:-1]) | (items["h"][1:] != items["h"][:-1])])
             blobs = [items[a:b].tobytes() for a, b in zip(cuts, np.r_[cuts[1:], len(items)])]
@@ -367,8 +386,8 @@ def _repeated_starts(flagged: DataFrame, splitters: Splitters, buckets: int, len
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for held in _by_bucket(batches):
             if 1 in held:
-                yield _to_texts(_place(np.frombuffer(held[1], START)), buckets)
-            items = np.frombuffer(held.get(0, b""), START)
+                yield _to_texts(_place(_parted(held[1], START)), buckets)
+            items = _parted(held.get(0, []), START)
             if not len(items):
                 continue
             order = np.lexsort((items["check"], items["hash"]))
