@@ -22,6 +22,7 @@ task sends one row for each word of its distinct texts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,14 +35,14 @@ from lodestead.llm.graph import connected_components
 from lodestead.llm.text import chunks, encoded, mix, stored
 
 WORDS, PERCENT = 4, 85
-BAND = 1.5
+BAND = 1.2
 SLACK = 1.25
 CHUNK = 4_000_000
 CACHED = 200_000
 #: Members of a bucket that one task compares with each other; larger buckets are cut into pairs of blocks.
 BLOCK = 1024
 #: Bits of the sketch that is compared, for each shingle of the largest set of its band, and least words.
-SKETCH_BITS, LEAST_WORDS = 1, 2
+SKETCH_BITS, LEAST_WORDS = 1, 16
 #: Bits of the filter that picks out the texts to verify.
 FILTER_BITS = 23
 
@@ -90,8 +91,8 @@ class Bands:
         self.low = [1]
 
     def of(self, n: int) -> int:
-        while self.low[-1] <= n:
-            self.low.append(max(self.low[-1] + 1, int(self.low[-1] * BAND)))
+        while self.low[-1] <= n:  # wide enough that partners stand in neighbouring bands
+            self.low.append(max(self.low[-1] + 1, math.ceil(self.low[-1] * max(BAND, 100 / self.percent))))
         return int(np.searchsorted(self.low, n, side="right")) - 1
 
     def joins(self, n: int) -> list[int]:
