@@ -13,6 +13,7 @@ The vocabulary is read once on the driver and broadcast: its size is fixed.
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 from collections.abc import Iterator
 
@@ -24,7 +25,9 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Stretches and pairs of tokens that a worker remembers.
-CACHED, PAIRS = 150_000, 400_000
+CACHED, PAIRS = 100_000, 250_000
+#: Texts whose results a worker holds at a time.
+SLICE = 256
 _PROBE = " Á  ﬁ\t½　\n "
 
 
@@ -62,8 +65,9 @@ class Encoder:
         self.automaton = ahocorasick.Automaton()
         self.steps: dict[int, list[tuple[float, str, str]]] = {}
         for piece, i in self.ids.items():
-            parts, self.steps[i] = self.merges(piece)
+            parts, steps = self.merges(piece)
             if len(parts) == 1:  # the others are never produced
+                self.steps[i] = steps
                 self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
         known = {p for p in self.ids if len(p) == 1}
@@ -86,7 +90,7 @@ class Encoder:
                     best, at = found[0], k
             if at < 0:
                 return parts, steps
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            parts[at : at + 2] = [sys.intern(parts[at] + parts[at + 1])]
             steps.append((best, parts[0], parts[-1]))
 
     def compatible(self, left: int, right: int) -> bool:
@@ -170,6 +174,12 @@ class Encoder:
         return text.removeprefix(b" ").decode("utf-8", "replace")
 
 
+def _slices(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.iloc[at : at + SLICE]
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -188,18 +198,18 @@ class Tokenizer:
 
         def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
             own = _encoder(sent.value)
-            for batch in texts:
-                yield pd.Series([own.encode(t) for t in batch], dtype=object)
+            for part in _slices(texts):
+                yield pd.Series([own.encode(t) for t in part], dtype=object)
 
         def decode(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
             own = _encoder(sent.value)
-            for batch in ids:
-                yield pd.Series([own.decode(x) for x in batch], dtype=object)
+            for part in _slices(ids):
+                yield pd.Series([own.decode(x) for x in part], dtype=object)
 
         def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             own = _encoder(sent.value)
-            for batch in texts:
-                ids = [own.encode(t) for t in batch]
+            for part in _slices(texts):
+                ids = [own.encode(t) for t in part]
                 yield pd.DataFrame({"ids": ids, "text": [own.decode(x) for x in ids]}, dtype=object)
 
         self._encode, self._decode = F.pandas_udf(encode, "binary"), F.pandas_udf(decode, "string")
