@@ -1,7 +1,8 @@
 """Toxicity by multiple-instance learning: a document is toxic if one of its sentences is.
 
-A sentence's chance is logistic in its words and their stems; the noisy-or of
-its sentences is the document's chance, and only documents have labels.  The
+A sentence's chance is logistic in its distinct words and their stems, which can
+only raise it; the noisy-or of its sentences is the document's chance, and only
+documents have labels.  The
 gradient of the document's likelihood reaches each sentence through its share
 in the noisy-or, so that training also finds which sentences offend.
 
@@ -24,8 +25,8 @@ from pyspark.sql import types as T
 
 BITS = 18
 MAX_DOCS = 10_000
-EPOCHS, RATE, DECAY, LEAST_DOCS, BATCH = 12, 0.3, 2e-4, 3, 256
-BIAS = -7.0
+EPOCHS, RATE, DECAY, LEAST_DOCS, BATCH = 12, 1.0, 2e-5, 5, 256
+BIAS = -8.0
 CACHED = 200_000
 
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
@@ -58,17 +59,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _instances(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of all sentences, the sentence of each feature and the document of each sentence."""
-    known = _Words(lambda w: None if w in _ENDS else features(w))
+    known = _Words(features)
     feats, owner, docs, n = [], [], [], 0
     for d, text in enumerate(texts):
-        words: set[int] = set()
+        words: set[str] = set()
         for token in [*_TOKEN.findall(text or ""), "\n"]:
-            f = known[token]
-            if f is not None:
-                words.update(f)
+            if token not in _ENDS:
+                words.add(token)
             elif words:
-                feats.append(np.fromiter(words, np.int32, len(words)))
-                owner.append(np.full(len(words), n, np.int32))
+                own = [f for w in sorted(words) for f in known[w]]
+                feats.append(np.array(own, np.int32))
+                owner.append(np.full(len(own), n, np.int32))
                 docs.append(d)
                 n, words = n + 1, set()
     empty = np.zeros(0, np.int32)
@@ -111,7 +112,7 @@ def fit(texts: list[str | None], labels: np.ndarray, seed: int = 0) -> tuple[np.
             touched, back = np.unique(f, return_inverse=True)
             grad = np.bincount(back, pull[local], len(touched)) - DECAY * weights[touched]
             past[touched] += grad**2
-            weights[touched] += RATE * grad / np.sqrt(past[touched])
+            weights[touched] = np.maximum(0.0, weights[touched] + RATE * grad / np.sqrt(past[touched]))
             g = pull.sum()
             past_bias += g * g
             bias += RATE * g / np.sqrt(past_bias)
@@ -140,24 +141,46 @@ def train(labelled: DataFrame, max_docs: int = MAX_DOCS) -> tuple[np.ndarray, fl
 
 
 class _Scorer:
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.bias = bias
-        self.words = _Words(lambda w: None if w in _ENDS else features(w))
-        self.weights = weights.astype(float)
-
-    def sentences(self, text: str | None) -> list[tuple[int, int, float]]:
-        """(start, end, chance) of each sentence with a word."""
-        out, words, start, end = [], set(), 0, 0
-        for m in _TOKEN.finditer((text or "") + "\n"):
-            f = self.words[m[0]]
-            if f is not None:
-                start = start if words else m.start()
-                words.update(f)
-                end = m.end()
-            elif words:
-                total = self.weights[list(words)].sum() + self.bias
-                out.append((start, end, float(_sigmoid(np.array(total)))))
-                words = set()
+    """Scores texts with a logit for each word: the sum of its features' weights."""
+
+    def __init__(self, weights: np.ndarray, bias: float, least: float):
+        self.weights, self.bias, self.least = weights.astype(float).tolist(), bias, least
+        self.logits = _Words(lambda w: np.nan if w in _ENDS else self._logit(w))
+
+    def _logit(self, word: str) -> float:
+        total = sum(self.weights[f] for f in features(word))
+        return total if total >= 0.05 else 0.0
+
+    def chances(self, text: str) -> np.ndarray:
+        """The chance of each sentence with a word, in order."""
+        tokens = _TOKEN.findall(text)
+        values = np.fromiter(map(self.logits.__getitem__, tokens), float, len(tokens))
+        word = np.flatnonzero(~np.isnan(values))
+        if not len(word):
+            return np.zeros(0)
+        sentence = np.cumsum(np.r_[True, np.diff(word) > 1]) - 1  # an end lies between
+        total = np.full(sentence[-1] + 1, self.bias)
+        telling = np.flatnonzero(values[word] > 0)
+        for s, w in {(s, tokens[i]) for s, i in zip(sentence[telling].tolist(), word[telling].tolist())}:
+            total[s] += self.logits[w]
+        # A sentence without a telling word has no chance, or a long clean text would add up to a toxic one.
+        return np.where(total > self.bias, _sigmoid(total), 0.0)
+
+    def score(self, text: str) -> tuple[float, list[dict]]:
+        chances = self.chances(text)
+        score = abs(float(np.expm1(np.log1p(-np.minimum(chances, 1 - 1e-12)).sum())))
+        loud = np.flatnonzero(chances >= self.least)
+        return score, self._spans(text, chances, set(loud.tolist())) if len(loud) else []
+
+    def _spans(self, text: str, chances: np.ndarray, wanted: set[int]) -> list[dict]:
+        out, k, start, end = [], 0, None, 0
+        for m in _TOKEN.finditer(text + "\n"):
+            if m[0] not in _ENDS:
+                start, end = m.start() if start is None else start, m.end()
+            elif start is not None:
+                if k in wanted:
+                    out.append({"start": start, "end": end, "chance": float(chances[k])})
+                k, start = k + 1, None
         return out
 
 
@@ -168,18 +191,12 @@ def score(df: DataFrame, weights: np.ndarray, bias: float, text: str = "text", l
     Offsets count code points.  Columns named like a result are replaced.
     """
     sent = df.sparkSession.sparkContext.broadcast((weights, bias))
-    held: list[_Scorer] = []
 
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = held[0] if held else _Scorer(*sent.value)
+        scorer = _Scorer(*sent.value, least)
         for batch in batches:
-            scores, spans = [], []
-            for value in batch:
-                found = scorer.sentences(value if isinstance(value, str) else "")
-                clean = sum(float(np.log1p(-min(c, 1 - 1e-12))) for _, _, c in found)
-                scores.append(float(-np.expm1(clean)))
-                spans.append([{"start": s, "end": e, "chance": c} for s, e, c in found if c >= least])
-            yield pd.DataFrame({"score": scores, "offending": spans})
+            made = [scorer.score(value if isinstance(value, str) else "") for value in batch]
+            yield pd.DataFrame(made, columns=["score", "offending"])
 
     schema = T.StructType.fromDDL("score double, offending array<struct<start:long, end:long, chance:double>>")
     made = F.pandas_udf(work, schema)(F.col(text)).alias("__made")
