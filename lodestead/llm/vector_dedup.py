@@ -115,25 +115,32 @@ def _sorted_blocks(vectors: DataFrame, axes: np.ndarray, eps: float, block: int)
 
 
 def _near_blocks(blocks: DataFrame, eps: float) -> DataFrame:
-    """(label, n, a, b) of block pairs, a <= b, whose boxes are within eps, found from the whole sequence down."""
+    """(label, n, a, b) of block pairs, a <= b, whose boxes are within eps, found from the whole sequence down.
+
+    The intervals of all levels are one small table, written once: a row for
+    each block and the levels above it, without vectors.
+    """
     names = [f"{e}{i}" for i in range(DIRECTIONS) for e in ("lo", "hi")]
     last = blocks.agg(F.max("seq")).first()[0] or 0
     levels = max(1, math.ceil(last.bit_length() / FAN_OUT_BITS))
+    at = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level")
+    tree = (
+        blocks.select("label", "n", "seq", *names, at)
+        .groupBy("label", "n", "level", F.expr(f"shiftright(seq, {FAN_OUT_BITS} * level)").alias("node"))
+        .agg(*[(F.min if c.startswith("lo") else F.max)(c).alias(c) for c in names])
+    )
+    tree = stored(blocks.sparkSession, tree, "vector-tree")
 
     def nodes(level: int, side: str) -> DataFrame:
-        at = F.shiftright("seq", FAN_OUT_BITS * level)
-        grouped = blocks.groupBy("label", "n", at.alias("node")).agg(
-            *[(F.min if c.startswith("lo") else F.max)(c).alias(f"{side}_{c}") for c in names]
-        )
-        return grouped.withColumn("parent", F.shiftright("node", FAN_OUT_BITS)).withColumnsRenamed(
-            {"node": f"{side}_node", "parent": side}
+        own = tree.filter(F.col("level") == level)
+        boxes = [F.col(c).alias(f"{side}_{c}") for c in names]
+        return own.select(
+            "label", "n", F.shiftright("node", FAN_OUT_BITS).alias(side), F.col("node").alias(f"{side}_node"), *boxes
         )
 
     pairs = nodes(levels, "a").select("label", "n", F.col("a_node").alias("a"), F.col("a_node").alias("b"))
-    apart = sum(
-        (F.pow(F.greatest(F.lit(0.0), F.col(f"b_lo{i}") - F.col(f"a_hi{i}"), F.col(f"a_lo{i}") - F.col(f"b_hi{i}")), 2) for i in range(DIRECTIONS)),
-        F.lit(0.0),
-    )
+    gap = lambda i: F.greatest(F.lit(0.0), F.col(f"b_lo{i}") - F.col(f"a_hi{i}"), F.col(f"a_lo{i}") - F.col(f"b_hi{i}"))
+    apart = sum((gap(i) * gap(i) for i in range(DIRECTIONS)), F.lit(0.0))
     for level in reversed(range(levels)):
         pairs = (
             pairs.join(nodes(level, "a"), ["label", "n", "a"])
