@@ -55,8 +55,7 @@ def boilerplate_lines(
     low, high = min_sites * (1 - _near(log_k)) - 1, min_sites * (1 + _near(log_k)) + 1
     near = spread.filter((F.col("sites") >= low) & (F.col("sites") <= high)).select("a", "b")
     exact = (
-        lines.join(near, ["a", "b"], "left_semi")
-        .groupBy("a", "b", "site").agg(F.lit(1).alias("one"))
+        lines.distinct().join(near, ["a", "b"], "left_semi")  # distinct first: combined before a shuffle
         .groupBy("a", "b").agg(F.count("*").alias("sites"))
         .filter(F.col("sites") >= min_sites)
     )
