@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestead.llm.text import small_batches
+
 #: The template's marks.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Strings that other templates read as control; none may stand in a formatted text but the template's own marks.
@@ -121,6 +123,7 @@ def format_turns(df: DataFrame, content: str = "text") -> DataFrame:
     content is empty, null parts are skipped, a null role is written as an
     empty one; offsets count code points.  Repeated rows are turns of their own.
     """
+    small_batches(df.sparkSession)
     plain = df.schema[content].dataType.simpleString() == "string"
     # Ids travel in a struct: in a column of their own nulls would turn them to floats.
     key = F.struct("conv_id", "turn", "role").alias("key")

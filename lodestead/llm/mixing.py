@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestead.llm.text import mix as mixed
-from lodestead.llm.text import stored, words
+from lodestead.llm.text import small_batches, stored
 
 WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2.0
 LEAF_ROWS, FAN_IN, SEED = 4096, 64, 20_240_501
@@ -185,6 +185,7 @@ def mix(
     a null source is a source.  Columns named like a result are replaced.
     """
     spark = df.sparkSession
+    small_batches(spark)
     results = ("size", "source_size", "target", "copies")
     base = df.withColumn("size", F.coalesce(size, F.lit(0)).cast("long")).drop("source_size", "target", "copies")
     targets = source_targets(base.select("source", "size"), weights, share, cap)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestead.llm.graph import connected_components
-from lodestead.llm.text import chunks, encoded, mix, stored
+from lodestead.llm.text import chunks, encoded, mix, small_batches, stored
 
 WORDS, PERCENT = 4, 85
 BAND = 1.2
@@ -347,6 +347,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     one of its texts is; repeated rows come back repeated.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     in_bucket = Window.partitionBy("key", "is_text")  # one window, so that rows are dealt out once
     rows = (

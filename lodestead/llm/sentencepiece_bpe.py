@@ -23,6 +23,8 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestead.llm.text import small_batches
+
 SPACE = "▁"
 #: Stretches and pairs of tokens that a worker remembers.
 CACHED, PAIRS = 100_000, 250_000
@@ -194,6 +196,7 @@ class Tokenizer:
     """Columns of ids and texts for a model file that the driver can read."""
 
     def __init__(self, spark: SparkSession, model_path: str):
+        small_batches(spark)
         sent = spark.sparkContext.broadcast(Vocabulary(model_path))
 
         def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestead.llm.text import encoded, mix, stored
+from lodestead.llm.text import encoded, mix, small_batches, stored
 
 LENGTH, GRAM = 200, 100
 PIECE = 2_000_000
@@ -437,6 +437,7 @@ def remove_repeats(
     fall inside a character.
     """
     spark = df.sparkSession
+    small_batches(spark)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(
         F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"),

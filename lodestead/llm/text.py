@@ -21,6 +21,13 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lowers the session's rows in an Arrow batch, which are texts here: 10,000 of them take too much of a worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def encoded(texts: Iterable[str | None]) -> list[bytes]:
     """UTF-8 bytes of texts; null is empty."""
     return [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]

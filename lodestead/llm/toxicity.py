@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestead.llm.text import small_batches
+
 BITS = 18
 MAX_DOCS = 10_000
 EPOCHS, RATE, DECAY, LEAST_DOCS, BATCH = 12, 1.0, 2e-5, 5, 256
@@ -190,6 +192,7 @@ def score(df: DataFrame, weights: np.ndarray, bias: float, text: str = "text", l
     Only the text is read.  Null and empty texts have no sentence and score 0.
     Offsets count code points.  Columns named like a result are replaced.
     """
+    small_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast((weights, bias))
 
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
