@@ -6,9 +6,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as contract
+from lodestead.queries import ORACLE_SQL, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+SQL = ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
