@@ -104,7 +104,10 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     # A window covers its words up to the next repeated window's start.
     covered = F.transform("__w", lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get("__w", k + 1) - p, F.lit(WINDOW))))
     total = F.aggregate(covered, F.lit(0), lambda a, x: a + x)
-    return df.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long")).drop("__w")
+    # A filter on a measure would be moved below these steps, with a copy of all their expressions
+    # wherever it refers to them; one on a column that asks for a row's number (always true) is not.
+    here = F.monotonically_increasing_id() >= 0
+    return df.withColumn("n_repeat_words", F.when(here, F.coalesce(total, F.lit(0)).cast("long"))).drop("__w")
 
 
 def broken(rule: Rule) -> Column:
@@ -137,6 +140,4 @@ def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
 def keep_good(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that break no rule, with their own columns only."""
     verdict = judge(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(text)), text, rules)
-    # A filter on a plain column would be moved below the measures, with a copy of all their
-    # expressions at each place that refers to them; one that asks for a row's number (always true) is not.
-    return verdict.withColumn("__keep", F.col("kept") & (F.monotonically_increasing_id() >= 0)).filter("__keep").select("__row.*")
+    return verdict.filter("kept").select("__row.*")
