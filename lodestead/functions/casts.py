@@ -14,7 +14,6 @@ from lodestead.functions.text import strip
 # Characters of plain decimal notation.  A bare try_cast would also take 1d, 0x1p3 or Infinity.
 _NUMBER_CHARACTERS = "0123456789.+-eE"
 _WHOLE_CHARACTERS = "0123456789+-"
-_BIGINT_LIMIT = 9.2e18
 
 
 def _only(text: Column, characters: str) -> Column:
@@ -31,12 +30,11 @@ def to_double(c: Column) -> Column:
 
 
 def to_long(c: Column) -> Column:
-    """Whole numbers, also written as 12.0; fractions become null."""
+    """Whole numbers, also written as 12.0 or 1e3; fractions become null.  No digit is lost above 2^53."""
     text = strip(c.cast("string"))
-    number = text.try_cast("double")
-    whole = (number == F.floor(number)) & (F.abs(number) < _BIGINT_LIMIT)
+    number = text.try_cast("decimal(38,18)")
     return F.when(_only(text, _WHOLE_CHARACTERS), text.try_cast("bigint")).when(
-        _only(text, _NUMBER_CHARACTERS) & whole, number.try_cast("bigint")
+        _only(text, _NUMBER_CHARACTERS) & (number == F.floor(number)), number.try_cast("bigint")
     )
 
 

@@ -38,7 +38,8 @@ def is_json(c: Column) -> Column:
     Inside a list with a closing mark the mark is only found in its place when
     the text is one whole value.
     """
-    listed = F.from_json(F.concat(F.lit("["), c, F.lit(f',"{_END}"]')), "array<string>")
+    text = F.concat(F.lit("["), c, F.lit(f',"{_END}"]'))
+    listed = F.from_json(text, "array<string>", {"allowSingleQuotes": "false"})
     whole = (F.size(listed) == 2) & (F.get(listed, F.lit(1)) == "\u0001end\u0001")
     return F.coalesce(whole, F.lit(False))
 

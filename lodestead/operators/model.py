@@ -106,13 +106,14 @@ def feature_importances(model: PipelineModel, n: int | None = 20) -> list[tuple[
 def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     """RMSE, MAE and R2, optionally per group, in one aggregate."""
     error = F.col(actual) - F.col(predicted)
+    told = F.when(error.isNotNull(), F.col(actual))  # rows without a prediction count nowhere
     return (
         df.groupBy(*by)
         .agg(
             F.sqrt(F.avg(error * error)).alias("rmse"),
             F.avg(F.abs(error)).alias("mae"),
             F.sum(error * error).alias("_rest"),
-            (F.var_pop(actual) * F.count(F.when(error.isNotNull(), F.col(actual)))).alias("_total"),
+            (F.var_pop(told) * F.count(told)).alias("_total"),
         )
         .withColumn("r2", 1 - F.try_divide("_rest", "_total"))
         .drop("_rest", "_total")

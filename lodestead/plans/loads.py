@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,51 +13,78 @@ from lodestead.operators.details import stage_details
 from lodestead.operators.keys import existing_keys, new_rows
 from lodestead.operators.projections import require_columns, stage_listings
 from lodestead.operators.quality import counted
-from lodestead.sources.sinks import append_table
+from lodestead.sources.sinks import append_table, laid_out
 from lodestead.sources.pages import embedded_json
 from lodestead.sources.snapshots import newest_snapshot, read_snapshot, read_table
 from lodestead.functions.casts import date_from_file_name
 
 
 def one_per_batch_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key of the batch, the last in ``order``; rows with a null key all stay.
+    """One row per key of the batch, the last in ``order``; rows with a null in the key are left out.
 
     The rank is taken in every map task before the shuffle, so a hot key sends
-    one row per task.  A row without a key is a group of its own, which also
-    spreads such rows over all tasks.
+    one row per task.
     """
-    no_key = F.lit(False)
+    ranked = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return with_key(batch, keys).withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
+
+
+def with_key(batch: DataFrame, keys: Sequence[str], present: bool = True) -> DataFrame:
+    """The rows whose key has no null, or with ``present=False`` the others."""
+    whole = F.lit(True)
     for k in keys:
-        no_key = no_key | F.col(k).isNull()
-    own = F.when(no_key, F.monotonically_increasing_id())
-    ranked = Window.partitionBy(*keys, "_own").orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return (
-        batch.withColumn("_own", own)
-        .withColumn("_rank", F.row_number().over(ranked))
-        .filter("_rank = 1")
-        .drop("_rank", "_own")
-    )
+        whole = whole & F.col(k).isNotNull()
+    return batch.filter(whole if present else ~whole)
+
+
+#: Load dates of one batch that are looked up in the target; a batch of more reads the target whole.
+MAX_DATES = 400
+
+
+def batch_dates(batch: DataFrame, date_column: str) -> list[str] | None:
+    """The load dates of a batch, for the target's partition filter; None for more than ``MAX_DATES``."""
+    days = batch.select(F.col(date_column).cast("string").alias("d")).filter("d is not null").distinct()
+    found = [r["d"] for r in days.limit(MAX_DATES + 1).collect()]
+    return found if len(found) <= MAX_DATES else None
 
 
 def keyed_append(
     batch: DataFrame, table: str, keys: Sequence[str], order: Sequence[str], dates: Iterable[str] | None = None,
-    date_column: str = "ingestionDate", dedup: bool = True,
+    date_column: str = "ingestionDate", dedup: bool = True, quarantine: str | None = None,
 ) -> dict[str, int]:
     """Append the batch rows whose key the table does not hold; returns the counters.
 
     One plan: dedup, anti join against the keys of the batch's partitions,
-    append.  The counters are filled by the write itself.
+    append.  Dedup and anti join are dealt by the same key, so the batch is
+    moved once for both.  Rows with a null in the key could never be found
+    again: they are counted and, with a ``quarantine`` table, appended there.
+    Without ``dates`` the batch's own dates limit the scan of the target.
     """
     spark = batch.sparkSession
+    dated = date_column in batch.columns
+    if dates is None and dated:
+        dates = batch_dates(batch, date_column)
     received, seen = counted(batch, "received", {})
-    unique = one_per_batch_key(received, keys, order) if dedup else received
+    keyed, whole = counted(with_key(received, keys), "keyed", {})
+    unique = one_per_batch_key(keyed, keys, order) if dedup else keyed
     added, kept = counted(new_rows(unique, read_table(spark, table), keys, dates, date_column), "added", {})
-    append_table(added, table)
-    return {"received": _first_count(seen), "appended": _first_count(kept)}
-
-
-def _first_count(observation) -> int:
-    return int(observation.get.get("rows", 0))
+    append_table(laid_out(added, [date_column], [k for k in keys if k != date_column]) if dated else added, table)
+    if quarantine:
+        append_table(with_key(batch, keys, present=False), quarantine)
+    rows = _count(seen, batch.count)
+    return {
+        "received": rows,
+        "without_key": rows - _count(whole, lambda: with_key(batch, keys).count()),
+        "appended": _count(kept, lambda: 0),
+    }
+
+
+def _count(observation, otherwise: Callable[[], int]) -> int:
+    """The observed rows.  Where nothing is appended Spark may drop the observed steps with the empty write."""
+    try:
+        return int(observation.get["rows"])
+    except (Py4JJavaError, KeyError):
+        return otherwise()
 
 
 def load_catalog_snapshot(

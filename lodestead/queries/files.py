@@ -78,7 +78,9 @@ def jsonl_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Event payloads as text lines, some cut short, some blank; counted by state."""
     path = scratch_path(spark, "lines")
     kind = F.col("event_type")
-    line = F.when(kind == "error", F.regexp_replace("props", r"\}$", "")).when(kind == "view", "  ").otherwise(F.col("props"))
+    quoted = F.translate("props", '"', "'")  # no JSON
+    line = F.when((kind == "error") & (F.col("event_id") % 2 == 0), quoted)
+    line = line.when(kind == "error", F.regexp_replace("props", r"\}$", "")).when(kind == "view", "  ").otherwise(F.col("props"))
     table(spark, sf, "events").select(line.alias("value")).write.text(path)
     states = json_files.read_json_lines(spark, path)
     k = F.when(F.col("state") == "ok", F.get_json_object("value", "$.k").cast("bigint"))

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lodestead.operators import keys
 from lodestead.operators.projections import union_all
@@ -145,20 +146,19 @@ def batch_numbers(spark: SparkSession, sf: str) -> DataFrame:
     return keys.batch_numbers(table(spark, sf, "pages").withColumnRenamed("url", "key"), "key", 50)
 
 
-def _landed_events(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """Events written as two rounds of Parquet files; returns (folder, schema)."""
+def _land_events(spark: SparkSession, sf: str, folder: str, part: int) -> StructType:
+    """One of two rounds of event files; returns their schema."""
     events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    folder = scratch_path(spark, "landing")
-    events.write.parquet(folder)
-    return folder, events.schema
+    events.filter(F.pmod("event_id", F.lit(2)) == part).write.mode("append").parquet(folder)
+    return events.schema
 
 
 @query("SELECT event_id, user_id, event_type, CAST(value * 2 AS DOUBLE) AS doubled FROM events")
 def stream_append(spark: SparkSession, sf: str) -> DataFrame:
-    """Every landed file is appended once, also when the stream is started again."""
-    folder, schema = _landed_events(spark, sf)
-    out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint")
-    for _ in range(2):
+    """Every landed file is appended once, also when more land and the stream is started again."""
+    folder, out, checkpoint = (scratch_path(spark, f"stream-{x}") for x in ("landing", "out", "checkpoint"))
+    for part in (0, 1):
+        schema = _land_events(spark, sf, folder, part)
         append_arrivals(
             arriving_files(spark, folder, schema),
             lambda df: df.select("event_id", "user_id", "event_type", (F.col("value") * 2).alias("doubled")),
@@ -172,13 +172,34 @@ def stream_append(spark: SparkSession, sf: str) -> DataFrame:
     SELECT DISTINCT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events
 """)
 def stream_keyed_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Micro-batches through the keyed load: one row per user and day in the table."""
-    folder, schema = _landed_events(spark, sf)
+    """Micro-batches of two rounds through the keyed load: one row per user and day in the table."""
+    folder, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream-checkpoint")
     name, path = f"streamed_{uuid.uuid4().hex}", scratch_path(spark, "stream-load")
     project = lambda df: df.select("user_id", "event_id", "ts", F.to_date("ts").alias("ingestionDate"))
-    create_table(spark, name, project(spark.read.schema(schema).parquet(folder)).schema, path)
-    load_arrivals(
-        arriving_files(spark, folder, schema, files_per_batch=4), project, name,
-        ["user_id", "ingestionDate"], ["ts", "event_id"],
-    ).awaitTermination()
+    for part in (0, 1):
+        schema = _land_events(spark, sf, folder, part)
+        if part == 0:
+            create_table(spark, name, project(spark.read.schema(schema).parquet(folder)).schema, path)
+        load_arrivals(
+            arriving_files(spark, folder, schema, files_per_batch=4), project, name,
+            ["user_id", "ingestionDate"], ["ts", "event_id"], checkpoint,
+        ).awaitTermination()
     return read_table(spark, name).select("user_id", F.col("ingestionDate").cast("string").alias("day"))
+
+
+@query("""
+    SELECT 'loaded' AS state, count(DISTINCT (user_id, CAST(ts AS DATE))) AS rows FROM events WHERE event_type <> 'view'
+    UNION ALL SELECT 'quarantined', count(*) FROM events WHERE event_type = 'view'
+""")
+def null_key_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Views lose their user: they are set aside, and a second load of the same batch appends nothing."""
+    user = F.when(F.col("event_type") != "view", F.col("user_id"))
+    events = _user_days(spark, sf).withColumn("user_id", user).withColumnRenamed("day", "ingestionDate")
+    names = [f"{kind}_{uuid.uuid4().hex}" for kind in ("staging", "aside")]
+    for name in names:
+        create_table(spark, name, events.schema, scratch_path(spark, "quarantine"))
+    keys, order = ["user_id", "ingestionDate"], ["ts", "event_id"]
+    keyed_append(events, names[0], keys, order, quarantine=names[1])
+    keyed_append(events, names[0], keys, order)
+    counts = [read_table(spark, n).agg(F.lit(s).alias("state"), F.count("*").alias("rows")) for n, s in zip(names, ("loaded", "quarantined"))]
+    return union_all(counts)

@@ -42,7 +42,8 @@ def required_filter(spark: SparkSession, sf: str) -> DataFrame:
            CASE WHEN l_linestatus = 'F' THEN TRUE WHEN l_returnflag = 'A' THEN FALSE END AS flag,
            CASE WHEN l_returnflag = 'A' THEN NULL ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M') END AS shipped,
            CASE WHEN l_returnflag = 'A' THEN NULL ELSE strftime(l_shipdate, '%Y-%m-%d') END AS ship_date,
-           strftime(l_shipdate, '%Y-%m-%d') AS from_epoch, CAST(l_linenumber AS VARCHAR) AS number_text
+           strftime(l_shipdate, '%Y-%m-%d') AS from_epoch, CAST(l_linenumber AS VARCHAR) AS number_text,
+           CAST(9007199254740993 + l_linenumber AS BIGINT) AS large
     FROM lineitem
 """)
 def type_coercion(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,15 +62,16 @@ def type_coercion(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("day_text"), shipped.alias("ship_date"),
         F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).alias("epoch"),
         F.col("l_linenumber").alias("number_text"),
+        F.concat(F.lit(9007199254740993) + F.col("l_linenumber"), F.lit(".0")).alias("large"),
     )
     typed = casts.cast_columns(rows, {
         "amount": "double", "pieces": "long", "flag": "boolean", "shipped": "timestamp", "ship_date": "date",
-        "number_text": "string",
+        "number_text": "string", "large": "long",
     })
     return typed.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "amount", "pieces", "flag",
         F.date_format("shipped", "yyyy-MM-dd HH:mm").alias("shipped"), F.col("ship_date").cast("string").alias("ship_date"),
-        casts.epoch_to_date_text(F.col("epoch")).alias("from_epoch"), "number_text",
+        casts.epoch_to_date_text(F.col("epoch")).alias("from_epoch"), "number_text", "large",
     )
 
 

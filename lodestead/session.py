@@ -30,6 +30,10 @@ def local_session(app: str, cores: str = "8", shuffle_partitions: int = 8, **con
     return spark
 
 
+#: Scratch folders of local sessions without a setting, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
@@ -42,9 +46,10 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="lodestead-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="lodestead-")
+    return _LOCAL[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

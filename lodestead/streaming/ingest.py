@@ -9,16 +9,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lodestead.plans.loads import keyed_append
-from lodestead.session import scratch_path
 
 
 def arriving_files(
     spark: SparkSession, folder: str, schema: StructType | str, pattern: str = "*.parquet",
-    files_per_batch: int | None = None,
+    files_per_batch: int | None = 1000,
 ) -> DataFrame:
     """New Parquet files below a folder, each seen exactly once per checkpoint.
 
-    Folder and pattern play the part of the event filter: other prefixes and
+    A backlog is taken in batches of ``files_per_batch``.  Folder and pattern play the part of the event filter: other prefixes and
     suffixes never enter the stream.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
@@ -28,11 +27,14 @@ def arriving_files(
 
 
 def append_arrivals(
-    stream: DataFrame, project: Callable[[DataFrame], DataFrame], path: str, checkpoint: str | None = None,
+    stream: DataFrame, project: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
     partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Project and append everything available, then stop."""
-    checkpoint = checkpoint or scratch_path(stream.sparkSession, "stream-checkpoint")
+    """Project and append everything available, then stop.
+
+    Every run into one ``path`` must name the same ``checkpoint``: the sink
+    skips batch numbers that it has seen, so a fresh one would lose files.
+    """
     writer = project(stream).writeStream.format("parquet").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -41,13 +43,15 @@ def append_arrivals(
 
 def load_arrivals(
     stream: DataFrame, project: Callable[[DataFrame], DataFrame], table: str, keys: Sequence[str],
-    order: Sequence[str], checkpoint: str | None = None,
+    order: Sequence[str], checkpoint: str, quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Keyed load per micro-batch.  A replayed batch finds its keys and adds nothing."""
-    checkpoint = checkpoint or scratch_path(stream.sparkSession, "stream-checkpoint")
+    """Keyed load per micro-batch.  A replayed batch finds its keys and adds nothing.
+
+    Runs that name the same ``checkpoint`` read each file once.
+    """
 
     def load(batch: DataFrame, _: int) -> None:
-        keyed_append(project(batch), table, keys, order)
+        keyed_append(project(batch), table, keys, order, quarantine=quarantine)
 
     return (
         stream.writeStream.foreachBatch(load)

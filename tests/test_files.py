@@ -190,7 +190,7 @@ def test_catalog_load(spark, folder, staging):
     assert loads.load_catalog_snapshot(spark, folder, staging) is None
     day = "2025-05-02"
     sinks.write_snapshot(raw(spark, listing("a", 1), listing("a", 2, "2025-05-01 11:00:00"), listing("b", 3)), folder, "l", day)
-    assert loads.load_catalog_snapshot(spark, folder, staging, run_date=day) == {"received": 3, "appended": 2}
+    assert loads.load_catalog_snapshot(spark, folder, staging, run_date=day) == {"received": 3, "without_key": 0, "appended": 2}
     assert loads.load_catalog_snapshot(spark, folder, staging, run_date=day)["appended"] == 0
     assert loads.load_catalog_snapshot(spark, folder, staging, run_date="2025-05-03")["appended"] == 2
     rows = spark.table(staging).filter("ingestionDate = date'2025-05-02' and slug = 'a'").collect()
@@ -204,7 +204,7 @@ def test_detail_load_takes_the_date_of_the_file(spark, folder):
     name = f"details_{uuid.uuid4().hex}"
     empty = details.stage_details(df.limit(0).withColumn("ingestionDate", F.lit("")))
     sinks.create_table(spark, name, empty.schema, scratch_path(spark, name))
-    assert loads.load_detail_snapshot(spark, folder, name) == {"received": 2, "appended": 1}
+    assert loads.load_detail_snapshot(spark, folder, name) == {"received": 2, "without_key": 0, "appended": 1}
     assert loads.load_detail_snapshot(spark, folder, name)["appended"] == 0
     assert spark.table(name).first()["ingestionDate"] == dt.date(2025, 5, 2)
 
