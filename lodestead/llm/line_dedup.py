@@ -17,6 +17,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestead.llm.text import stored
+
 MIN_SITES, MIN_CHARS, LOG_K = 10, 10, 12
 
 
@@ -55,7 +57,8 @@ def boilerplate_lines(
     low, high = min_sites * (1 - _near(log_k)) - 1, min_sites * (1 + _near(log_k)) + 1
     near = spread.filter((F.col("sites") >= low) & (F.col("sites") <= high)).select("a", "b")
     exact = (
-        lines.distinct().join(near, ["a", "b"], "left_semi")  # distinct first: combined before a shuffle
+        # Distinct first, combined before a shuffle; a semi join would be moved below it.
+        lines.distinct().join(near, ["a", "b"])
         .groupBy("a", "b").agg(F.count("*").alias("sites"))
         .filter(F.col("sites") >= min_sites)
     )
@@ -79,7 +82,8 @@ def remove_boilerplate(
     Repeated rows and rows without a key are treated like others; columns named
     ``n_lines`` or ``n_removed`` are replaced.
     """
-    bad = boilerplate_lines(df, text, site, min_sites, min_chars, log_k)
+    # Written once: few rows, whose size Spark then knows when it plans the join with all lines.
+    bad = stored(df.sparkSession, boilerplate_lines(df, text, site, min_sites, min_chars, log_k), "boilerplate")
     own = F.xxhash64(F.col(key), F.col(text))
     found = (
         df.select(own.alias("__own"), F.explode(_line_hashes(F.col(text), min_chars)).alias("line"))
