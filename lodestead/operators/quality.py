@@ -109,6 +109,10 @@ def exact_quantiles(
         small = [k for k in open_keys if values.get(k, 0) <= max_values]
         if small:
             ranked = _values_at_ranks(df, small, wanted, brackets, below, max_values * 2 * len(small))
+            if ranked is None:  # more values than estimated: one more narrowing, and all are asked again
+                _narrow(df, small, wanted, brackets, below, inside, accuracy)
+                _measure(df, small, brackets, below, inside)
+                continue
             for (c, p), (lo, hi) in ranked.items():
                 weight = p * (counts[c] - 1) - math.floor(p * (counts[c] - 1))
                 out[c][p] = lo + (hi - lo) * weight
@@ -166,8 +170,8 @@ def _distinct_values(df, keys, brackets) -> dict:
     return dict(zip(keys, df.agg(*asks).first()))
 
 
-def _values_at_ranks(df, keys, wanted, brackets, below, limit) -> dict:
-    """The values at the wanted ranks, from the value counts inside the brackets."""
+def _values_at_ranks(df, keys, wanted, brackets, below, limit) -> dict | None:
+    """The values at the wanted ranks, from the value counts inside the brackets; None for more than ``limit``."""
     by_column: dict = {}
     for k in keys:
         by_column.setdefault(k[0], []).append(k)
@@ -186,7 +190,7 @@ def _values_at_ranks(df, keys, wanted, brackets, below, limit) -> dict:
         .collect()
     )
     if len(found) > limit:
-        raise RuntimeError("bracket holds more distinct values than estimated; raise max_values")
+        return None
     out = {}
     for k in keys:
         low, high = brackets[k]
