@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -207,6 +207,6 @@ def score(df: DataFrame, weights: np.ndarray, bias: float, text: str = "text", l
     return df.select(*kept, made).select(*kept, "__made.score", "__made.offending")
 
 
-def held_out(doc_id) -> object:
+def held_out(doc_id: str) -> Column:
     """True for ids whose documents never train; rows without an id never train nor test."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
