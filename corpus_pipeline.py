@@ -15,6 +15,8 @@ from lodestead.llm import line_dedup, mixing, ngram_join, quality_rules, sentenc
 from lodestead.llm.text import stored, words
 
 MODEL = "piece_bpe_32k.model"
+#: Near copies share this percentage of their shingles of so many words; op4_ngram_join has a contract of its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that share an id are one document, of which the least text stays.
     """
-    groups = ngram_join.near_duplicates(docs)
+    groups = ngram_join.near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     dropped = groups.filter("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.filter("doc_id is not null").join(dropped, "doc_id", "left_anti")
     one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars"))

@@ -170,6 +170,28 @@ def test_stages_take_empty_and_odd_documents(spark):
         docs.count()
 
 
+def test_near_copies_share_four_fifths_of_five_words(spark):
+    base = [f"w{i}" for i in range(1000)]
+    inserted = base[:500] + [f"i{i}" for i in range(200)] + base[500:]
+    appended = base + [f"a{i}" for i in range(240)]
+    scattered = [f"s{i}" if i % 45 == 22 and i < 990 else w for i, w in enumerate(base)]
+    far = base + [f"f{i}" for i in range(260)]
+
+    def jaccard(a, b, n):
+        x, y = ({tuple(t[i : i + n]) for i in range(len(t) - n + 1)} for t in (a, b))
+        return len(x & y) / len(x | y)
+
+    for copy in (inserted, appended, scattered):
+        assert jaccard(base, copy, 5) >= 0.8 and jaccard(base, copy, 4) < 0.85
+    assert jaccard(base, far, 5) < 0.8
+    rows = []
+    for i, copy in enumerate((inserted, appended, scattered, far)):  # each pair in words of its own
+        rows += [(10 * i + k, " ".join(f"{i}{w}" for w in text), "en", "s", 0) for k, text in enumerate((base, copy))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 10, 20, 30, 31]
+
+
 def test_run_gives_token_digests(spark):
     got = corpus_pipeline.run(spark, SF_DIR)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 50
