@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +12,10 @@ from lodestead.functions.casts import to_double
 from lodestead.functions.json_text import variant_text
 from lodestead.functions.names import column_name, column_name_of
 from lodestead.functions.text import normalise
-from lodestead.operators.keys import hash_bucket
+from lodestead.operators.keys import batch_numbers, hash_bucket
 from lodestead.operators.projections import drop_columns, present_columns
 from lodestead.operators.quality import exact_quantiles
+from lodestead.session import scratch_path
 
 # --- lists -----------------------------------------------------------------
 
@@ -25,6 +27,7 @@ def list_length(c: Column) -> Column:
 # --- multi-hot -------------------------------------------------------------
 
 PREFIX = "feat_cat_"
+INDEXES, VECTOR = "feature_indexes", "feature_vector"
 _BETWEEN = "\u0001"
 
 
@@ -58,7 +61,8 @@ def feature_vocabulary(
     """Column name -> the raw pairs that map to it.
 
     Distinct pairs are found in parallel; at most ``max_pairs`` reach the
-    driver.  More is an error: :func:`features_long` has no such limit.
+    driver.  More is an error: :func:`feature_index` and :func:`features_long`
+    have no such limit.
     """
     found = df.select(F.explode(pairs).alias("pair")).distinct().limit(max_pairs + 1).collect()
     if len(found) > max_pairs:
@@ -84,12 +88,58 @@ def multi_hot(df: DataFrame, pairs: str, vocabulary: Mapping[str, Sequence[str]]
 def features_long(df: DataFrame, key: str, pairs: str) -> DataFrame:
     """Distinct (key, feature column) rows for vocabularies too wide for columns."""
     exploded = df.select(key, F.explode(pairs).alias("pair")).distinct()
+    return exploded.join(_named_pairs(exploded), "pair").select(key, "feature").distinct()
+
+
+def _named_pairs(exploded: DataFrame) -> DataFrame:
+    """(pair, feature column) for each distinct pair."""
     parts = F.split("pair", _BETWEEN, 2)
-    names = exploded.select("pair").distinct().select(
+    return exploded.select("pair").distinct().select(
         "pair",
         F.concat(F.lit(PREFIX), column_name_of(parts[0]), F.lit("_"), column_name_of(parts[1])).alias("feature"),
     )
-    return exploded.join(names, "pair").select(key, "feature").distinct()
+
+
+def feature_index(df: DataFrame, pairs: str) -> DataFrame:
+    """The vocabulary as a table (pair, feature, index), of any width; nothing is collected.
+
+    Its pairs are kept in the scratch folder.  Features are numbered from 0 without gaps, pairs of one feature alike.
+    """
+    spark = df.sparkSession
+    named = _named_pairs(df.select(F.explode(pairs).alias("pair")))
+    path = scratch_path(spark, "feature-pairs")
+    named.write.parquet(path)
+    named = spark.read.schema(named.schema).parquet(path)
+    numbers = batch_numbers(named, "feature", 1, "index")
+    return named.join(numbers, "feature").select("pair", "feature", F.col("index").cast("int").alias("index"))
+
+
+def _distinct_lists(df: DataFrame, pairs: str, vocabulary: DataFrame) -> DataFrame:
+    """(list, sorted indexes of its features) for each distinct list that has one of the vocabulary."""
+    lists = df.select(F.col(pairs).alias("_list")).distinct()
+    met = lists.select("_list", F.explode("_list").alias("pair")).join(vocabulary.select("pair", "index"), "pair")
+    return met.groupBy("_list").agg(F.array_sort(F.collect_set("index")).alias(INDEXES))
+
+
+def multi_hot_indexes(df: DataFrame, pairs: str, vocabulary: DataFrame) -> DataFrame:
+    """Adds the sorted indexes of the row's features as ``feature_indexes``, the sparse form of :func:`multi_hot`."""
+    joined = df.join(_distinct_lists(df, pairs, vocabulary), F.col(pairs) == F.col("_list"), "left")
+    return joined.select(*df.columns, F.coalesce(INDEXES, F.array().cast("array<int>")).alias(INDEXES))
+
+
+def multi_hot_vector(df: DataFrame, pairs: str, vocabulary: DataFrame) -> DataFrame:
+    """Adds the 0/1 features as the sparse vector ``feature_vector``; only their number reaches the driver."""
+    size = vocabulary.select("index").distinct().count()
+    vector = F.udf(lambda found: Vectors.sparse(size, found, [1.0] * len(found)), VectorUDT())
+    indexed = multi_hot_indexes(df, pairs, vocabulary)
+    return indexed.select(*df.columns, vector(INDEXES).alias(VECTOR, metadata={"ml_attr": {"num_attrs": size}}))
+
+
+def hot_columns(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """One 0/1 column per feature in place of ``feature_indexes``; the driver gets the names, which are the schema."""
+    names = sorted(map(tuple, vocabulary.select("feature", "index").distinct().collect()))
+    hot = [f"cast(array_contains({INDEXES}, {i}) as int) AS `{name}`" for name, i in names]
+    return df.selectExpr("*", *hot).drop(INDEXES)
 
 
 # --- fills and ranks -------------------------------------------------------
@@ -181,8 +231,13 @@ CATEGORIES = (
 )
 
 
-def model_table(flat: DataFrame, max_pairs: int = 5_000) -> DataFrame:
-    """Flat rows to the model table: list counts and multi-hot columns, row key kept."""
+def model_table(flat: DataFrame, sparse: bool = False, vocabulary: DataFrame | None = None) -> DataFrame:
+    """Flat rows to the model table: list counts and multi-hot columns, row key kept.
+
+    ``sparse`` gives the features as one vector, for vocabularies too wide for
+    columns.  ``vocabulary`` is that of an earlier table (:func:`feature_index`),
+    by default that of these rows.
+    """
     kept = flat.select(*present_columns(flat, MODEL_COLUMNS))
     counted = kept.withColumns(
         {
@@ -192,5 +247,10 @@ def model_table(flat: DataFrame, max_pairs: int = 5_000) -> DataFrame:
     )
     if "features_by_category" in kept.columns:
         paired = counted.withColumn("_pairs", label_value_pairs("features_by_category"))
-        counted = multi_hot(paired, "_pairs", feature_vocabulary(paired, "_pairs", max_pairs))
+        if vocabulary is None:
+            vocabulary = feature_index(paired, "_pairs")
+        if sparse:
+            counted = multi_hot_vector(paired, "_pairs", vocabulary)
+        else:
+            counted = hot_columns(multi_hot_indexes(paired, "_pairs", vocabulary), vocabulary)
     return drop_columns(counted, ["image_urls", "features", "features_by_category", "_pairs"])

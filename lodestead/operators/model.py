@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
@@ -48,14 +48,18 @@ def fit_boosted_trees(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
     validation: str | None = None, max_iter: int = 1000, max_categories: int = 10_000,
     step_size: float = 0.05, max_depth: int = 5, tolerance: float = 0.01, seed: int = 42,
+    vectors: Sequence[str] = (), hashed: Mapping[str, int] | None = None,
 ) -> PipelineModel:
     """Index the categories, assemble the vector, fit the trees.
 
     ``validation`` names a boolean column whose true rows stop the boosting
     early.  Category indexes go to the driver, so their number is checked
-    first.
+    first; a category in ``hashed`` is put into so many buckets instead, by its
+    hash.  ``vectors`` are vector columns, which come after all others.
     """
     spark = train.sparkSession
+    hashed = {c: n for c, n in (hashed or {}).items() if c in categorical}
+    categorical = [c for c in categorical if c not in hashed]
     bins = 32
     if categorical:
         row = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
@@ -66,9 +70,13 @@ def fit_boosted_trees(
     _use_checkpoints(spark)
     indexed = [f"{c}_index" for c in categorical]
     stages = [_known_numbers(numeric)]
+    if hashed:
+        buckets = ", ".join(f"cast(pmod(xxhash64(`{c}`), {n}) as double) AS `{c}_index`" for c, n in hashed.items())
+        stages.append(SQLTransformer(statement=f"SELECT *, {buckets} FROM __THIS__"))
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[*[_KNOWN + c for c in numeric], *indexed], outputCol="features_vector"))
+    inputs = [*[_KNOWN + c for c in numeric], *indexed, *[f"{c}_index" for c in hashed], *vectors]
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features_vector"))
     trees = GBTRegressor(
         featuresCol="features_vector", labelCol=target, predictionCol="prediction", maxIter=max_iter,
         stepSize=step_size, maxDepth=max_depth, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=bins,
@@ -96,11 +104,25 @@ def _use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
 
 
-def feature_importances(model: PipelineModel, n: int | None = 20) -> list[tuple[str, float]]:
-    """The ``n`` most important features, by share of impurity gain."""
-    names = [c.removeprefix(_KNOWN).removesuffix("_index") for c in model.stages[-2].getInputCols()]
-    pairs = zip(names, model.stages[-1].featureImportances.toArray().tolist())
-    return sorted(pairs, key=lambda p: (-p[1], p[0]))[:n]
+def feature_importances(
+    model: PipelineModel, n: int | None = 20, vocabulary: DataFrame | None = None
+) -> list[tuple[str, float]]:
+    """The ``n`` most important features, by share of impurity gain.
+
+    Entries of a sparse vector are named by ``vocabulary``, else by their place.
+    """
+    columns = model.stages[-2].getInputCols()
+    names = [c.removeprefix(_KNOWN).removesuffix("_index") for c in columns if c != fx.VECTOR]
+    gains = model.stages[-1].featureImportances.toArray().tolist()
+    if fx.VECTOR in columns:
+        names += [f"{fx.VECTOR}[{i}]" for i in range(len(gains) - len(names))]
+    best = sorted(zip(names, gains), key=lambda p: (-p[1], p[0]))[:n]
+    if vocabulary is not None:
+        entry = F.concat(F.lit(fx.VECTOR + "["), F.col("index"), F.lit("]"))
+        known = vocabulary.select(entry.alias("entry"), "feature").filter(entry.isin([c for c, _ in best])).distinct().collect()
+        told = dict(map(tuple, known))
+        best = [(told.get(c, c), gain) for c, gain in best]
+    return best
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:

@@ -42,12 +42,22 @@ def clean_staging(
     return out.withColumns({c: clean_category(F.col(c)) for c in categories if c in out.columns})
 
 
-def train_price_model(lines: DataFrame, max_iter: int = 1000) -> tuple[PipelineModel, DataFrame]:
-    """Fit on 80 % of the ads; metrics for both parts of the split."""
-    rows = mx.training_rows(fx.model_table(flat_rows(lines)))
+def train_price_model(
+    lines: DataFrame, max_iter: int = 1000, vocabulary: DataFrame | None = None, hashed: Mapping[str, int] | None = None
+) -> tuple[PipelineModel, DataFrame]:
+    """Fit on 80 % of the ads; metrics for both parts of the split.
+
+    The features of ads are one sparse vector by ``vocabulary``; give one
+    (``features.feature_index``) to use the model on other rows or to name its
+    importances.  ``hashed`` gives wide categories a number of buckets.
+    """
+    rows = mx.training_rows(fx.model_table(flat_rows(lines), sparse=True, vocabulary=vocabulary))
     rows = rows.withColumn("is_test", fx.in_test_split(F.col("ad_id")))
     # Rounds stop early by part of the training ads, so the test ads stay unseen.
     rows = rows.withColumn("is_validation", ~F.col("is_test") & (fx.hash_bucket(F.concat(F.lit("v"), F.col("ad_id")), 100) < 20))
     numeric, categorical = mx.feature_columns(rows)
-    fitted = mx.fit_boosted_trees(rows.filter(~F.col("is_test")), numeric, categorical, "price", "is_validation", max_iter)
+    fitted = mx.fit_boosted_trees(
+        rows.filter(~F.col("is_test")), numeric, categorical, "price", "is_validation", max_iter,
+        vectors=[c for c in (fx.VECTOR,) if c in rows.columns], hashed=hashed,
+    )
     return fitted, mx.regression_metrics(fitted.transform(rows), "price", "prediction", ["is_test"])

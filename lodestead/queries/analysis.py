@@ -102,7 +102,8 @@ def multi_hot(spark: SparkSession, sf: str) -> DataFrame:
     text = F.when(F.col("event_type") == "view", '{"label": "x"}').otherwise(F.to_json(lists))
     rows = spread_table(spark, sf, "events", "event_id", "event_type", "value").select("event_id", text.alias("json"))
     paired = rows.withColumn("pairs", features.label_value_pairs("json"))
-    return features.multi_hot(paired, "pairs", features.feature_vocabulary(paired, "pairs")).drop("json", "pairs")
+    vocabulary = features.feature_index(paired, "pairs")
+    return features.hot_columns(features.multi_hot_indexes(paired, "pairs", vocabulary), vocabulary).drop("json", "pairs")
 
 
 @query("""

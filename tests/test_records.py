@@ -185,6 +185,36 @@ def test_multi_hot_joins_spellings_and_skips_malformed(spark):
         features.feature_vocabulary(df, "p", max_pairs=2)
 
 
+def test_features_have_no_limit(spark):
+    n = 5_100
+    wide = [(i, json.dumps([{"label": "k", "values": [f"v{3 * i + k}" for k in range(3)] + ["V-0"]}])) for i in range(n // 3)]
+    df = spark.createDataFrame([*wide, (n, "bad"), (n + 1, None)], "ad_id int, features_by_category string").repartition(3)
+    paired = df.withColumn("p", features.label_value_pairs("features_by_category"))
+    vocabulary = features.feature_index(paired, "p")
+    number = {r.feature: r["index"] for r in vocabulary.collect()}
+    assert sorted(number.values()) == list(range(n + 1)) and "feat_cat_k_v0" in number and "feat_cat_k_v_0" in number
+    want = {i: sorted(number[f"feat_cat_k_{v}"] for v in (f"v{3 * i}", f"v{3 * i + 1}", f"v{3 * i + 2}", "v_0")) for i in range(n // 3)}
+    want |= {n: [], n + 1: []}
+    sparse = features.model_table(df, sparse=True, vocabulary=vocabulary).collect()
+    assert {r.ad_id: r.feature_vector.indices.tolist() for r in sparse} == want
+    assert {r.feature_vector.size for r in sparse} == {n + 1}
+    shown = features.model_table(df)
+    hot = [c for c in shown.columns if c.startswith(features.PREFIX)]
+    assert hot == sorted(number)
+    (row,) = shown.filter("ad_id = 7").collect()
+    assert {number[c] for c in hot if row[c]} == set(want[7])
+
+
+def test_wide_categories_are_hashed_by_argument(spark):
+    rows = spark.createDataFrame([(i, f"c{i}", float(i % 7)) for i in range(60)], "area int, city string, price double")
+    with pytest.raises(ValueError, match="a category has"):
+        model.fit_boosted_trees(rows, ["area"], ["city"], "price", max_iter=1, max_categories=10)
+    fitted = model.fit_boosted_trees(rows, ["area"], ["city"], "price", max_iter=1, max_categories=10, hashed={"city": 16})
+    assert {c for c, _ in model.feature_importances(fitted)} == {"area", "city"}
+    buckets = {r.city_index for r in fitted.transform(rows).select("city_index").collect()}
+    assert len(buckets) > 8 and buckets <= {float(i) for i in range(16)}
+
+
 def test_training_rows(spark):
     rows = [
         ("100", "T4", None, "Rés do chão", "D", None, None),
