@@ -1,4 +1,4 @@
-"""Removal of long repeated passages by sorted suffixes in range-partitioned buckets.
+"""Removal of long repeated passages by sorted hashes of strings in range-partitioned buckets.
 
 A byte goes if a string of ``length`` bytes that covers it starts anywhere else.
 Every start is a suffix, of which the first ``length`` bytes matter.  Sorting all
@@ -6,11 +6,10 @@ of them would move each text hundreds of times, so two rounds sort few:
 
 1. The starts of a text fall into runs with a common anchor: the place of the
    least hash among the ``GRAM``-byte strings in a start's window.  Equal strings
-   have equal anchors, so only anchors' suffixes are sorted, by their leading
-   bytes.  A run whose anchor is unlike all others holds no repeat; a run that
+   have equal anchors, so only anchors are sorted, by their hashes.  A run whose anchor is unlike all others holds no repeat; a run that
    stands elsewhere with all its bytes is repeated as a whole.
 2. Only starts of the runs between, and of one run for each of the classes that
-   they may meet, are sorted by their whole strings.
+   they may meet, are sorted by the hashes of their whole strings.
 
 In both rounds splitters sampled from the data cut the order of leading bytes
 into buckets; strings that are too common for a bucket are cut by what follows.
@@ -20,7 +19,8 @@ are sorted key by key: the first key, then the next one among equals.  Splitters
 never part equal keys, so that nothing is left to compare across a boundary but
 the anchors that are known to be common, which are marked as such.
 
-Strings are known by 64-bit hashes with a second one beside them.
+Strings are known by 64-bit hashes with a second one beside them, which are what
+is sorted: there is no multikey quicksort, and leading bytes only choose a bucket.
 """
 
 from __future__ import annotations
