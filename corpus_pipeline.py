@@ -64,7 +64,7 @@ STAGES = [
     ("sentencepiece", tokens),
 ]
 
-#: The dependent rounding of the mixture has no SQL; tests hold the stages against brute force.
+#: The dependent rounding of the mixture has no SQL; a test holds the stages against plain Python on a small fixture.
 ORACLE_SQL = None
 
 

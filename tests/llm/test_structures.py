@@ -3,9 +3,14 @@
 import hashlib
 import itertools
 import math
+import re
+from array import array
+from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -192,6 +197,90 @@ def test_near_copies_share_four_fifths_of_five_words(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 10, 20, 30, 31]
 
 
+def good(text):
+    """The quality rules in plain Python."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if x.strip()]
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    often = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(8)}
+    n = len(words)
+    return (
+        n >= 20 and 100 * len(covered) <= 30 * n and 2 * n <= sum(map(len, words)) <= 15 * n
+        and 4 * len(re.findall(r"[#*$%&|<>]", text)) <= n and 4 * text.count("!") <= n
+        and (n < 50 or 100 * sum(w in quality_rules.STOP_WORDS for w in words) >= 2 * n)
+        and 2 * (len(lines) - len(set(lines))) <= len(lines)
+    )
+
+
+def smallest_of_groups(texts):
+    """Ids that stay: the smallest of each component of texts with 5-word Jaccard of 0.8 and more."""
+    sets = {}
+    for i, t in texts.items():
+        w = t.lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    low = {i: i for i in texts}
+    pairs = [(a, b) for a, b in itertools.combinations(sets, 2) if (x := len(sets[a] & sets[b])) and 10 * x >= 8 * len(sets[a] | sets[b])]
+    for _ in texts:
+        for a, b in pairs:
+            low[a] = low[b] = min(low[a], low[b])
+    return {i for i in texts if low[i] == i}
+
+
+def test_stages_against_plain_python(spark):
+    rng = np.random.default_rng(6)
+    said = ["the", "of", "and", *(f"w{i}" for i in range(400))]
+    texts = []
+    for i in range(24):
+        w = ["the", *rng.choice(said, 119), "end"]
+        changed, far = list(w), list(w)
+        changed[60] = "changed"
+        for k in range(10, 110, 15):
+            far[k] = "far"
+        longer = w + [f"more{i}-{k}" for k in range(18)]  # 5-word Jaccard above 0.8, 4-word below 0.85
+        texts += [" ".join(x) for x in (w, (changed, far, longer, w)[i % 4])]
+    bad = ["too few", "the " + "ab cd " * 40, "the and of " + "w! " * 30, "# $ " * 20 + "the of", "x" * 700 + " the" * 21, " ".join(f"v{i}" for i in range(60))]
+    bad += ["\n".join(["one line of the house"] * 6)]
+    texts = [
+        f"a line that stands on all sites\n{t}\n  on nine sites only  {'' if i % 12 < 9 else i}\nshort" for i, t in enumerate(texts)
+    ] + bad
+    rows = [(i, t, "en", f"site{i % 12}", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    stage = dict(corpus_pipeline.STAGES)
+
+    ruled = stage["quality rules"](spark, docs, SF_DIR).cache()
+    want = [r for r in rows if good(r[1])]
+    assert sorted(map(tuple, ruled.collect())) == want and 40 < len(want) < len(rows)
+
+    lined = stage["line dedup"](spark, ruled, SF_DIR).cache()
+    sites = {}
+    for _, t, _, site, _ in want:
+        for line in t.split("\n"):
+            sites.setdefault(line.strip(" "), set()).add(site)
+    common = {x for x, on in sites.items() if len(x) >= 10 and len(on) >= 10}
+    assert common == {"a line that stands on all sites"}
+    kept = [(i, "\n".join(x for x in t.split("\n") if x.strip(" ") not in common), lang, site) for i, t, lang, site, _ in want]
+    want = [(*r, len(r[1])) for r in kept]
+    assert sorted(map(tuple, lined.collect())) == want
+
+    single = stage["n-gram near duplicates"](spark, lined, SF_DIR).cache()
+    stay = smallest_of_groups({r[0]: r[1] for r in want})
+    want = [r for r in want if r[0] in stay]
+    assert sorted(map(tuple, single.collect())) == want and len(want) < len(kept)
+
+    taken = stage["mixing"](spark, single, SF_DIR).cache()
+    copies = Counter(map(tuple, taken.collect()))
+    assert copies and set(copies) <= set(want) and max(copies.values()) <= 2
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(corpus_pipeline.MODEL))
+    told = []
+    for r in copies.elements():
+        ids = library.encode(r[1], add_bos=True, add_eos=True)
+        sha = lambda x: hashlib.sha256(x).hexdigest()
+        told.append((r[0], len(ids), sha(array("I", ids).tobytes()), sha(library.decode(ids).encode())))
+    assert sorted(map(tuple, stage["sentencepiece"](spark, taken, SF_DIR).collect())) == sorted(told)
+
+
 def test_run_gives_token_digests(spark):
     got = corpus_pipeline.run(spark, SF_DIR)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 50
