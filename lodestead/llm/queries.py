@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import chat_format, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup, toxicity, vector_dedup
+from lodestead.llm import chat_format, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup, token_files, toxicity, vector_dedup
 from lodestead.llm.text import words
+from lodestead.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -204,3 +205,9 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@_query()
+def op13_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents", "doc_id", "text")
+    return token_files.token_table(docs, scratch_path(spark, "token-files"), _tokenizer("word_bpe_49k.json"))

@@ -21,11 +21,11 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Lowers the session's rows in an Arrow batch, which are texts here: 10,000 of them take too much of a worker."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 32 << 20) -> None:
+    """Lowers the session's rows and bytes in an Arrow batch, which are texts here: 10,000 of them take too much of a worker."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        if not 0 < int(spark.conf.get(name).rstrip("b")) <= most:
+            spark.conf.set(name, str(most))
 
 
 def encoded(texts: Iterable[str | None]) -> list[bytes]:
