@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import chat_format, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup, token_files, toxicity, vector_dedup
+from lodestead.llm import chat_format, lexical_search, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup, token_files, toxicity, vector_dedup
 from lodestead.llm.text import words
 from lodestead.session import scratch_path
 
@@ -211,3 +211,27 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op13_token_files(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents", "doc_id", "text")
     return token_files.token_table(docs, scratch_path(spark, "token-files"), _tokenizer("word_bpe_49k.json"))
+
+
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_TERMS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}')"
+
+
+@_query(f"""
+    WITH d AS (SELECT * FROM (SELECT row_number() OVER () AS r, doc_id, {_TERMS_SQL} AS ts FROM documents) WHERE len(ts) > 0),
+    s AS (SELECT count(*) AS nd, CAST(sum(len(ts)) AS BIGINT) AS l FROM d),
+    p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY r, term),
+    w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+          FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+    i AS (SELECT q, any_value(item_id) AS item_id, term, count(*) AS qtf
+          FROM (SELECT q, item_id, unnest({_TERMS_SQL}) AS term
+                FROM (SELECT row_number() OVER () AS q, * FROM (SELECT DISTINCT item_id, text FROM benchmark))) GROUP BY q, term),
+    scored AS (SELECT q, any_value(i.item_id) AS item_id, r, any_value(doc_id) AS doc_id,
+                      CAST(sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * ({100 - 25} + (25 * len(ts) * nd) // l)))) AS BIGINT) AS score
+               FROM i JOIN w USING (term) JOIN p USING (term) JOIN d USING (r), s GROUP BY q, r)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0 QUALIFY rank <= {lexical_search.TOP}
+""")
+def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf, "documents", "doc_id", "text"), _table(spark, sf, "benchmark", "item_id", "text"))
