@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestead.llm import chat_format, lexical_search, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup, token_files, toxicity, vector_dedup
+from lodestead.llm import chat_format, hard_negatives, lexical_search, line_dedup, mixing, ngram_join, quality_rules, secret_scan, sentencepiece_bpe, suffix_dedup, token_files, toxicity, vector_dedup
 from lodestead.llm.text import words
 from lodestead.session import scratch_path
 
@@ -235,3 +235,25 @@ _TERMS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_U
 """)
 def op12_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
     return lexical_search.search(_table(spark, sf, "documents", "doc_id", "text"), _table(spark, sf, "benchmark", "item_id", "text"))
+
+
+@_query(f"""
+    WITH v AS (SELECT DISTINCT vec_id AS id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+               WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.id AS a, a.label AS a_label, b.id AS b, b.label AS b_label, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 100 = 0),
+    p AS (SELECT a, b AS positive_id, score AS positive_score FROM s WHERE a_label = b_label
+          QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= {hard_negatives.POSITIVES})
+    SELECT a AS anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY a, positive_id ORDER BY score DESC, b) AS INTEGER) AS rank,
+           b AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (a) WHERE a_label <> b_label
+      AND {hard_negatives.LOW} * positive_score <= 100 * score AND 100 * score <= {hard_negatives.HIGH} * positive_score
+    QUALIFY rank <= {hard_negatives.NEGATIVES}
+""")
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _table(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
