@@ -174,7 +174,7 @@ class _Group:
         low, high = products.min(axis=0).sum(axis=1) - spread, products.max(axis=0).sum(axis=1) + spread
         order = np.argsort(-high, kind="stable")
         blocks, low, high = blocks[order], low[order], high[order]
-        at, step = 0, 4
+        at, step = 0, 1
         while at < len(blocks):
             some = slice(at, at + step)
             good = blocks[some][may_count(low[some], high[some])]

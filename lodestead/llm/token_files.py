@@ -9,18 +9,22 @@ and row groups by this metadata (``read_documents``).
 
 Encoding equals the tokenizers library's.  The vocabulary drops white space and
 no token of it crosses ASCII white space, so texts are cut there and each
-different piece is encoded once in a worker; ids are then gathered for whole
-batches.  Texts that hold a special token's string go to the library whole.
+different piece is encoded once in a worker, as long as it is remembered; ids
+are then gathered for whole batches.  Texts that hold a special token's string
+go to the library whole.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +33,12 @@ from lodestead.llm.text import chunks, small_batches, stored
 END_ID = 2
 #: Rows between two index entries of a file, bytes of a stripe and share of false positives of its Bloom filters.
 ROW_STRIDE, STRIPE_BYTES, FALSE_POSITIVES = 1000, 16 << 20, 0.01
+#: A stripe is closed at one of so many rows: long documents must not pile up.
+CHECKED_ROWS = 100
 #: Different pieces that a worker remembers, and bytes of text that are gathered at once.
-CACHED, CHUNK = 400_000, 4_000_000
+CACHED, CHUNK = 600_000, 4_000_000
+#: Fixed value: the mark of a token that ends a word.
+WORD_END = "</w>"
 
 #: A piece of these bytes only is cut further where letters, digits and signs meet; apostrophes begin tokens of two letters.
 _PLAIN = re.compile(rb"[!-&(-~]+")
@@ -43,53 +51,109 @@ class Encoder:
     """Ids of texts as one array with an end for each text."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a worker has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
-        self.forget()
-
-    def forget(self) -> None:
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        vocabulary = self.library.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        #: Place of each remembered piece; ``flat[starts[i] : starts[i + 1]]`` are its ids, ``uses`` how often it was met.
         self.known: dict[bytes, int] = {}
-        self.parts: dict[bytes, list[int]] = {}
-        self.starts, self.flat, self.used = np.zeros(1, np.int64), np.zeros(1 << 16, np.int32), 0
+        self.starts, self.flat, self.uses = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
 
-    def whole(self, text: bytes) -> np.ndarray:
-        return np.array(self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.int32)
+    def whole(self, texts: list[bytes]) -> list[list[int]]:
+        found = self.library.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [e.ids for e in found]
 
-    def learn(self, pieces: list[bytes]) -> None:
-        cut = [_PARTS.findall(p.lower()) if _PLAIN.fullmatch(p) else [p] for p in pieces]
-        new = list({x for parts in cut for x in parts if x not in self.parts})
-        found = self.library.encode_batch_fast([x.decode("utf-8", "replace") for x in new], add_special_tokens=False)
-        self.parts.update((x, e.ids) for x, e in zip(new, found))
-        ids = [[i for x in parts for i in self.parts[x]] for parts in cut]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(sizes.sum())
-        if self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat[: self.used], np.zeros(self.used + 2 * total, np.int32)])
-        self.flat[self.used : self.used + total] = [i for x in ids for i in x]
-        self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes)])
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces by place, and the end of each."""
+        begin, sizes = self.starts[at], self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(begin - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+    def remember(self, pieces: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
         self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
-        self.used += total
+        self.starts = np.concatenate([self.starts, len(self.flat) + ends])
+        self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(pieces), np.int64)])
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the end of each text's ids."""
+    def forget(self) -> None:
+        """Keep the pieces that were met most, at most half of them."""
+        kept = self.uses > max(1, np.median(self.uses))
+        pieces = [p for p, k in zip(self.known, kept.tolist()) if k]
+        ids, ends = self.gather(np.flatnonzero(kept))
+        self.known, self.starts, self.flat, self.uses = {}, self.starts[:1], ids[:0], self.uses[:0]
+        self.remember(pieces, ids, ends)
+
+    def learn_words(self, words: list[bytes]) -> None:
+        """Pieces of letters, of signs or of one digit: each is one word of the library, so many are encoded as one text."""
+        for a in range(0, len(words), 2000):
+            part = words[a : a + 2000]
+            ids = np.array(self.whole([b" ".join(part)])[0], np.int64)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(part):
+                self.remember(part, ids, ends)
+            else:
+                self.learn_others(part)
+
+    def learn_others(self, pieces: list[bytes]) -> None:
+        ids = self.whole(pieces)
+        self.remember(pieces, np.array([i for x in ids for i in x], np.int64), np.cumsum([len(x) for x in ids], dtype=np.int64))
+
+    def learn(self, pieces: list[bytes]) -> None:
+        words, others, compound, parts = [], [], [], []
+        for p in pieces:
+            if p.isalpha():
+                words.append(p)
+            elif _PLAIN.fullmatch(p):
+                compound.append(p)
+                parts.append(_PARTS.findall(p))
+            elif p.decode("utf-8", "replace").isalpha():
+                words.append(p)
+            else:
+                others.append(p)
+        own = set(words)
+        single = {x for found in parts for x in found if x not in self.known and x not in own}
+        compound_of = [(p, found) for p, found in zip(compound, parts) if p not in single]
+        self.learn_words([*words, *single])
+        if others:
+            self.learn_others(others)
+        if compound_of:
+            at = np.fromiter((self.known[x] for _, found in compound_of for x in found), np.int64)
+            ids, ends = self.gather(at)
+            last = np.cumsum([len(found) for _, found in compound_of]) - 1
+            self.remember([p for p, _ in compound_of], ids, ends[last])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the end of each text's ids; a null text has none."""
         if len(self.known) > CACHED:
             self.forget()
-        plain = [not any(s in t for s in self.special) for t in texts]
-        pieces = [t.split() if ok else [] for t, ok in zip(texts, plain)]
-        words = [w for p in pieces for w in p]
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        if new:
+        texts = texts.fill_null("")
+        special = np.zeros(len(texts), bool)
+        for s in self.special:
+            special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(special), "", texts) if special.any() else texts
+        pieces = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+        coded = pieces.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(at < 0).tolist()
+        if unknown:
+            new = [words[i] for i in unknown]
             self.learn(new)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        begin, sizes = self.starts[at], self.starts[at + 1] - self.starts[at]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.flat[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])]
-        text_ends = ends[np.cumsum(np.fromiter(map(len, pieces), np.int64, len(texts)))]
-        if all(plain):
+            at[unknown] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        codes = coded.indices.to_numpy()
+        self.uses[at] += np.bincount(codes, minlength=len(at))
+        ids, ends = self.gather(at[codes])
+        text_ends = np.r_[0, ends][pieces.offsets.to_numpy()[1:] - pieces.offsets[0].as_py()]
+        if not special.any():
             return ids, text_ends
-        own = [part if ok else self.whole(t) for t, ok, part in zip(texts, plain, np.split(ids, text_ends[:-1]))]
+        own = [
+            np.array(self.whole([t.as_py().encode()])[0], np.int32) if whole else part
+            for t, whole, part in zip(texts, special, np.split(ids, text_ends[:-1]))
+        ]
         return np.concatenate(own), np.cumsum([len(x) for x in own])
 
 
@@ -124,9 +188,9 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, pos = _encoder(tokenizer), 0
         for batch in batches:
-            texts = [t.encode() if t else b"" for t in batch.column(2).to_pylist()]
-            for a, b in chunks([len(t) for t in texts], CHUNK):
-                ids, ends = _with_end(*encoder.encode(texts[a:b]), end_id)
+            texts = batch.column(2)
+            for a, b in chunks(pc.binary_length(texts).fill_null(0).to_pylist(), CHUNK):
+                ids, ends = _with_end(*encoder.encode(texts.slice(a, b - a)), end_id)
                 ends = pa.array(np.concatenate([[0], ends]), pa.int32())
                 lists = pa.ListArray.from_arrays(ends, pa.array(ids, pa.int32()))
                 places = pa.array(np.arange(pos, pos + b - a), pa.int64())
@@ -148,7 +212,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     (
         encode(docs.select("doc_id", "text"), tokenizer, end_id)
         .write.option("orc.stripe.size", str(STRIPE_BYTES)).option("orc.row.index.stride", str(ROW_STRIDE))
-        .option("orc.create.index", "true").option("orc.bloom.filter.columns", "doc_id")
+        .option("orc.rows.between.memory.checks", str(CHECKED_ROWS)).option("orc.create.index", "true").option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", str(FALSE_POSITIVES)).option("orc.compress", "ZSTD")
         .orc(path)
     )
