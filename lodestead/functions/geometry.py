@@ -5,6 +5,8 @@ Coordinates are degrees (WGS84), distances metres on the sphere.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -73,15 +75,58 @@ def rings_segments(rings: Column) -> Column:
     )
 
 
+def _at(s: Column, lat: Column) -> Column:
+    """Where a side, carried on, meets a parallel."""
+    return s["x1"] + F.try_divide((s["x2"] - s["x1"]) * (lat - s["y1"]), s["y2"] - s["y1"])
+
+
+def _spans(s: Column, lat: Column) -> Column:
+    return (s["y1"] > lat) != (s["y2"] > lat)
+
+
 def segments_contain(segments: Column, lon: Column, lat: Column) -> Column:
     """Even-odd rule over all rings: a ray to the east crosses an odd number of sides."""
+    return F.size(F.filter(segments, lambda s: _spans(s, lat) & (lon < _at(s, lat)))) % 2 == 1
+
+
+def turns_along(s: Column | Mapping[str, Column], from_x: Column, from_y: Column, lat: Column) -> Column:
+    """Whether a side changes the even-odd rule on the way along a meridian, from one parallel to another.
+
+    Ties are decided as the ray to the east decides them: the side counts by where its eastern end lies.
+    """
+    east_end = F.when(s["x1"] > from_x, s["y1"]).otherwise(s["y2"])
+
+    def beyond(y: Column) -> Column:
+        """How the part east of the meridian, up to the eastern end, is met at a parallel."""
+        return (_spans(s, y) & F.coalesce(_at(s, y) > from_x, F.lit(False))) != (east_end > y)
+
+    return ((s["x1"] > from_x) != (s["x2"] > from_x)) & (beyond(lat) != beyond(from_y))
+
+
+def turns_across(s: Column | Mapping[str, Column], from_x: Column, lon: Column, lat: Column) -> Column:
+    """Whether a side changes the even-odd rule on the way west along a parallel, from a meridian to a point."""
+    at = _at(s, lat)
+    return _spans(s, lat) & F.coalesce((lon < at) & (at <= from_x), F.lit(False))
+
+
+def segments_between(segments: Column, from_x: Column, from_y: Column, lon: Column, lat: Column) -> Column:
+    """Whether the even-odd rule differs between two points, the second not east of the first.
+
+    The way goes along the first point's meridian, then west.  Only sides that
+    touch the rectangle between the points matter, so a cell's own sides are
+    enough for points of the cell.
+    """
+    turns = lambda s: turns_along(s, from_x, from_y, lat) != turns_across(s, from_x, lon, lat)
+    return F.size(F.filter(segments, turns)) % 2 == 1
 
-    def crosses(s: Column) -> Column:
-        spans = (s["y1"] > lat) != (s["y2"] > lat)
-        at = s["x1"] + F.try_divide((s["x2"] - s["x1"]) * (lat - s["y1"]), s["y2"] - s["y1"])
-        return spans & (lon < at)
 
-    return F.size(F.filter(segments, crosses)) % 2 == 1
+def touches(s: Column | Mapping[str, Column], west: Column, south: Column, east: Column, north: Column) -> Column:
+    """Whether a side touches a rectangle that its bounds touch; with a margin, so that none is missed by rounding."""
+    dx, dy = s["x2"] - s["x1"], s["y2"] - s["y1"]
+    # Else the rectangle's centre is farther from the side's line than the rectangle reaches across it.
+    off = F.abs(dx * ((south + north) / 2 - s["y1"]) - dy * ((west + east) / 2 - s["x1"]))
+    reach = (F.abs(dx) * (north - south) + F.abs(dy) * (east - west)) / 2
+    return off <= reach * (1 + 1e-9) + (F.abs(dx) + F.abs(dy)) * 1e-12
 
 
 def rings_centroid(rings: Column) -> Column:

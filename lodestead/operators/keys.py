@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,8 +69,24 @@ def one_per_key(
     return _top_row(known, [key], order)
 
 
+class DateRange(NamedTuple):
+    """All days from ``first`` to ``last``, for batches of more dates than a list should hold."""
+
+    first: str
+    last: str
+
+
+def of_dates(target: DataFrame, dates: Iterable[str] | DateRange | None, date_column: str = "ingestionDate") -> DataFrame:
+    """The partitions of some load dates; all for None."""
+    if dates is None:
+        return target
+    if isinstance(dates, DateRange):
+        return target.filter(F.col(date_column).between(*[F.lit(d).cast("date") for d in dates]))
+    return target.filter(F.col(date_column).isin([F.lit(str(d)).cast("date") for d in dates]))
+
+
 def existing_keys(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], dates: Iterable[str] | None = None,
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], dates: Iterable[str] | DateRange | None = None,
     date_column: str = "ingestionDate", multiply: bool = False,
 ) -> DataFrame:
     """Batch keys that the target already holds.
@@ -78,14 +95,13 @@ def existing_keys(
     per key; ``multiply=True`` gives one per matching target row instead.
     No broadcast is forced: Spark picks one only below its size threshold.
     """
-    if dates is not None:
-        target = target.filter(F.col(date_column).isin([F.lit(str(d)).cast("date") for d in dates]))
-    held = target.select(*keys) if multiply else distinct_keys(target, keys)
+    held = of_dates(target, dates, date_column)
+    held = held.select(*keys) if multiply else distinct_keys(held, keys)
     return held.join(distinct_keys(batch, keys), list(keys), "left_semi")
 
 
 def new_rows(
-    batch: DataFrame, target: DataFrame, keys: Sequence[str], dates: Iterable[str] | None = None,
+    batch: DataFrame, target: DataFrame, keys: Sequence[str], dates: Iterable[str] | DateRange | None = None,
     date_column: str = "ingestionDate",
 ) -> DataFrame:
     """Batch rows whose key is not in the target.  Rows with a null key stay.
@@ -93,9 +109,7 @@ def new_rows(
     Only the key columns of the target are read, reduced to one row per key
     before the shuffle.
     """
-    if dates is not None:
-        target = target.filter(F.col(date_column).isin([F.lit(str(d)).cast("date") for d in dates]))
-    return batch.join(distinct_keys(target, keys), list(keys), "left_anti")
+    return batch.join(distinct_keys(of_dates(target, dates, date_column), keys), list(keys), "left_anti")
 
 
 def batch_numbers(df: DataFrame, key: str, batch_size: int, number: str = "batch_no") -> DataFrame:

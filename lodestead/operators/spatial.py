@@ -24,8 +24,14 @@ from lodestead.functions.geometry import (
     haversine,
     rings_bounds,
     rings_segments,
+    segments_between,
     segments_contain,
+    touches,
+    turns_across,
+    turns_along,
 )
+from lodestead.operators.projections import union_all
+from lodestead.session import written_once
 
 _FINEST = 20
 _SPLIT = 3  # levels per split: a cell becomes 8 x 8 cells
@@ -43,35 +49,134 @@ def _join_back(df: DataFrame, per_place: DataFrame, lon: str, lat: str) -> DataF
 
 # --- areas containing a point ----------------------------------------------
 
+_DEEPEST = 42  # cells of 360 / 2 ** 42 degrees; doubles tell little more apart
 
-def areas_containing(
-    listings: DataFrame, areas: DataFrame, columns: Sequence[str], rings: str = "rings",
-    lon: str = "lon", lat: str = "lat",
-) -> DataFrame:
-    """Left join of each listing with the areas whose rings contain it.
 
-    An area is filed under the at most four cells, of about its own size, that
-    its bounds touch; a point looks into its cell at each size in use.  Bounds
-    and the even-odd rule decide then.
+_SIDE = ("x1", "y1", "x2", "y2")
+_AREA_CELL = ["_a", "level", "x", "y"]
+
+
+def area_cells(areas: DataFrame, columns: Sequence[str], rings: str = "rings", leaf_segments: int = 32) -> DataFrame:
+    """Outlines cut into cells: (columns, level, x, y, east, south, corner, segments).
+
+    An area begins in the at most four cells, of about its own size, that its
+    bounds touch.  A cell with more than ``leaf_segments`` sides is cut into
+    8 x 8, and each part has the sides that touch it.  A part without any lies
+    wholly inside, and answers without a test, or wholly outside, and is left
+    out.  ``corner`` tells whether the south-eastern corner is inside; from
+    there the sides of the cell are enough to decide for every point of it.
+
+    Sides are rows, dealt by cell, so one long outline is work for many tasks.
+    There are as many rounds as the densest place of an outline needs.
     """
-    bounded = areas.select(*columns, rings_segments(F.col(rings)).alias("_segments"),
-                           rings_bounds(F.col(rings)).alias("_b")).filter("_b.west is not null")
+    own = areas.select(*columns, rings_segments(F.col(rings)).alias("_s"), rings_bounds(F.col(rings)).alias("_b"))
+    own = written_once(own.filter("_b.west is not null").withColumn("_a", F.monotonically_increasing_id()), "areas")
     extent = F.greatest(F.col("_b.east") - F.col("_b.west"), F.col("_b.north") - F.col("_b.south"))
     level = F.least(F.lit(_FINEST), F.floor(F.log2(F.lit(360.0) / F.greatest(extent, F.lit(1e-9))))).cast("int")
-    leveled = bounded.withColumn("_level", level)
-    # At most 21 values.
-    levels = sorted(r[0] for r in leveled.select("_level").distinct().collect())
-    if not levels:
-        return listings.select("*", *[F.lit(None).cast(t).alias(c) for c, t in areas.select(*columns).dtypes])
-    step = F.lit(360.0) / F.pow(F.lit(2.0), F.col("_level"))
+    placed = own.select("_a", "_s", "_b", level.alias("level"))
+    first = placed.select("*", F.explode(_cell_range("_b.west", "_b.east", 180.0)).alias("x"))
+    first = _with_edges(first.select("*", F.explode(_cell_range("_b.south", "_b.north", 90.0)).alias("y")))
+    cells = first.select(*_AREA_CELL, "east", "south", segments_contain(F.col("_s"), F.col("east"), F.col("south")).alias("corner"))
+    sides = _touched(placed.select("_a", "level", F.explode("_s").alias("_e")).select("_a", "level", "_e.*"))
+    done = []
+    while True:
+        sides = written_once(sides, "area-sides")
+        counted = cells.join(sides.groupBy(*_AREA_CELL).agg(F.count("*").alias("n")), _AREA_CELL, "left")
+        counted = written_once(counted.filter("n is not null or corner"), "area-cells")
+        crowded = (F.coalesce("n", F.lit(0)) > leaf_segments) & (F.col("level") + _SPLIT <= _DEEPEST)
+        whole = counted.filter(~crowded)
+        lists = sides.join(whole.select(*_AREA_CELL), _AREA_CELL, "left_semi").groupBy(*_AREA_CELL).agg(
+            F.collect_list(F.struct(*_SIDE)).alias("segments")
+        )
+        done.append(whole.join(lists, _AREA_CELL, "left"))
+        cut = counted.filter(crowded).select(*_AREA_CELL, "east", "south", "corner")
+        if cut.isEmpty():
+            break
+        sides = sides.join(cut.select(*_AREA_CELL), _AREA_CELL, "left_semi")
+        cells, sides = _parts_of(cut, sides), _touched(sides.withColumn("level", F.col("level") + _SPLIT), within=True)
+    found = union_all(done)
+    none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    return found.join(own.select("_a", *columns), "_a").select(
+        *columns, "level", "x", "y", "east", "south", "corner", F.coalesce("segments", none).alias("segments")
+    )
 
-    def span(low: str, high: str, shift: float) -> Column:
-        return F.sequence(F.floor((F.col(low) + shift) / step), F.floor((F.col(high) + shift) / step))
 
-    filed = leveled.withColumn("_x", F.explode(span("_b.west", "_b.east", 180.0))).withColumn(
-        "_y", F.explode(span("_b.south", "_b.north", 90.0))
+def _level_step() -> Column:
+    return F.lit(360.0) / F.pow(F.lit(2.0), F.col("level"))
+
+
+def _cell_range(low: str, high: str, shift: float) -> Column:
+    """The cells from one coordinate to another, with both neighbours of a border."""
+    return F.sequence(
+        F.ceil((F.col(low) + shift) / _level_step() - 1e-9).cast("bigint") - 1,
+        F.floor((F.col(high) + shift) / _level_step() + 1e-9).cast("bigint"),
     )
-    cells = F.array(
+
+
+def _with_edges(cells: DataFrame) -> DataFrame:
+    step = _level_step()
+    return cells.withColumns({
+        "west": F.col("x") * step - 180.0, "south": F.col("y") * step - 90.0,
+        "east": (F.col("x") + 1) * step - 180.0, "north": (F.col("y") + 1) * step - 90.0,
+    })
+
+
+def _touched(sides: DataFrame, within: bool = False) -> DataFrame:
+    """A row for each side and cell of ``level`` that it touches; with ``within`` only parts of the cell it is in."""
+    ends = sides.withColumns({
+        "w": F.least("x1", "x2"), "e": F.greatest("x1", "x2"), "s": F.least("y1", "y2"), "n": F.greatest("y1", "y2"),
+    })
+    known = ends.withColumnsRenamed({"x": "_x", "y": "_y"}) if within else ends
+    cells = known.withColumn("x", F.explode(_cell_range("w", "e", 180.0)))
+    if within:
+        cells = cells.filter(F.shiftright("x", _SPLIT) == F.col("_x"))
+    cells = cells.withColumn("y", F.explode(_cell_range("s", "n", 90.0)))
+    if within:
+        cells = cells.filter(F.shiftright("y", _SPLIT) == F.col("_y"))
+    side = {c: F.col(c) for c in _SIDE}
+    edges = [F.col(c) for c in ("west", "south", "east", "north")]
+    return _with_edges(cells).filter(touches(side, *edges)).select(*_AREA_CELL, *_SIDE)
+
+
+def _parts_of(cut: DataFrame, sides: DataFrame) -> DataFrame:
+    """The 8 x 8 parts of cells, each with its corner, which follows from the cell's corner and sides."""
+    side = 2**_SPLIT
+    held = sides.join(cut.select(*_AREA_CELL, "east", "south"), _AREA_CELL)
+    step = _level_step() / side
+    row = F.explode(F.sequence(F.lit(0), F.lit(side - 1))).alias("j")
+    rows = held.select("*", row).select("*", ((F.col("y") * side + F.col("j")) * step - 90.0).alias("lat"))
+    s = {c: F.col(c) for c in _SIDE}
+    along = turns_along(s, F.col("east"), F.col("south"), F.col("lat"))
+    across = [turns_across(s, F.col("east"), (F.col("x") * side + i + 1) * step - 180.0, F.col("lat")) for i in range(side)]
+    turns = rows.groupBy(*_AREA_CELL, "j").agg(F.array(*[F.count_if(along != c) % 2 == 1 for c in across]).alias("turned"))
+    parts = cut.select("*", row).join(turns, [*_AREA_CELL, "j"], "left").select(
+        "*", F.posexplode(F.coalesce("turned", F.array_repeat(F.lit(False), side))).alias("i", "_turned")
+    )
+    parts = parts.select(
+        "_a", (F.col("level") + _SPLIT).alias("level"), (F.col("x") * side + F.col("i")).alias("x"),
+        (F.col("y") * side + F.col("j")).alias("y"), (F.col("corner") != F.col("_turned")).alias("corner"),
+    )
+    return _with_edges(parts).select(*_AREA_CELL, "east", "south", "corner")
+
+
+def areas_containing(
+    listings: DataFrame, areas: DataFrame, columns: Sequence[str], rings: str = "rings",
+    lon: str = "lon", lat: str = "lat", leaf_segments: int = 32,
+) -> DataFrame:
+    """Left join of each listing with the areas whose rings contain it (even-odd rule).
+
+    The outlines are cut into cells (:func:`area_cells`), which are written
+    once; a point looks into its cell at each level in use and is tested with
+    that cell's sides at most.
+    """
+    cells = written_once(area_cells(areas, columns, rings, leaf_segments), "area-cells").select(
+        *columns, *[F.col(c).alias(f"_{c}") for c in ("level", "x", "y", "east", "south", "corner", "segments")]
+    )
+    # At most 43 values.
+    levels = sorted(r[0] for r in cells.select("_level").distinct().collect())
+    if not levels:
+        return listings.select("*", *[F.lit(None).cast(t).alias(c) for c, t in areas.select(*columns).dtypes])
+    at = F.array(
         *[
             F.struct(
                 F.lit(n).alias("_level"),
@@ -81,13 +186,10 @@ def areas_containing(
             for n in levels
         ]
     )
-    places = _places(listings, lon, lat).select("lon", "lat", F.explode(cells).alias("_c")).select("lon", "lat", "_c.*")
-    inside = (
-        F.col("lon").between(F.col("_b.west"), F.col("_b.east"))
-        & F.col("lat").between(F.col("_b.south"), F.col("_b.north"))
-        & segments_contain(F.col("_segments"), F.col("lon"), F.col("lat"))
-    )
-    found = places.join(filed, ["_level", "_x", "_y"]).filter(inside).select("lon", "lat", *columns)
+    places = _places(listings, lon, lat).select("lon", "lat", F.explode(at).alias("_c")).select("lon", "lat", "_c.*")
+    turned = segments_between(F.col("_segments"), F.col("_east"), F.col("_south"), F.col("lon"), F.col("lat"))
+    inside = F.when(F.size("_segments") == 0, F.col("_corner")).otherwise(F.col("_corner") != turned)
+    found = places.join(cells, ["_level", "_x", "_y"]).filter(inside).select("lon", "lat", *columns)
     return _join_back(listings, found, lon, lat)
 
 
@@ -115,10 +217,10 @@ def _cell_table(points: DataFrame, levels: Sequence[int], sums: Sequence[str]) -
     )
 
 
-def _split_open(rows: DataFrame, points: DataFrame, levels: Sequence[int], sums: Sequence[str]) -> DataFrame:
-    """Replace each open row by its non-empty sub-cells; other rows pass through."""
+def _split_open(rows: DataFrame, cells: DataFrame, levels: Sequence[int], sums: Sequence[str]) -> DataFrame:
+    """Replace each open row by its non-empty sub-cells, which are of ``levels``; other rows pass through."""
     side = 2**_SPLIT
-    subs = _cell_table(points, levels, sums).select(
+    subs = cells.filter(F.col("level").isin(list(levels))).select(
         F.lit(True).alias("open"),
         (F.col("level") - _SPLIT).alias("level"),
         F.floor(F.col("x") / side).alias("x"),
@@ -164,20 +266,22 @@ def poi_counts(
         .groupBy("lon", "lat")
         .agg(*[F.count_if(F.col(category) == c).alias(s) for c, s in zip(categories, sums)])
     )
+    points = written_once(points, "poi-points")
     first = {r: _level_for(r) for r in radii}
     last = {r: min(first[r] + _SPLIT * splits, 30) for r in radii}
     per_radius = {r: list(range(first[r], last[r] + 1, _SPLIT)) for r in radii}
     levels = sorted({n for ns in per_radius.values() for n in ns})
 
+    cells = written_once(_cell_table(points, levels, sums), "poi-cells")
     rows = _touched_cells(_places(listings, lon, lat), {r: (first[r], per_radius[r][-1]) for r in radii})
-    rows = rows.join(_cell_table(points, sorted(set(first.values())), sums), ["level", "x", "y"])
+    rows = rows.join(cells.filter(F.col("level").isin(sorted(set(first.values())))), ["level", "x", "y"])
     rows = _classify_circle(rows, leaf_points)
     for k in range(1, splits + 1):
         at = sorted({per_radius[r][k] for r in radii if k < len(per_radius[r])})
         if at:
-            rows = _classify_circle(_split_open(rows, points, at, sums), leaf_points)
+            rows = _classify_circle(_split_open(rows, cells, at, sums), leaf_points)
 
-    leaves = _leaf_points(points, levels, {ns[-1] for ns in per_radius.values()}, leaf_points, sums)
+    leaves = _leaf_points(points, cells, levels, {ns[-1] for ns in per_radius.values()}, leaf_points, sums)
     # Whole cells already have their counts and match no point.
     rows = rows.join(leaves.withColumn("whole", F.lit(False)), ["whole", "level", "x", "y"], "left")
     distance = haversine(F.col("lon"), F.col("lat"), F.col("p_lon"), F.col("p_lat"))
@@ -243,7 +347,7 @@ def _classify_circle(rows: DataFrame, leaf_points: int) -> DataFrame:
     )
 
 
-def _leaf_points(points, levels, last_levels, leaf_points, sums) -> DataFrame:
+def _leaf_points(points, cells, levels, last_levels, leaf_points, sums) -> DataFrame:
     """Points under each cell that can be compared point by point.
 
     Crowded cells above the last level are never compared, so their points are
@@ -252,7 +356,7 @@ def _leaf_points(points, levels, last_levels, leaf_points, sums) -> DataFrame:
     above = [n for n in levels if n not in last_levels]
     filed = _with_cells(points, levels)
     if above:
-        crowded = _cell_table(points, above, []).filter(F.col("n") > leaf_points).select("level", "x", "y")
+        crowded = cells.filter(F.col("level").isin(above) & (F.col("n") > leaf_points)).select("level", "x", "y")
         filed = filed.join(crowded, ["level", "x", "y"], "left_anti")
     return filed.select(
         "level", "x", "y", F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"),
@@ -264,41 +368,119 @@ def _leaf_points(points, levels, last_levels, leaf_points, sums) -> DataFrame:
 
 
 def nearest_distance(
-    listings: DataFrame, points: DataFrame, name: str, lon: str = "lon", lat: str = "lat",
-    leaf_points: int = 64, finest: int = 18,
+    listings: DataFrame, points: DataFrame, name: str, lon: str = "lon", lat: str = "lat", leaf_points: int = 64,
 ) -> DataFrame:
     """Adds the distance to the nearest point, however far it is.
 
-    From coarse to fine cells, every place keeps only the cells that can still
-    hold its nearest point: those whose nearest possible distance does not
-    exceed the farthest possible one of the best cell.
+    Cells of places are paired with cells of points, from coarse to fine.  A
+    cell of places keeps the cells of points that can still hold the nearest
+    point of one of its places: those whose least possible distance does not
+    exceed the greatest possible one of the best.  Cells are cut until they
+    hold few places and few points, however dense these lie.  Then every place
+    picks among the cells that its cell has kept, and only points of the picked
+    ones are measured.
     """
-    targets = _places(points, lon, lat)
-    levels = list(range(_SPLIT, finest + 1, _SPLIT))
+    places = written_once(_places(listings, lon, lat), "nearest-places")
+    targets = written_once(_places(points, lon, lat), "nearest-points")
+    finest = max(_uncrowded_level(places, leaf_points), _uncrowded_level(targets, leaf_points))
+    place_cells, place_levels = _all_cells(places, finest, leaf_points)
+    target_cells, target_levels = _all_cells(targets, finest, leaf_points)
+    levels = max(place_levels, target_levels, key=len)
     first = levels[0]
     every_x = F.sequence(F.lit(0).cast("bigint"), F.lit(2**first - 1).cast("bigint"))
     every_y = F.sequence(F.lit(0).cast("bigint"), F.lit(2 ** (first - 1)).cast("bigint"))
+    # At most 40 cells on each side, by construction.
     rows = (
-        _places(listings, lon, lat)
-        .select("lon", "lat", F.lit(first).alias("level"), F.explode(every_x).alias("x"))
-        .select("*", F.explode(every_y).alias("y"))
-        # At most 40 cells, by construction.
-        .join(F.broadcast(_cell_table(targets, [first], [])), ["level", "x", "y"])
+        _side(place_cells, [first], "p_")
+        .select("*", F.lit(first).alias("t_level"), F.explode(every_x).alias("t_x"))
+        .select("*", F.explode(every_y).alias("t_y"))
+        .join(F.broadcast(_side(target_cells, [first], "t_")), ["t_level", "t_x", "t_y"])
     )
-    rows = _keep_candidates(rows, leaf_points, levels[-1])
+    last = {"p_": place_levels[-1], "t_": target_levels[-1]}
+    rows = _keep_pairs(rows, leaf_points, last)
     for level in levels[1:]:
-        rows = _keep_candidates(_split_open(rows, targets, [level], []), leaf_points, levels[-1])
-    leaves = _leaf_points(targets, levels, {levels[-1]}, leaf_points, [])
-    distance = haversine(F.col("lon"), F.col("lat"), F.col("p_lon"), F.col("p_lat"))
-    per_place = rows.join(leaves, ["level", "x", "y"]).groupBy("lon", "lat").agg(F.min(distance).alias(name))
+        rows = _split_side(rows, place_cells, "p_", level)
+        rows = _split_side(rows, target_cells, "t_", level)
+        rows = _keep_pairs(rows, leaf_points, last)
+    kept = rows.select(*_CELL["p_"], *_CELL["t_"])
+
+    # Each place among its cell's candidates.
+    own = _with_cells(places, levels).withColumnsRenamed({c: f"p_{c}" for c in ("level", "x", "y")})
+    near = own.join(kept, _CELL["p_"]).select("lon", "lat", *[F.col(f"t_{c}").alias(c) for c in ("level", "x", "y")])
+    distance, reach = _center_distance()
+    best = F.min(F.col("_d") + F.col("_r")).over(Window.partitionBy("lon", "lat"))  # a place has few candidates left
+    picked = near.select("*", distance.alias("_d"), reach.alias("_r")).select("*", best.alias("_best"))
+    picked = picked.filter(F.col("_d") - F.col("_r") <= F.col("_best")).select("lon", "lat", "level", "x", "y")
+    leaves = _leaf_points(targets, target_cells, target_levels, {target_levels[-1]}, leaf_points, [])
+    metres = haversine(F.col("lon"), F.col("lat"), F.col("p_lon"), F.col("p_lat"))
+    per_place = picked.join(leaves, ["level", "x", "y"]).groupBy("lon", "lat").agg(F.min(metres).alias(name))
     return _join_back(listings, per_place, lon, lat)
 
 
-def _keep_candidates(rows: DataFrame, leaf_points: int, last: int) -> DataFrame:
-    distance, reach = _center_distance()
-    cell = [c for c in rows.columns if c != "open"]
-    # A place has few candidate cells left, so its window stays small.
-    best = F.min(F.col("_d") + F.col("_r")).over(Window.partitionBy("lon", "lat"))
-    measured = rows.select(*cell, distance.alias("_d"), reach.alias("_r")).select("*", best.alias("_best"))
-    crowded = (F.col("n") > leaf_points) & (F.col("level") < last)
-    return measured.filter(F.col("_d") - F.col("_r") <= F.col("_best")).select(*cell, crowded.alias("open"))
+_CELL = {side: [f"{side}level", f"{side}x", f"{side}y"] for side in ("p_", "t_")}
+
+
+def _uncrowded_level(points: DataFrame, leaf_points: int, level: int = 18) -> int:
+    """A level where no cell is crowded, the first one for most data, or the deepest one."""
+    while level < _DEEPEST and (_cell_table(points, [level], []).agg(F.max("n")).first()[0] or 0) > leaf_points:
+        level += 4 * _SPLIT
+    return level
+
+
+def _all_cells(points: DataFrame, finest: int, leaf_points: int) -> tuple[DataFrame, list[int]]:
+    """The cells of every third level with their numbers of points, and the levels down to where none is crowded.
+
+    The points are counted at the finest level; coarser cells are sums of finer ones.
+    """
+    levels = list(range(_SPLIT, finest + 1, _SPLIT))
+    ups = F.explode(F.array(*[F.lit(finest - n) for n in levels])).alias("_up")
+    cells = _cell_table(points, [finest], []).select("x", "y", "n", ups).groupBy(
+        (F.lit(finest) - F.col("_up")).alias("level"), F.expr("shiftright(x, _up)").alias("x"), F.expr("shiftright(y, _up)").alias("y")
+    ).agg(F.sum("n").alias("n"))
+    cells = written_once(cells, "cells")
+    crowded = cells.filter(F.col("n") > leaf_points).agg(F.max("level")).first()[0] or 0
+    return cells, [n for n in levels if n <= crowded + _SPLIT]
+
+
+def _side(cells: DataFrame, levels: Sequence[int], side: str) -> DataFrame:
+    return cells.filter(F.col("level").isin(list(levels))).select(*[F.col(c).alias(side + c) for c in ("level", "x", "y", "n")])
+
+
+def _split_side(rows: DataFrame, cells: DataFrame, side: str, level: int) -> DataFrame:
+    """Replace the open cells of one side by their parts at ``level``."""
+    parts = cells.filter(F.col("level") == level).select(
+        F.lit(True).alias(f"{side}open"), (F.col("level") - _SPLIT).alias(f"{side}level"),
+        F.shiftright("x", _SPLIT).alias(f"{side}x"), F.shiftright("y", _SPLIT).alias(f"{side}y"),
+        F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("n").alias("_n"),
+    )
+    if level <= _FEW_CELLS:
+        # Bounded by the number of cells on the globe, however many points there are.
+        parts = F.broadcast(parts)
+    own, opened = [*_CELL[side], f"{side}n"], F.col(f"{side}open")
+    found = {
+        f"{side}level": F.when(opened, F.lit(level)).otherwise(F.col(f"{side}level")),
+        **{f"{side}{c}": F.when(opened, F.col(f"_{c}")).otherwise(F.col(f"{side}{c}")) for c in ("x", "y", "n")},
+    }
+    others = [c for c in rows.columns if c not in (*own, f"{side}open")]
+    return rows.join(parts, [f"{side}open", *_CELL[side]], "left").select(*others, *[c.alias(n) for n, c in found.items()])
+
+
+def _keep_pairs(rows: DataFrame, leaf_points: int, last: dict[str, int]) -> DataFrame:
+    """Pairs that can still matter, and which of their cells are to be cut.
+
+    A cell of places is cut as long as one of its points' cells is: beside a
+    small cell of points a large one of places would bound nothing.
+    """
+    steps = {s: F.lit(360.0) / F.pow(F.lit(2.0), F.col(f"{s}level")) for s in ("p_", "t_")}
+    (p_lon, p_lat), (t_lon, t_lat) = (cell_center(F.col(f"{s}x"), F.col(f"{s}y"), steps[s]) for s in ("p_", "t_"))
+    cells = [*_CELL["p_"], "p_n", *_CELL["t_"], "t_n"]
+    measured = rows.select(
+        *cells, haversine(p_lon, p_lat, t_lon, t_lat).alias("_d"),
+        (cell_reach(p_lat, steps["p_"]) + cell_reach(t_lat, steps["t_"])).alias("_r"),
+        ((F.col("t_n") > leaf_points) & (F.col("t_level") < last["t_"])).alias("t_open"),
+    )
+    per_cell = Window.partitionBy(*_CELL["p_"])  # few candidates are left for each
+    best = measured.select("*", F.min(F.col("_d") + F.col("_r")).over(per_cell).alias("_best"))
+    kept = best.filter(F.col("_d") - F.col("_r") <= F.col("_best"))
+    beside_open = F.max("t_open").over(per_cell)
+    return kept.select(*cells, "t_open", (beside_open | ((F.col("p_n") > leaf_points) & (F.col("p_level") < last["p_"]))).alias("p_open"))

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lodestead.operators.details import stage_details
-from lodestead.operators.keys import existing_keys, new_rows
+from lodestead.operators.keys import DateRange, existing_keys, new_rows
 from lodestead.operators.projections import require_columns, stage_listings
-from lodestead.operators.quality import counted
-from lodestead.sources.sinks import append_table, laid_out
+from lodestead.plans.ledger import folder_name, forget_rows, part_path, read_entry, rows_before, write_entry
+from lodestead.session import remove_folder, scratch_path, setting
 from lodestead.sources.pages import embedded_json
-from lodestead.sources.snapshots import newest_snapshot, read_snapshot, read_table
+from lodestead.sources.sinks import Layout, append_table, create_table, in_buckets, table_layout
+from lodestead.sources.snapshots import newest_snapshot, newest_snapshot_row, read_snapshot, read_table
 from lodestead.functions.casts import date_from_file_name
 
 
@@ -37,67 +41,151 @@ def with_key(batch: DataFrame, keys: Sequence[str], present: bool = True) -> Dat
     return batch.filter(whole if present else ~whole)
 
 
-#: Load dates of one batch that are looked up in the target; a batch of more reads the target whole.
+#: Load dates of one batch that are looked up one by one in the target; a batch of more looks up all days between.
 MAX_DATES = 400
 
 
-def batch_dates(batch: DataFrame, date_column: str) -> list[str] | None:
-    """The load dates of a batch, for the target's partition filter; None for more than ``MAX_DATES``."""
-    days = batch.select(F.col(date_column).cast("string").alias("d")).filter("d is not null").distinct()
-    found = [r["d"] for r in days.limit(MAX_DATES + 1).collect()]
-    return found if len(found) <= MAX_DATES else None
+class Profile(NamedTuple):
+    """What a load must know of a batch before it starts."""
+
+    received: int
+    without_key: int
+    dates: Iterable[str] | DateRange | None
+
+
+def batch_profile(batch: DataFrame, keys: Sequence[str], date_column: str = "ingestionDate") -> Profile:
+    """Rows, rows without a key, and load dates, in one pass over the key columns."""
+    nullable = reduce(or_, [F.col(k).isNull() for k in keys])
+    counts = [F.count(F.lit(1)).alias("rows"), F.count_if(nullable).alias("keyless")]
+    if date_column not in batch.columns:
+        return Profile(*batch.agg(*counts).first(), None)
+    day = F.col(date_column).cast("string").alias("d")
+    found = batch.groupBy(day).agg(*counts).limit(MAX_DATES + 2).collect()  # null may be one of them
+    dates = [r["d"] for r in found if r["d"] is not None]
+    if len(dates) <= MAX_DATES:
+        return Profile(sum(r["rows"] for r in found), sum(r["keyless"] for r in found), dates)
+    rows, keyless, first, last = batch.agg(*counts, F.min(day), F.max(day)).first()
+    return Profile(rows, keyless, DateRange(first, last))
 
 
 def keyed_append(
     batch: DataFrame, table: str, keys: Sequence[str], order: Sequence[str], dates: Iterable[str] | None = None,
     date_column: str = "ingestionDate", dedup: bool = True, quarantine: str | None = None,
+    ledger: str | None = None, load: str | None = None,
 ) -> dict[str, int]:
     """Append the batch rows whose key the table does not hold; returns the counters.
 
-    One plan: dedup, anti join against the keys of the batch's partitions,
-    append.  Dedup and anti join are dealt by the same key, so the batch is
-    moved once for both.  Rows with a null in the key could never be found
-    again: they are counted and, with a ``quarantine`` table, appended there.
-    Without ``dates`` the batch's own dates limit the scan of the target.
+    One plan: dedup, anti join against the keys of the batch's partitions.  Both
+    are dealt by the same key, so the batch is moved once for both, and by the
+    buckets of a bucketed table, which is then read without an exchange.  What
+    it chooses is kept as files and appended from there: the counters are those
+    of committed rows, whichever tasks were run twice.
+
+    Rows with a null in the key could never be found again: they are counted
+    and, with a ``quarantine`` table (:func:`create_quarantine`), stored there.
+
+    A ``load`` with a name in a ``ledger`` folder happens once.  If it is done,
+    its counters come back and nothing is written; if it broke off, it goes on
+    with the rows that it had chosen.  ``table_rows`` is then counted as well.
+    Without a ledger the content of the rows without a key names the load in
+    the quarantine, so that the same batch again adds nothing there either.
     """
     spark = batch.sparkSession
-    dated = date_column in batch.columns
-    if dates is None and dated:
-        dates = batch_dates(batch, date_column)
-    received, seen = counted(batch, "received", {})
-    keyed, whole = counted(with_key(received, keys), "keyed", {})
-    unique = one_per_batch_key(keyed, keys, order) if dedup else keyed
-    added, kept = counted(new_rows(unique, read_table(spark, table), keys, dates, date_column), "added", {})
-    append_table(laid_out(added, [date_column], [k for k in keys if k != date_column]) if dated else added, table)
-    if quarantine:
-        append_table(with_key(batch, keys, present=False), quarantine)
-    rows = _count(seen, batch.count)
-    return {
-        "received": rows,
-        "without_key": rows - _count(whole, lambda: with_key(batch, keys).count()),
-        "appended": _count(kept, lambda: 0),
-    }
-
-
-def _count(observation, otherwise: Callable[[], int]) -> int:
-    """The observed rows.  Where nothing is appended Spark may drop the observed steps with the empty write."""
-    try:
-        return int(observation.get["rows"])
-    except (Py4JJavaError, KeyError):
-        return otherwise()
+    if (ledger is None) != (load is None):
+        raise ValueError("a ledger needs the name of the load, and a load a ledger")
+    done = ledger and read_entry(spark, ledger, "done", load)
+    if done:
+        return _counters(done)
+    begun = read_entry(spark, ledger, "begun", load) if ledger else None
+    chosen = part_path(ledger, "rows", load) if ledger else scratch_path(spark, "chosen-rows")
+    target, layout = read_table(spark, table), table_layout(spark, table)
+    profile = batch_profile(batch, keys, date_column)
+    dates = profile.dates if dates is None else dates
+    with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        if begun is None:
+            new = _new_of_batch(batch, target, layout, keys, order, dates, date_column, dedup)
+            new.write.mode("overwrite").parquet(chosen)
+        # A load that broke off may have appended already: its keys are then found.
+        rows = spark.read.schema(batch.schema).parquet(chosen)
+        added = begun["appended"] if begun else rows.count()
+        counters = {"received": profile.received, "without_key": profile.without_key, "appended": added}
+        if begun:
+            counters = _counters(begun) | {"appended": added}
+            rows = new_rows(rows, target, keys, dates, date_column)
+        elif ledger:
+            before = rows_before(spark, ledger, table)
+            counters["table_rows"] = (target.count() if before is None else before) + added
+            write_entry(spark, ledger, "begun", load, table, counters)
+        if added:
+            append_table(rows, table)
+    if quarantine and counters["without_key"]:
+        set_aside(with_key(batch, keys, present=False), quarantine, load)
+    if ledger:
+        write_entry(spark, ledger, "done", load, table, counters)
+        forget_rows(spark, ledger, load)
+    else:
+        remove_folder(spark, chosen)
+    return counters
+
+
+def _counters(entry: Row) -> dict[str, int]:
+    return {c: entry[c] for c in ("received", "without_key", "appended", "table_rows")}
+
+
+def _new_of_batch(
+    batch: DataFrame, target: DataFrame, layout: Layout, keys: Sequence[str], order: Sequence[str], dates,
+    date_column: str, dedup: bool,
+) -> DataFrame:
+    if layout.bucket_by and set(layout.bucket_by) <= set(keys):
+        batch = in_buckets(batch, layout)
+    unique = one_per_batch_key(batch, keys, order) if dedup else with_key(batch, keys)
+    return new_rows(unique, target, keys, dates, date_column)
+
+
+#: Partition column of a quarantine: the load that set the rows aside.
+LOAD = "load_id"
+
+
+def create_quarantine(spark: SparkSession, name: str, schema: StructType, path: str | None = None) -> None:
+    """A table for the rows of ``schema`` that have no key, partitioned by the load that brought them."""
+    create_table(spark, name, StructType([*schema.fields, StructField(LOAD, StringType())]), path, [LOAD])
+
+
+def set_aside(rows: DataFrame, quarantine: str, load: str | None = None) -> None:
+    """Store rows as the partition of their load, in place of what an earlier run of it has stored.
+
+    A load without a name is named by its rows' content.
+    """
+    spark = rows.sparkSession
+    if LOAD not in spark.table(quarantine).columns:
+        raise ValueError(f"{quarantine} has no column {LOAD}; make it by create_quarantine")
+    if load is None:
+        hashes = rows.select(F.xxhash64(*[F.to_json(F.struct(c)) for c in rows.columns]).alias("h"))
+        n, total, mix = hashes.agg(F.count("*"), F.sum(F.col("h").cast("decimal(20,0)")), F.bit_xor("h")).first()
+        load = f"{n}:{total}:{mix}"
+    named = rows.withColumn(LOAD, F.lit(folder_name(load))).select(*spark.table(quarantine).columns)
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        named.write.insertInto(quarantine, overwrite=True)
 
 
 def load_catalog_snapshot(
     spark: SparkSession, folder: str, table: str, pattern: str = "*.parquet", run_date: str | dt.date | None = None,
     keys: Sequence[str] = ("slug", "ingestionDate"), order: Sequence[str] = ("dateCreated", "id"),
+    ledger: str | None = None,
 ) -> dict[str, int] | None:
-    """Newest search-result snapshot into the staging table; None without a snapshot."""
-    path = newest_snapshot(spark, folder, pattern)
-    if path is None:
+    """Newest search-result snapshot into the staging table; None without a snapshot.
+
+    With a ``ledger`` a snapshot is loaded once for each run date, and once more if it was written again.
+    """
+    newest = newest_snapshot_row(spark, folder, pattern)
+    if newest is None:
         return None
+    path, load = newest["path"], None
     day = str(run_date or dt.datetime.now(dt.timezone.utc).date())
     staged = stage_listings(require_columns(read_snapshot(spark, path), ["id", "slug"]), day)
-    return keyed_append(staged, table, keys, order, [day])
+    if ledger:
+        load = f"{path}@{newest['modified'].isoformat()}@{day}"
+    return keyed_append(staged, table, keys, order, [day], ledger=ledger, load=load)
 
 
 def load_detail_snapshot(

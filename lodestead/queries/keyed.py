@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestead.operators import keys
 from lodestead.operators.projections import union_all
-from lodestead.plans.loads import keyed_append
+from lodestead.plans.ledger import read_ledger
+from lodestead.plans.loads import create_quarantine, keyed_append
 from lodestead.queries.registry import query, table
 from lodestead.session import scratch_path
 from lodestead.sources.sinks import create_table, laid_out, replace_table
@@ -187,19 +189,101 @@ def stream_keyed_load(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, name).select("user_id", F.col("ingestionDate").cast("string").alias("day"))
 
 
-@query("""
+_NULL_KEYS = """
     SELECT 'loaded' AS state, count(DISTINCT (user_id, CAST(ts AS DATE))) AS rows FROM events WHERE event_type <> 'view'
     UNION ALL SELECT 'quarantined', count(*) FROM events WHERE event_type = 'view'
-""")
-def null_key_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    """Views lose their user: they are set aside, and a second load of the same batch appends nothing."""
+"""
+
+
+def _without_some_users(spark: SparkSession, sf: str) -> DataFrame:
+    """Views lose their user."""
     user = F.when(F.col("event_type") != "view", F.col("user_id"))
-    events = _user_days(spark, sf).withColumn("user_id", user).withColumnRenamed("day", "ingestionDate")
+    return _user_days(spark, sf).withColumn("user_id", user).withColumnRenamed("day", "ingestionDate")
+
+
+def _staging_and_quarantine(spark: SparkSession, schema: StructType) -> list[str]:
     names = [f"{kind}_{uuid.uuid4().hex}" for kind in ("staging", "aside")]
-    for name in names:
-        create_table(spark, name, events.schema, scratch_path(spark, "quarantine"))
-    keys, order = ["user_id", "ingestionDate"], ["ts", "event_id"]
-    keyed_append(events, names[0], keys, order, quarantine=names[1])
-    keyed_append(events, names[0], keys, order)
-    counts = [read_table(spark, n).agg(F.lit(s).alias("state"), F.count("*").alias("rows")) for n, s in zip(names, ("loaded", "quarantined"))]
-    return union_all(counts)
+    create_table(spark, names[0], schema, scratch_path(spark, "staging"), keys=["user_id", "ingestionDate"])
+    create_quarantine(spark, names[1], schema, scratch_path(spark, "quarantine"))
+    return names
+
+
+def _table_counts(spark: SparkSession, names: list[str]) -> DataFrame:
+    return union_all([
+        read_table(spark, n).agg(F.lit(s).alias("state"), F.count("*").alias("rows"))
+        for n, s in zip(names, ("loaded", "quarantined"))
+    ])
+
+
+@query(_NULL_KEYS)
+def null_key_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a user are set aside, and a second load of the same batch adds nothing to either table."""
+    events = _without_some_users(spark, sf)
+    staging, aside = _staging_and_quarantine(spark, events.schema)
+    for _ in range(2):
+        keyed_append(events, staging, ["user_id", "ingestionDate"], ["ts", "event_id"], quarantine=aside)
+    return _table_counts(spark, [staging, aside])
+
+
+@query(f"""
+    WITH e AS (SELECT event_id % 3 AS part, CASE WHEN event_type <> 'view' THEN user_id END AS user_id, CAST(ts AS DATE) AS day FROM events),
+    k AS (SELECT user_id, day, min(part) AS part FROM e WHERE user_id IS NOT NULL GROUP BY 1, 2),
+    c AS (SELECT e.part, count(*) AS received, count(*) FILTER (user_id IS NULL) AS without_key,
+                 (SELECT count(*) FROM k WHERE k.part = e.part) AS appended,
+                 (SELECT count(*) FROM k WHERE k.part <= e.part) AS table_rows
+          FROM e GROUP BY e.part)
+    SELECT 'load ' || part AS state, received, without_key, appended, table_rows AS rows FROM c
+    UNION ALL SELECT state, NULL, NULL, NULL, rows FROM ({_NULL_KEYS})
+""")
+def replayed_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches, each handed over twice under its name: both tables and the counters are as if once."""
+    events = _without_some_users(spark, sf)
+    staging, aside = _staging_and_quarantine(spark, events.schema)
+    ledger = scratch_path(spark, "ledger")
+    for part in (0, 0, 1, 1, 0, 2, 2):
+        batch = events.filter(F.pmod("event_id", F.lit(3)) == part)
+        keyed_append(
+            batch, staging, ["user_id", "ingestionDate"], ["ts", "event_id"], quarantine=aside, ledger=ledger, load=f"load {part}"
+        )
+    loads = read_ledger(spark, ledger).select(
+        F.col("load").alias("state"), "received", "without_key", "appended", F.col("table_rows").alias("rows")
+    )
+    counts = _table_counts(spark, [staging, aside])
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("received", "without_key", "appended")]
+    return loads.unionByName(counts.select("state", *none, "rows"))
+
+
+@query("""
+    SELECT 'pinned' AS reader, event_type, count(*) AS events FROM events WHERE event_type <> 'purchase' GROUP BY 2
+    UNION ALL SELECT 'after a failed write', event_type, count(*) FROM events WHERE event_type <> 'purchase' GROUP BY 2
+    UNION ALL SELECT 'after the swap', event_type, count(*) FROM events GROUP BY 2
+""")
+def versioned_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A reader keeps its version over a failed refresh and a successful one."""
+    name, path = f"versioned_{uuid.uuid4().hex}", scratch_path(spark, "versions")
+    events = _user_days(spark, sf)
+    counts = lambda reader: read_table(spark, name).groupBy(F.lit(reader).alias("reader"), "event_type").agg(F.count("*").alias("events"))
+    replace_table(events.filter(_TARGET), name, path, ["day"])
+    pinned = counts("pinned")
+    broken = F.when(F.col("event_type") == "purchase", F.raise_error(F.lit("broken row")).cast("double")).otherwise(F.col("value"))
+    try:
+        replace_table(events.withColumn("value", broken), name, path, ["day"])
+        raise AssertionError("the broken row was written")
+    except PySparkException as error:
+        if "broken row" not in str(error):
+            raise
+    failed = counts("after a failed write")
+    replace_table(events, name, path, ["day"])
+    return union_all([pinned, failed, counts("after the swap")])
+
+
+@query(_LOADED)
+def bucketed_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The idempotent load into a table bucketed by user, whose keys are found without an exchange of the table."""
+    events = _user_days(spark, sf).withColumn("ingestionDate", F.col("day"))
+    name, path = f"bucketed_{uuid.uuid4().hex}", scratch_path(spark, "bucketed-load")
+    keys_ = ["user_id", "ingestionDate"]
+    create_table(spark, name, events.schema, path, keys=keys_, bucket_by=["user_id"], buckets=8)
+    for batch in (events.filter(_TARGET), events, events):
+        keyed_append(batch, name, keys_, ["ts", "event_id"])
+    return read_table(spark, name).select("user_id", F.col("day").cast("string").alias("day"), "event_id", "event_type")

@@ -3,22 +3,64 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from lodestead.operators.keys import deal_copies
+from lodestead.session import remove_folder
 from lodestead.sources.snapshots import read_table, snapshot_name
 
 
+class Layout(NamedTuple):
+    """How a table's files are dealt out, and the columns that must not be null."""
+
+    partition_by: tuple[str, ...]
+    bucket_by: tuple[str, ...]
+    buckets: int
+    keys: tuple[str, ...]
+
+
+#: Table property that names the key columns.
+KEYS = "key_columns"
+
+
 def create_table(
     spark: SparkSession, name: str, schema: StructType, path: str | None = None,
-    partition_by: Sequence[str] = ("ingestionDate",),
+    partition_by: Sequence[str] = ("ingestionDate",), keys: Sequence[str] = (), bucket_by: Sequence[str] = (),
+    buckets: int = 64,
 ) -> None:
-    """An empty Parquet table partitioned by load date."""
-    replace_table(spark.createDataFrame([], schema), name, path, partition_by)
+    """An empty Parquet table partitioned by load date.
+
+    :func:`append_table` refuses rows with a null in ``keys``.  The files of a
+    table with ``bucket_by`` hold one bucket each and are sorted by it, so a
+    join or a group by on these columns reads the table without an exchange.
+    """
+    writer = spark.createDataFrame([], schema).write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    if keys:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{KEYS}' = '{','.join(keys)}')")
+
+
+def table_layout(spark: SparkSession, name: str) -> Layout:
+    columns = spark.catalog.listColumns(name)
+    bucket_by = tuple(c.name for c in columns if c.isBucket)
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()} if bucket_by else {}
+    keys = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == KEYS).collect()
+    return Layout(
+        tuple(c.name for c in columns if c.isPartition), bucket_by, int(told.get("Num Buckets", 0)),
+        tuple(keys[0]["value"].split(",")) if keys else (),
+    )
 
 
 def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
@@ -31,19 +73,82 @@ def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]
     return together.sortWithinPartitions(*partition_by, *sort_by)
 
 
-def append_table(df: DataFrame, name: str) -> None:
-    """Append by column name to a table that must exist."""
-    df.select(*df.sparkSession.table(name).columns).write.insertInto(name)
+def in_buckets(df: DataFrame, layout: Layout) -> DataFrame:
+    """Rows dealt as the table's buckets are: a task has one bucket, whatever its date."""
+    return df.repartition(layout.buckets, *layout.bucket_by)
+
 
+def append_table(df: DataFrame, name: str) -> None:
+    """Append by column name to a table that must exist, in the table's layout.
 
-def replace_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh, creating the table if needed."""
-    writer = df.write.mode("overwrite").format("parquet")
+    A row that lacks one of the table's key columns fails the write, which then
+    leaves the table as it was.
+    """
+    spark = df.sparkSession
+    rows = df.select(*spark.table(name).columns)
+    layout = table_layout(spark, name)
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    rows = rows.withColumns({
+        c: F.when(F.col(c).isNotNull(), F.col(c)).otherwise(F.raise_error(F.lit(f"{name}: {c} is null")).cast(kinds[c]))
+        for c in layout.keys
+    })
+    if layout.bucket_by:
+        rows = in_buckets(rows, layout).sortWithinPartitions(*layout.partition_by, *layout.bucket_by)
+    elif layout.partition_by:
+        rows = laid_out(rows, layout.partition_by, [c for c in layout.keys if c not in layout.partition_by])
+    rows.write.insertInto(name)
+
+
+# --- versioned replace -----------------------------------------------------
+
+_VERSION = "__v"
+
+
+def table_versions(spark: SparkSession, name: str) -> list[str]:
+    """The version tables of a replaced table, oldest first."""
+    *database, short = name.split(".")
+    place = f" IN {'.'.join(database)}" if database else ""
+    found = spark.sql(f"SHOW TABLES{place} LIKE '{short}{_VERSION}*'").collect()
+    prefix = f"{'.'.join(database)}." if database else ""
+    return sorted(prefix + r["tableName"] for r in found)
+
+
+def replace_table(
+    df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = (), keep: int = 2
+) -> str:
+    """Full refresh: write a new version, then turn the view ``name`` to it; returns the version's table.
+
+    Readers never meet an absent table.  One that has resolved the name keeps
+    the version that it saw; a failed write leaves the view where it was.  The
+    ``keep`` newest versions stay, so the version before is still there for
+    readers that are at work.  Two writers at once: the second to begin fails,
+    since a version's number is taken once.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        raise ValueError(f"{name} is a table; a replaced table is a view of its newest version")
+    older = table_versions(spark, name)
+    number = int(older[-1].rsplit(_VERSION, 1)[1]) + 1 if older else 1
+    version = f"{name}{_VERSION}{number:06d}"
+    writer = df.write.mode("error").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        # A write that failed may have left files: each attempt has a folder of its own.
+        writer = writer.option("path", f"{path.rstrip('/')}/{number:06d}-{uuid.uuid4().hex}")
+    writer.saveAsTable(version)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    for old in older[: max(len(older) + 1 - keep, 0)]:
+        drop_version(spark, old)
+    return version
+
+
+def drop_version(spark: SparkSession, version: str) -> None:
+    """Drop a version's table and its files."""
+    described = spark.sql(f"DESCRIBE EXTENDED {version}").filter("col_name = 'Location'").first()
+    spark.sql(f"DROP TABLE {version}")
+    if described:
+        remove_folder(spark, described["data_type"])
 
 
 def table_rows(spark: SparkSession, name: str) -> int:

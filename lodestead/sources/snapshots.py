@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,15 +48,20 @@ def newest_snapshot(
     spark: SparkSession, folder: str, pattern: str = "*.parquet", on_empty: str = "none", ties: str = "last"
 ) -> str | None:
     """Path of the newest snapshot; None or an error when there is none."""
+    row = newest_snapshot_row(spark, folder, pattern, ties)
+    if row is None and on_empty == "error":
+        raise FileNotFoundError(f"no snapshot like {pattern} in {folder}")
+    return row and row["path"]
+
+
+def newest_snapshot_row(spark: SparkSession, folder: str, pattern: str = "*.parquet", ties: str = "last") -> Row | None:
+    """The newest snapshot of :func:`list_snapshots`; None when there is none."""
     try:
-        row = newest_snapshots(list_snapshots(spark, folder, pattern), 1, ties).first()
+        return newest_snapshots(list_snapshots(spark, folder, pattern), 1, ties).first()
     except Exception as error:  # a pattern without a match is reported as a missing path
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        row = None
-    if row is None and on_empty == "error":
-        raise FileNotFoundError(f"no snapshot like {pattern} in {folder}")
-    return row and row["path"]
+        return None
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -43,15 +43,19 @@ def append_arrivals(
 
 def load_arrivals(
     stream: DataFrame, project: Callable[[DataFrame], DataFrame], table: str, keys: Sequence[str],
-    order: Sequence[str], checkpoint: str, quarantine: str | None = None,
+    order: Sequence[str], checkpoint: str, quarantine: str | None = None, ledger: str | None = None,
 ) -> StreamingQuery:
-    """Keyed load per micro-batch.  A replayed batch finds its keys and adds nothing.
+    """Keyed load per micro-batch, each of which happens once.
 
+    The ledger, by default ``checkpoint``/loads, knows the stream's batches by
+    number: one that is run again after it was done changes neither target,
+    quarantine nor counters, and one that broke off is carried to its end.
     Runs that name the same ``checkpoint`` read each file once.
     """
+    ledger = ledger or f"{checkpoint.rstrip('/')}/loads"
 
-    def load(batch: DataFrame, _: int) -> None:
-        keyed_append(project(batch), table, keys, order, quarantine=quarantine)
+    def load(batch: DataFrame, number: int) -> None:
+        keyed_append(project(batch), table, keys, order, quarantine=quarantine, ledger=ledger, load=f"{checkpoint}#{number}")
 
     return (
         stream.writeStream.foreachBatch(load)

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +100,78 @@ def test_without_any_area(spark):
     ldf = spark.createDataFrame([(1, -8.6, 41.1)], "id int, lon double, lat double")
     adf = spark.createDataFrame([], "area string, rings array<array<struct<x:double,y:double>>>")
     assert spatial.areas_containing(ldf, adf, ["area"]).first()["area"] is None
+
+
+def star(n, cx, cy, size, rng, rough=0.2):
+    """A closed outline of n vertices around a centre."""
+    turn = [2 * math.pi * (i + rng.random() * 0.8) / n for i in range(n)]
+    far = [size * (0.55 + 0.25 * math.sin(9 * t) + rough * rng.random()) for t in turn]
+    ring = [(cx + r * math.cos(t), cy + r * math.sin(t)) for r, t in zip(far, turn)]
+    return ring + ring[:1]
+
+
+def area_frame(spark, areas):
+    return spark.createDataFrame(
+        [(n, [[{"x": x, "y": y} for x, y in r] for r in rings]) for n, rings in areas.items()],
+        "area string, rings array<array<struct<x:double,y:double>>>",
+    )
+
+
+@pytest.mark.parametrize("leaf", [4, 32])
+def test_cells_equal_the_even_odd_rule(spark, leaf):
+    """Also on vertices, on sides, on borders of cells, with holes and with sides along parallels and meridians."""
+    rng = random.Random(leaf)
+    square = [(0.0, 0.0), (45.0, 0.0), (45.0, 22.5), (22.5, 22.5), (22.5, 45.0), (0.0, 45.0), (0.0, 0.0)]
+    diamond = [(11.25, 0.0), (22.5, 11.25), (11.25, 22.5), (0.0, 11.25), (11.25, 0.0)]
+    bow = [(-10.0, -10.0), (10.0, 10.0), (10.0, -10.0), (-10.0, 10.0), (-10.0, -10.0)]
+    areas = {
+        "square": [square, diamond], "bow": [bow], "star": [star(300, -8.2, 40.1, 0.4, rng), star(40, -8.2, 40.1, 0.1, rng)],
+        "tiny": [star(12, -8.0, 40.0, 1e-7, rng)], "line": [[(1.0, 1.0), (5.0, 5.0), (1.0, 1.0)]],
+        "wide": [[(-180.0, -90.0), (180.0, -90.0), (180.0, 90.0), (-180.0, 90.0), (-180.0, -90.0)]],
+    }
+    grid = [i * 5.625 for i in range(-4, 10)]
+    points = [(x, y) for x in grid for y in grid] + [p for rings in areas.values() for r in rings for p in r[:60]]
+    points += [((a + c) / 2, (b + d) / 2) for (a, b), (c, d) in zip(square, square[1:])]
+    points += [(rng.uniform(-9, -7.5), rng.uniform(39.5, 40.7)) for _ in range(500)] + [(-8.0 + rng.uniform(-1e-7, 1e-7), 40.0 + rng.uniform(-1e-7, 1e-7)) for _ in range(60)]
+    ldf = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(points)], "id int, lon double, lat double")
+    got = {}
+    for r in spatial.areas_containing(ldf, area_frame(spark, areas), ["area"], leaf_segments=leaf).collect():
+        got.setdefault(r.id, set()).add(r.area)
+    for i, p in enumerate(points):
+        assert got[i] == ({n for n, rings in areas.items() if inside(rings, *p)} or {None}), p
+
+
+def test_a_long_outline_is_tested_in_parts(spark):
+    """100,000 sides and points of which most lie in one spot: no point meets more than a cell's sides."""
+    rng = random.Random(3)
+    rings = [star(100_000, -8.0, 39.5, 0.8, rng, 2e-5)]
+    areas = area_frame(spark, {"long": rings})
+    sizes = [(r.n, r.corner) for r in spatial.area_cells(areas, ["area"]).select(F.size("segments").alias("n"), "corner").collect()]
+    assert max(n for n, _ in sizes) <= 32 and sum(n == 0 and corner for n, corner in sizes) > 100
+    points = [(-8.0 + rng.gauss(0, 0.4), 39.5 + rng.gauss(0, 0.4)) for _ in range(150)] + [rings[0][i] for i in range(0, 100_000, 2000)]
+    points += [(rings[0][77][0] + rng.gauss(0, 1e-6), rings[0][77][1] + rng.gauss(0, 1e-6)) for _ in range(50)] + [(-8.0, 39.5)] * 300
+    ldf = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "id int, lon double, lat double")
+    got = {r.id: r.area for r in spatial.areas_containing(ldf, areas, ["area"]).collect()}
+    known = {p: inside(rings, *p) for p in set(points)}
+    assert got == {i: "long" if known[p] else None for i, p in enumerate(points)}
+
+
+def test_nearest_among_many_in_one_spot(spark):
+    """100,000 points within 150 m, and places in their midst and far away."""
+    rng = random.Random(4)
+    spot = (-8.61, 41.15)
+    pois = [(spot[0] + rng.uniform(-7e-4, 7e-4), spot[1] + rng.uniform(-7e-4, 7e-4)) for _ in range(100_000)]
+    places = [(spot[0] + rng.uniform(-8e-4, 8e-4), spot[1] + rng.uniform(-8e-4, 8e-4)) for _ in range(120)]
+    places += [(0.0, 0.0), (179.9, -80.0), (spot[0] + 0.3, spot[1])] + pois[:5]
+    ldf = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "id int, lon double, lat double")
+    pdf = spark.createDataFrame(pois, "lon double, lat double")
+    found = spatial.nearest_distance(ldf, pdf, "d")
+    got = {r.id: r.d for r in found.collect()}
+    lon, lat = (np.radians([p[k] for p in pois]) for k in (0, 1))
+    for i, (x, y) in enumerate(np.radians(places)):
+        h = np.sin((lat - y) / 2) ** 2 + np.cos(lat) * np.cos(y) * np.sin((lon - x) / 2) ** 2
+        assert got[i] == pytest.approx(2 * EARTH_RADIUS_M * math.asin(math.sqrt(h.min())), abs=1e-6)
+    # Cells are cut until they are small, below the level of 150 m.
+    finest = spatial._uncrowded_level(pdf, 64)
+    cells, levels = spatial._all_cells(pdf, finest, 64)
+    assert finest > 18 and levels[-1] > 18 and cells.filter(F.col("level") == levels[-1]).agg(F.max("n")).first()[0] <= 64
