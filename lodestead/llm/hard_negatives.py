@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestead.llm.text import small_batches, stored
+from lodestead.llm.text import even_keys, small_batches, stored
 
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 5, 80, 100
 SCALE = 256
@@ -231,19 +231,18 @@ _BLOCKS = ["blk", "n", "ids", "keys", "vectors", "summaries", "box"]
 _ANCHORS = {"anchor_id": "long", "anchor_key": "long", "q": "binary", "tops": "array<long>"}
 
 
-def _streamed(index: DataFrame, asked: DataFrame, dims: int, answer, schema: str) -> DataFrame:
-    """``answer(group, anchor)`` for each row of ``asked`` (with ``grp``), past its group's blocks."""
+def _streamed(index: DataFrame, asked: DataFrame, groups: int, dims: int, answer, schema: str) -> DataFrame:
+    """``answer(group, anchor)`` for each row of ``asked`` (with ``grp`` and ``deal``), past its group's blocks."""
     kinds = dict(index.dtypes)
     blocks = index.select(
-        "grp", "label", *_BLOCKS, F.lit(0).alias("kind"),
+        "deal", "grp", "label", *_BLOCKS, F.lit(0).alias("kind"),
         *[F.lit(0 if t == "long" else None).cast(t).alias(c) for c, t in _ANCHORS.items()],
     )
     anchors = asked.select(
-        "grp", "label", *[F.lit(0 if kinds[c] == "int" else None).cast(kinds[c]).alias(c) for c in _BLOCKS],
+        "deal", "grp", "label", *[F.lit(0 if kinds[c] == "int" else None).cast(kinds[c]).alias(c) for c in _BLOCKS],
         F.lit(1).alias("kind"), *_ANCHORS,
     )
-    groups = max(index.select("grp").distinct().count(), 1)
-    dealt = blocks.unionByName(anchors).repartition(groups, "grp").sortWithinPartitions("grp", "kind", "blk")
+    dealt = blocks.unionByName(anchors).repartition(groups, "deal").drop("deal").sortWithinPartitions("grp", "kind", "blk")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, held, group = None, [], None
@@ -308,6 +307,10 @@ def mine(
     small_batches(spark)
     index, dims = build_index(prepared(df, anchors, vector, key, label, scale), group)
     asked = stored(spark, _anchors(index, dims), "negatives-anchors")
+    groups = [r[0] for r in index.select("grp").distinct().collect()] or [0]  # one number for each group
+    dealt = list(zip(groups, even_keys(spark, len(groups))))
+    index = index.join(F.broadcast(spark.createDataFrame(dealt, "grp long, deal long")), "grp")
+    every = F.array(*[F.struct(F.lit(g).cast("long").alias("grp"), F.lit(k).cast("long").alias("deal")) for g, k in dealt])
     place = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "other_id", "other_key"))
 
     def nearest(group: _Group, r) -> list:
@@ -315,14 +318,13 @@ def mine(
         return [(r.anchor_id, r.anchor_key, i, k, s) for i, k, s in zip(group.ids[rows], group.keys[rows], scores)]
 
     near = _streamed(
-        index, asked.join(index.select("grp", "label").distinct(), "label").withColumn("tops", F.lit(None).cast("array<long>")),
-        dims, nearest, "anchor_id long, anchor_key long, other_id long, other_key long, score long",
+        index, asked.join(index.select("deal", "grp", "label").distinct(), "label").withColumn("tops", F.lit(None).cast("array<long>")),
+        len(groups), dims, nearest, "anchor_id long, anchor_key long, other_id long, other_key long, score long",
     )
     own = ["anchor_id", "anchor_key"]
     best = near.withColumn("no", place(*own)).filter(F.col("no") <= positives)
     best = stored(spark, best.select(*own, "no", F.col("other_id").alias("positive_id"), F.col("score").alias("positive_score")), "negatives-positives")
     tops = best.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("no", "positive_score"))).alias("t"))
-    groups = [r[0] for r in index.select("grp").distinct().collect()] or [0]  # one number for each group
 
     def hardest(group: _Group, r) -> list:
         found = group.negatives(np.frombuffer(r.q, np.int32), r.label, np.asarray(r.tops, np.int64), low, high, negatives)
@@ -333,8 +335,8 @@ def mine(
 
     far = _streamed(
         index,
-        asked.join(tops, own).withColumn("tops", F.col("t.positive_score")).withColumn("grp", F.explode(F.array(*[F.lit(g).cast("long") for g in groups]))),
-        dims, hardest, "anchor_id long, anchor_key long, no int, other_id long, other_key long, score long",
+        asked.join(tops, own).withColumn("tops", F.col("t.positive_score")).select("*", F.explode(every).alias("e")).select("*", "e.*"),
+        len(groups), dims, hardest, "anchor_id long, anchor_key long, no int, other_id long, other_key long, score long",
     )
     ranked = far.withColumn("rank", place(*own, "no")).filter(F.col("rank") <= negatives)
     return ranked.join(best, [*own, "no"]).select(

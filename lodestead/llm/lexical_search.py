@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestead.llm.text import encoded, small_batches, stored
+from lodestead.llm.text import encoded, even_keys, small_batches, stored
 
 TOP, K1, B = 20, 12, 25
 #: Documents of a cell and of a shard; a query's terms that are known to every task at most.
@@ -37,7 +37,7 @@ NO_ID = np.iinfo(np.int64).max
 _ALNUM = (string.ascii_letters + string.digits).encode()
 _TABLE = bytes(b if b >= 128 or b in _ALNUM else 32 for b in range(256)).lower()
 
-INDEX = "shard int, m long, ids binary, terms array<string>, ends binary, docs binary, impacts binary"
+INDEX = "shard long, m long, ids binary, terms array<string>, ends binary, docs binary, impacts binary"
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -98,7 +98,7 @@ def build_index(counts: DataFrame, documents: int, all_terms: int, shard_rows: i
     shards = max(-(-documents // shard_rows), spark.sparkContext.defaultParallelism)
     rows = (
         counts.filter(F.size("terms") > 0).select(m.alias("m"), F.coalesce("doc_id", F.lit(int(NO_ID))).alias("doc_id"), "terms", "tfs")
-        .repartition(shards).sortWithinPartitions("m", "doc_id").withColumn("shard", F.spark_partition_id())
+        .repartition(shards).sortWithinPartitions("m", "doc_id").withColumn("shard", F.spark_partition_id().cast("long"))
         .select("shard", "m", "doc_id", "terms", "tfs")
     )
 
@@ -170,9 +170,9 @@ class _Shard:
 
 def rank(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     """(item_id, h, doc_id, score, rank) for each row (item_id, h, terms, weights) of ``queries``, against all cells."""
-    shards = [r[0] for r in index.select("shard").distinct().collect()]  # one number for each task
-    if not shards:
-        shards = [0]
+    shards = [r[0] for r in index.select("shard").distinct().collect()] or [0]  # one number for each task
+    key = dict(zip(shards, even_keys(index.sparkSession, len(shards))))
+    dealt_by = F.get(F.array(*[F.lit(key.get(s)) for s in range(max(shards) + 1)]), F.col("shard").cast("int"))
     none = lambda kind, *names: [F.lit(None).cast(kind).alias(c) for c in names]
     cells = index.select("*", F.lit(0).alias("kind"), *none("string", "item_id", "h"), *none("array<long>", "weights"))
     asked = queries.select(
@@ -180,7 +180,8 @@ def rank(index: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
         *none("binary", "ids", "ends", "docs", "impacts"), "terms", F.lit(1).alias("kind"),
         *[F.col(c).cast("string").alias(c) for c in ("item_id", "h")], "weights",  # text, since pandas has no null among integers
     )
-    dealt = cells.unionByName(asked).repartition(max(len(shards), 1), "shard").sortWithinPartitions("shard", "kind", "m")
+    dealt = cells.unionByName(asked).withColumn("deal", dealt_by).repartition(len(shards), "deal").drop("deal")
+    dealt = dealt.sortWithinPartitions("shard", "kind", "m")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, held, shard = None, [], None

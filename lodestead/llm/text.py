@@ -28,6 +28,17 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: int = 32 << 20) -
             spark.conf.set(name, str(most))
 
 
+def even_keys(spark: SparkSession, n: int) -> list[int]:
+    """n whole numbers that ``repartition(n, key)`` deals to n different partitions, so that no task gets two of few keys."""
+    place, found, start = F.pmod(F.hash("id"), F.lit(n)), {}, 0
+    while len(found) < n:
+        size = 16 * n + 64
+        rows = spark.range(start, start + size, 1, 1).groupBy(place.alias("place")).agg(F.min("id").alias("id")).collect()
+        found = {r["place"]: r["id"] for r in rows} | found
+        start += size
+    return [found[i] for i in range(n)]
+
+
 def encoded(texts: Iterable[str | None]) -> list[bytes]:
     """UTF-8 bytes of texts; null is empty."""
     return [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
