@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,16 +56,16 @@ def _pair_column(pair: str, name: Callable[[object], str] = column_name) -> str:
 
 
 def feature_vocabulary(
-    df: DataFrame, pairs: str, max_pairs: int = 5_000, name: Callable[[object], str] = column_name
+    df: DataFrame, pairs: str, max_pairs: int | None = None, name: Callable[[object], str] = column_name
 ) -> dict[str, list[str]]:
-    """Column name -> the raw pairs that map to it.
+    """Column name -> the raw pairs that map to it, for the form with a column for each: the driver gets its schema.
 
-    Distinct pairs are found in parallel; at most ``max_pairs`` reach the
-    driver.  More is an error: :func:`feature_index` and :func:`features_long`
-    have no such limit.
+    A caller who wants a narrow schema or none gives ``max_pairs``; more pairs
+    are then an error.  :func:`feature_index` and :func:`features_long` collect nothing.
     """
-    found = df.select(F.explode(pairs).alias("pair")).distinct().limit(max_pairs + 1).collect()
-    if len(found) > max_pairs:
+    distinct = df.select(F.explode(pairs).alias("pair")).distinct()
+    found = distinct.collect() if max_pairs is None else distinct.limit(max_pairs + 1).collect()
+    if max_pairs is not None and len(found) > max_pairs:
         raise ValueError(f"more than {max_pairs} distinct features; use features_long")
     vocabulary: dict[str, list[str]] = {}
     for (pair,) in sorted(found):
@@ -128,18 +128,26 @@ def multi_hot_indexes(df: DataFrame, pairs: str, vocabulary: DataFrame) -> DataF
 
 
 def multi_hot_vector(df: DataFrame, pairs: str, vocabulary: DataFrame) -> DataFrame:
-    """Adds the 0/1 features as the sparse vector ``feature_vector``; only their number reaches the driver."""
-    size = vocabulary.select("index").distinct().count()
-    vector = F.udf(lambda found: Vectors.sparse(size, found, [1.0] * len(found)), VectorUDT())
+    """Adds the 0/1 features as the sparse vector ``feature_vector``; only their number reaches the driver.
+
+    A count vectoriser whose terms are the features' numbers makes the vector
+    in the JVM, by one expression for any number of features.
+    """
+    size = (vocabulary.agg(F.max("index")).first()[0] or 0) + 1
+    terms = [str(i) for i in range(size)]
+    vectors = CountVectorizerModel.from_vocabulary(terms, "_terms", VECTOR, binary=True)
     indexed = multi_hot_indexes(df, pairs, vocabulary)
-    return indexed.select(*df.columns, vector(INDEXES).alias(VECTOR, metadata={"ml_attr": {"num_attrs": size}}))
+    made = vectors.transform(indexed.withColumn("_terms", F.transform(INDEXES, lambda i: i.cast("string"))))
+    # Not the names of all entries, which are their numbers.
+    return made.select(*df.columns, F.col(VECTOR).alias(VECTOR, metadata={"ml_attr": {"num_attrs": size}}))
 
 
-def hot_columns(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """One 0/1 column per feature in place of ``feature_indexes``; the driver gets the names, which are the schema."""
-    names = sorted(map(tuple, vocabulary.select("feature", "index").distinct().collect()))
-    hot = [f"cast(array_contains({INDEXES}, {i}) as int) AS `{name}`" for name, i in names]
-    return df.selectExpr("*", *hot).drop(INDEXES)
+def raw_pairs(vocabulary: DataFrame) -> dict[str, list[str]]:
+    """Column name -> its raw pairs, of a vocabulary that is a table."""
+    out: dict[str, list[str]] = {}
+    for feature, pair in sorted(map(tuple, vocabulary.select("feature", "pair").distinct().collect())):
+        out.setdefault(feature, []).append(pair)
+    return out
 
 
 # --- fills and ranks -------------------------------------------------------
@@ -247,10 +255,8 @@ def model_table(flat: DataFrame, sparse: bool = False, vocabulary: DataFrame | N
     )
     if "features_by_category" in kept.columns:
         paired = counted.withColumn("_pairs", label_value_pairs("features_by_category"))
-        if vocabulary is None:
-            vocabulary = feature_index(paired, "_pairs")
         if sparse:
-            counted = multi_hot_vector(paired, "_pairs", vocabulary)
+            counted = multi_hot_vector(paired, "_pairs", feature_index(paired, "_pairs") if vocabulary is None else vocabulary)
         else:
-            counted = hot_columns(multi_hot_indexes(paired, "_pairs", vocabulary), vocabulary)
+            counted = multi_hot(paired, "_pairs", feature_vocabulary(paired, "_pairs") if vocabulary is None else raw_pairs(vocabulary))
     return drop_columns(counted, ["image_urls", "features", "features_by_category", "_pairs"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,24 +48,28 @@ def fit_boosted_trees(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
     validation: str | None = None, max_iter: int = 1000, max_categories: int = 10_000,
     step_size: float = 0.05, max_depth: int = 5, tolerance: float = 0.01, seed: int = 42,
-    vectors: Sequence[str] = (), hashed: Mapping[str, int] | None = None,
+    vectors: Sequence[str] = (), hashed: Mapping[str, int] | None = None, means: Sequence[str] = (),
+    smoothing: float = 0.0,
 ) -> PipelineModel:
     """Index the categories, assemble the vector, fit the trees.
 
     ``validation`` names a boolean column whose true rows stop the boosting
-    early.  Category indexes go to the driver, so their number is checked
-    first; a category in ``hashed`` is put into so many buckets instead, by its
-    hash.  ``vectors`` are vector columns, which come after all others.
+    early.  The trees try the labels of a category one by one, so their number
+    is checked.  A category of more goes into ``means``, where each label
+    stands for the mean of the target over its training rows and an unseen one
+    for the mean of all, or into ``hashed``, which puts it into so many buckets
+    by its hash.  ``vectors`` are vector columns, which come after all others.
     """
     spark = train.sparkSession
     hashed = {c: n for c, n in (hashed or {}).items() if c in categorical}
-    categorical = [c for c in categorical if c not in hashed]
+    means = [c for c in means if c in categorical and c not in hashed]
+    categorical = [c for c in categorical if c not in hashed and c not in means]
     bins = 32
     if categorical:
         row = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
         widest = max(row)
         if widest > max_categories:
-            raise ValueError(f"a category has about {widest} values, more than {max_categories}")
+            raise ValueError(f"a category has about {widest} values, more than {max_categories}; name it in means or hashed")
         bins = max(bins, int(widest * 1.2) + 2)
     _use_checkpoints(spark)
     indexed = [f"{c}_index" for c in categorical]
@@ -75,7 +79,8 @@ def fit_boosted_trees(
         stages.append(SQLTransformer(statement=f"SELECT *, {buckets} FROM __THIS__"))
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
-    inputs = [*[_KNOWN + c for c in numeric], *indexed, *[f"{c}_index" for c in hashed], *vectors]
+    stages += mean_stages(means, target, smoothing)
+    inputs = [*[_KNOWN + c for c in numeric], *indexed, *[f"{c}_index" for c in hashed], *[f"{c}{_MEAN}" for c in means], *vectors]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features_vector"))
     trees = GBTRegressor(
         featuresCol="features_vector", labelCol=target, predictionCol="prediction", maxIter=max_iter,
@@ -88,6 +93,38 @@ def fit_boosted_trees(
     return Pipeline(stages=stages).fit(train)
 
 
+#: Ending of the column that stands for a category by the mean of its labels.
+_MEAN = "_mean"
+_NULL = "\u0001"
+
+
+def mean_stages(columns: Sequence[str], target: str, smoothing: float = 0.0) -> list:
+    """Stages that add ``<column>_mean``: the mean of the target over a label's rows.
+
+    ``smoothing`` draws the means of rare labels to that of all rows.  A null is
+    a label; one that was not seen has the mean of all.
+    """
+    if not columns:
+        return []
+    labels, out = [f"{c}_label" for c in columns], [f"{c}_encoded" for c in columns]
+    # Null becomes a text of its own: the indexer would count it among the labels that it has not seen.
+    texts = ", ".join(f"coalesce(cast(`{c}` AS string), '{_NULL}') AS `{c}_text`" for c in columns)
+    # The encoder's column is still marked as one of labels; a number of its own is not.
+    numbers = ", ".join(f"`{c}_encoded` + 0D AS `{c}{_MEAN}`" for c in columns)
+    return [
+        SQLTransformer(statement=f"SELECT *, {texts} FROM __THIS__"),
+        StringIndexer(inputCols=[f"{c}_text" for c in columns], outputCols=labels, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        TargetEncoder(inputCols=labels, outputCols=out, labelCol=target, targetType="continuous", handleInvalid="keep", smoothing=smoothing),
+        SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__"),
+    ]
+
+
+def category_means(train: DataFrame, column: str, target: str, smoothing: float = 0.0) -> DataFrame:
+    """(column, mean) of every label, as the encoder of :func:`mean_stages` has learnt them."""
+    fitted = Pipeline(stages=mean_stages([column], target, smoothing)).fit(train)
+    return fitted.transform(train.select(column).distinct()).select(column, F.col(f"{column}{_MEAN}").alias("mean"))
+
+
 # The trees take no missing numbers.  A value below all others lets a split set them apart.
 _KNOWN = "known_"
 _MISSING = -1e9
@@ -112,7 +149,7 @@ def feature_importances(
     Entries of a sparse vector are named by ``vocabulary``, else by their place.
     """
     columns = model.stages[-2].getInputCols()
-    names = [c.removeprefix(_KNOWN).removesuffix("_index") for c in columns if c != fx.VECTOR]
+    names = [c.removeprefix(_KNOWN).removesuffix("_index").removesuffix(_MEAN) for c in columns if c != fx.VECTOR]
     gains = model.stages[-1].featureImportances.toArray().tolist()
     if fx.VECTOR in columns:
         names += [f"{fx.VECTOR}[{i}]" for i in range(len(gains) - len(names))]

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from fractions import Fraction
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+
+from lodestead.session import written_once
 
 
 def counted(df: DataFrame, name: str, counters: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
@@ -53,151 +58,164 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def column_summary(df: DataFrame, columns: Sequence[str], quartiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Count, mean, standard deviation, minimum, exact quartiles, maximum per numeric column."""
-    cuts = exact_quantiles(df, columns, quartiles)
-    stats = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(c).alias("count"),
-                F.avg(c).cast("double").alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).cast("double").alias("min"),
-                *[F.lit(cuts[c][q]).cast("double").alias(f"q{round(q * 100)}") for q in quartiles],
-                F.max(c).cast("double").alias("max"),
-            ).alias(f"_s{i}")
-            for i, c in enumerate(columns)
-        ]
-    )
-    return stats.select(F.explode(F.array(*[f"_s{i}" for i in range(len(columns))])).alias("s")).select("s.*")
+    asks = {}
+    for i, c in enumerate(columns):
+        asks |= {
+            f"count{i}": F.count(c), f"mean{i}": F.avg(c).cast("double"), f"std{i}": F.stddev_samp(c),
+            f"min{i}": F.min(c).cast("double"), f"max{i}": F.max(c).cast("double"),
+        }
+    cuts, found = quantiles_and(df, columns, quartiles, [a.alias(n) for n, a in asks.items()])
+    names = [f"q{round(q * 100)}" for q in quartiles]
+    rows = [
+        (c, found[f"count{i}"], found[f"mean{i}"], found[f"std{i}"], found[f"min{i}"],
+         *[None if cuts[c][q] is None else float(cuts[c][q]) for q in quartiles], found[f"max{i}"])
+        for i, c in enumerate(columns)
+    ]
+    schema = f"column string, count bigint, mean double, std double, min double, {''.join(f'{n} double, ' for n in names)}max double"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+# --- exact quantiles -------------------------------------------------------
+
+_WHOLE = (ByteType, ShortType, IntegerType, LongType)
+
+
+@dataclass
+class _Wanted:
+    """A quantile of a column: the two 0-based ranks it lies between, and a bracket of values that holds them."""
+
+    column: str
+    p: float
+    whole: bool
+    ranks: tuple[int, int]
+    bracket: tuple | None = None
+    below: int = 0
+
+    def value(self) -> Column:
+        if self.whole:
+            return F.col(self.column).cast("bigint")
+        return F.nanvl(F.col(self.column).cast("double"), F.lit(None).cast("double"))
+
+    def within(self) -> Column:
+        value = self.value()
+        if self.bracket is None:
+            return value.isNotNull()
+        return value.between(*[F.lit(b) for b in self.bracket])
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-    accuracy: int = 2_000, max_values: int = 5_000,
-) -> dict[str, dict[float, float | None]]:
-    """Exact interpolated quantiles of several columns without a full sort.
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 2_000, max_values: int = 5_000
+) -> dict[str, dict[float, float | int | None]]:
+    """Exact interpolated quantiles of several columns without a sort, in three scans at most.
 
     A built-in exact percentile keeps every distinct value in one task.  Here
-    approximate quantiles first bracket each wanted rank; then only the values
-    inside the brackets are counted.  Brackets with more than ``max_values``
-    distinct values are narrowed in further passes, so the driver receives a
-    bounded number of counts and the result stays exact.
+    mergeable sketches of all columns bracket each wanted rank in one scan, a
+    second one counts what lies below the brackets, and a third one counts the
+    values inside, about 4 / ``accuracy`` of the rows.  If these are more than
+    ``max_values`` they are put in order by ranges, and only the range that
+    holds a rank reaches the driver.  Null and NaN do not count.  Whole numbers
+    stay whole, also above 2 ** 53; other numbers are taken as doubles.
     """
-    columns = list(columns)
-    rows = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    counts = dict(zip(columns, rows))
-    out: dict[str, dict[float, float | None]] = {c: {p: None for p in probabilities} for c in columns}
-    # Wanted 0-based ranks per (column, probability), bracketed by [low, high].
-    wanted = {
-        (c, p): (math.floor(p * (counts[c] - 1)), math.ceil(p * (counts[c] - 1)))
-        for c in columns
-        for p in probabilities
-        if counts[c]
-    }
-    brackets: dict[tuple[str, float], tuple[float | None, float | None]] = {k: (None, None) for k in wanted}
-    below = {k: 0 for k in wanted}
-    inside = {k: counts[k[0]] for k in wanted}
-    open_keys = list(wanted)
-    while open_keys:
-        large = [k for k in open_keys if inside[k] > max_values]
-        if large:
-            _narrow(df, large, wanted, brackets, below, inside, accuracy)
-            _measure(df, large, brackets, below, inside)
-        # Many rows may still be few values: one value can fill a bracket.
-        many = [k for k in open_keys if inside[k] > max_values]
-        values = _distinct_values(df, many, brackets) if many else {}
-        small = [k for k in open_keys if values.get(k, 0) <= max_values]
-        if small:
-            ranked = _values_at_ranks(df, small, wanted, brackets, below, max_values * 2 * len(small))
-            if ranked is None:  # more values than estimated: one more narrowing, and all are asked again
-                _narrow(df, small, wanted, brackets, below, inside, accuracy)
-                _measure(df, small, brackets, below, inside)
-                continue
-            for (c, p), (lo, hi) in ranked.items():
-                weight = p * (counts[c] - 1) - math.floor(p * (counts[c] - 1))
-                out[c][p] = lo + (hi - lo) * weight
-        open_keys = [k for k in open_keys if k not in small]
-    return out
-
+    return quantiles_and(df, columns, probabilities, [], accuracy, max_values)[0]
 
-def _within(c: str, bracket: tuple[float | None, float | None]) -> Column:
-    value = F.col(c).cast("double")
-    low, high = bracket
-    condition = value.isNotNull()
-    if low is not None:
-        condition &= value >= F.lit(low)
-    if high is not None:
-        condition &= value <= F.lit(high)
-    return condition
 
-
-def _narrow(df, keys, wanted, brackets, below, inside, accuracy) -> None:
-    """Replace each bracket by a narrower one that still holds the wanted ranks."""
+def quantiles_and(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], aggregates: Sequence[Column],
+    accuracy: int = 2_000, max_values: int = 5_000,
+) -> tuple[dict[str, dict[float, float | int | None]], Row]:
+    """:func:`exact_quantiles`, and other aggregates that come with its first scan."""
+    whole = {c: isinstance(df.schema[c].dataType, _WHOLE) for c in columns}
     slack = 2.0 / accuracy
-    shared: dict = {}
-    for k in keys:
-        shared.setdefault((k[0], brackets[k]), []).append(k)
+    shares = [x for p in probabilities for x in (max(0.0, p - slack), min(1.0, p + slack))]
+    # Rank error of a sketch of size k: about 2.3 / k ** 0.97.
+    size = max(8, min(65_535, math.ceil((2.3 * accuracy) ** (1 / 0.97))))
     asks = []
-    for i, ((c, bracket), members) in enumerate(shared.items()):
-        shares = []
-        for k in members:
-            lo, hi = (r - below[k] for r in wanted[k])
-            shares += [max(0.0, lo / inside[k] - slack), min(1.0, (hi + 2) / inside[k] + slack)]
-        value = F.when(_within(c, bracket), F.col(c).cast("double"))
-        asks.append(F.percentile_approx(value, shares, accuracy).alias(f"q{i}"))
-    row = df.agg(*asks).first()
-    for i, members in enumerate(shared.values()):
-        for j, k in enumerate(members):
-            brackets[k] = (row[i][2 * j], row[i][2 * j + 1])
-
-
-def _measure(df, keys, brackets, below, inside) -> None:
-    """Count the rows below and inside each bracket."""
-    asks = []
-    for i, k in enumerate(keys):
-        asks.append(F.count_if(F.col(k[0]).cast("double") < F.lit(brackets[k][0])).alias(f"b{i}"))
-        asks.append(F.count_if(_within(k[0], brackets[k])).alias(f"i{i}"))
-    row = df.agg(*asks).first()
-    for i, k in enumerate(keys):
-        below[k], inside[k] = row[f"b{i}"], row[f"i{i}"]
-
-
-def _distinct_values(df, keys, brackets) -> dict:
-    asks = [
-        F.approx_count_distinct(F.when(_within(k[0], brackets[k]), F.col(k[0]))).alias(f"d{i}")
-        for i, k in enumerate(keys)
-    ]
-    return dict(zip(keys, df.agg(*asks).first()))
-
-
-def _values_at_ranks(df, keys, wanted, brackets, below, limit) -> dict | None:
-    """The values at the wanted ranks, from the value counts inside the brackets; None for more than ``limit``."""
-    by_column: dict = {}
-    for k in keys:
-        by_column.setdefault(k[0], []).append(k)
-    hit = {c: reduce(or_, [_within(c, brackets[k]) for k in members]) for c, members in by_column.items()}
+    for i, c in enumerate(columns):
+        value = _Wanted(c, 0.0, whole[c], (0, 0)).value()
+        sketch, quantile = (
+            (F.kll_sketch_agg_bigint, F.kll_sketch_get_quantile_bigint) if whole[c]
+            else (F.kll_sketch_agg_double, F.kll_sketch_get_quantile_double)
+        )
+        ranks = F.array(*[F.lit(x) for x in shares])
+        asks += [F.count(value).alias(f"_n{i}"), F.when(F.count(value) > 0, quantile(sketch(value, size), ranks)).alias(f"_q{i}")]
+    first = df.agg(*asks, *aggregates).first()
+    counts = {c: first[f"_n{i}"] for i, c in enumerate(columns)}
+    wanted = []
+    for i, c in enumerate(columns):
+        for j, p in enumerate(probabilities if counts[c] else []):
+            at = p * (counts[c] - 1)
+            bracket = tuple(first[f"_q{i}"][2 * j : 2 * j + 2]) if counts[c] > max_values else None
+            wanted.append(_Wanted(c, p, whole[c], (math.floor(at), math.ceil(at)), bracket))
+    out: dict[str, dict[float, float | int | None]] = {c: {p: None for p in probabilities} for c in columns}
+    inside = _measure(df, wanted, counts)
+    for w, (low, high) in zip(wanted, _at_ranks(df, wanted, inside, max_values)):
+        weight = Fraction(w.p * (counts[w.column] - 1)) - w.ranks[0]
+        between = low + (high - low) * (weight if w.whole else float(weight))
+        out[w.column][w.p] = int(between) if w.whole and between == int(between) else float(between)
+    return out, first
+
+
+def _measure(df: DataFrame, wanted: list[_Wanted], counts: Mapping[str, int]) -> list[int]:
+    """Count the values below and inside each bracket; a bracket that misses its ranks is given up."""
+    cut = [w for w in wanted if w.bracket is not None]
+    inside = {id(w): counts[w.column] for w in wanted}
+    if cut:
+        asks = []
+        for i, w in enumerate(cut):
+            asks += [F.count_if(w.value() < F.lit(w.bracket[0])).alias(f"b{i}"), F.count_if(w.within()).alias(f"i{i}")]
+        row = df.agg(*asks).first()
+        for i, w in enumerate(cut):
+            if row[f"b{i}"] <= w.ranks[0] and w.ranks[1] < row[f"b{i}"] + row[f"i{i}"]:
+                w.below, inside[id(w)] = row[f"b{i}"], row[f"i{i}"]
+            else:
+                w.bracket = None
+    return [inside[id(w)] for w in wanted]
+
+
+def _at_ranks(df: DataFrame, wanted: list[_Wanted], inside: list[int], max_values: int) -> list[tuple]:
+    """The two values at each one's ranks, from the counts of the values inside its bracket."""
+    if not wanted:
+        return []
+    none = {"whole": F.lit(None).cast("bigint"), "number": F.lit(None).cast("double")}
+    hits = []
+    for i, w in enumerate(wanted):
+        fields = none | {"whole" if w.whole else "number": w.value()}
+        hits.append(F.when(w.within(), F.struct(F.lit(i).alias("i"), *[v.alias(k) for k, v in fields.items()])))
     # Few rows fall into any bracket: drop the others before the list is built.
-    lists = F.array(
-        *[F.when(hit[c], F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"))) for c in by_column]
-    )
-    found = (
-        df.filter(reduce(or_, hit.values()))
-        .select(F.explode(lists).alias("h"))
-        .filter("h is not null")
-        .groupBy("h.c", "h.v")
-        .count()
-        .limit(limit + 1)
-        .collect()
-    )
-    if len(found) > limit:
-        return None
-    out = {}
-    for k in keys:
-        low, high = brackets[k]
-        inside = [(v, n) for c, v, n in found if c == k[0] and (low is None or low <= v <= high)]
-        rank, picked = below[k], []
-        for v, n in sorted(inside):
-            picked += [v for r in dict.fromkeys(wanted[k]) if rank <= r < rank + n]
-            rank += n
-        out[k] = (picked[0], picked[-1])
+    rows = df.filter(reduce(or_, [w.within() for w in wanted])).select(F.explode(F.array(*hits)).alias("h")).filter("h is not null")
+    values = rows.groupBy("h.i", "h.whole", "h.number").agg(F.count("*").alias("n"))
+    if sum(inside) > max_values:
+        values, before = _ranges_with_ranks(values, wanted, max_values)
+    else:
+        before = [w.below for w in wanted]
+    found: list[list] = [[] for _ in wanted]
+    for r in values.collect():
+        found[r["i"]].append((r["whole"] if wanted[r["i"]].whole else r["number"], r["n"]))
+    out = []
+    for w, start, pairs in zip(wanted, before, found):
+        picked = []
+        for value, n in sorted(pairs):
+            picked += [value for rank in dict.fromkeys(w.ranks) if start <= rank < start + n]
+            start += n
+        out.append((picked[0], picked[-1]))
     return out
+
+
+def _ranges_with_ranks(values: DataFrame, wanted: list[_Wanted], max_values: int) -> tuple[DataFrame, list[int]]:
+    """The values of the ranges that hold wanted ranks, and the rank at which the first of them begins."""
+    values = written_once(values, "quantile-values")
+    order = ["i", "whole", "number"]
+    parts = values.count() // max_values + 1
+    ranged = written_once(values.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "quantile-ranges")
+    totals = sorted(map(tuple, ranged.groupBy("i", "part").agg(F.sum("n")).collect()))  # a row for each range and quantile
+    keep, before = [], []
+    for i, w in enumerate(wanted):
+        start, begin = w.below, None
+        for _, part, n in (t for t in totals if t[0] == i):
+            if any(start <= rank < start + n for rank in w.ranks):
+                keep.append((i, part))
+                begin = start if begin is None else begin
+            start += n
+        before.append(begin)
+    chosen = ranged.sparkSession.createDataFrame(keep, "i int, part int")
+    return ranged.join(F.broadcast(chosen), ["i", "part"], "left_semi"), before  # two ranges for each quantile at most

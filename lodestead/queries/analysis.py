@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,8 +103,7 @@ def multi_hot(spark: SparkSession, sf: str) -> DataFrame:
     text = F.when(F.col("event_type") == "view", '{"label": "x"}').otherwise(F.to_json(lists))
     rows = spread_table(spark, sf, "events", "event_id", "event_type", "value").select("event_id", text.alias("json"))
     paired = rows.withColumn("pairs", features.label_value_pairs("json"))
-    vocabulary = features.feature_index(paired, "pairs")
-    return features.hot_columns(features.multi_hot_indexes(paired, "pairs", vocabulary), vocabulary).drop("json", "pairs")
+    return features.multi_hot(paired, "pairs", features.feature_vocabulary(paired, "pairs")).drop("json", "pairs")
 
 
 @query("""
@@ -114,3 +114,23 @@ def multi_hot_long(spark: SparkSession, sf: str) -> DataFrame:
     k = F.array(F.struct(F.lit("k").alias("label"), F.array(F.get_json_object("props", "$.k")).alias("values")))
     rows = spread_table(spark, sf, "events", "user_id", "props").select("user_id", F.to_json(k).alias("json"))
     return features.features_long(rows.withColumn("pairs", features.label_value_pairs("json")), "user_id", "pairs")
+
+
+@query("""
+    SELECT event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(count(*) AS BIGINT) AS rows,
+           CAST(2 AS BIGINT) AS hot, (SELECT count(DISTINCT event_type) + count(DISTINCT props) FROM events) AS features
+    FROM events GROUP BY 1, 2
+""")
+def multi_hot_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """Sparse 0/1 vectors of two features of each event, of one length, told apart by their entries."""
+    entry = lambda label, value: F.struct(F.lit(label).alias("label"), F.array(value).alias("values"))
+    lists = F.array(entry("type", F.col("event_type")), entry("k", F.get_json_object("props", "$.k")))
+    rows = spread_table(spark, sf, "events", "event_type", "props").select("event_type", "props", F.to_json(lists).alias("json"))
+    paired = rows.withColumn("pairs", features.label_value_pairs("json"))
+    vectors = features.multi_hot_vector(paired, "pairs", features.feature_index(paired, "pairs"))
+    dense = vector_to_array(F.col(features.VECTOR))
+    told = vectors.select(
+        "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"), F.col(features.VECTOR).alias("v"),
+        F.size(F.filter(dense, lambda x: x == 1.0)).cast("bigint").alias("hot"), F.size(dense).cast("bigint").alias("features"),
+    )
+    return told.groupBy("v", "event_type", "k", "hot", "features").agg(F.count("*").alias("rows")).drop("v")

@@ -41,14 +41,35 @@ def model_table(spark: SparkSession, sf: str) -> DataFrame:
     return built.select("ad_id", "price", "image_count", "features_count", *hot)
 
 
-@query()
+@query("""
+    SELECT o_custkey AS label, round(avg(o_totalprice), 6) AS mean FROM orders GROUP BY 1
+""")
+def category_means(spark: SparkSession, sf: str) -> DataFrame:
+    """A category of as many labels as there are customers with orders, by the mean price of each."""
+    rows = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("label"), F.col("o_totalprice").cast("double").alias("price"))
+    found = model.category_means(rows, "label", "price")
+    return found.select(F.col("label").cast("bigint").alias("label"), F.round("mean", 6).alias("mean"))
+
+
+_PART_BUCKET = "CAST('0x' || substr(md5({key}), 1, 8) AS BIGINT) % 100 < 20"
+
+
+@query(f"""
+    WITH p AS (SELECT {_PART_BUCKET.format(key="CAST(p_partkey AS VARCHAR)")} AS is_test, p_partkey FROM part)
+    SELECT is_test, CAST(count(*) AS BIGINT) AS rows, true AS fits, 'latitude' AS top_feature, true AS shares_are_whole,
+           'area,energy_certificate,latitude' AS numeric_features, 'ad_category_name,location_address_city' AS categories
+    FROM p GROUP BY is_test
+""")
 def boosted_trees(spark: SparkSession, sf: str) -> DataFrame:
-    """Part prices: indexed categories, rank, split, trees; importances and metrics of both parts."""
+    """Part prices, which follow the part's number: split, indexed categories, a category by means, trees, importances.
+
+    ``fits``: on either side of the split the errors are under half of the price's spread.
+    """
     rows = table(spark, sf, "part").select(
         "p_partkey", F.col("p_size").cast("double").alias("area"), F.col("p_type").alias("ad_category_name"),
         F.col("p_brand").alias("location_address_city"), F.col("p_retailprice").alias("price"),
         features.ordinal_rank(F.lower("p_type"), ("small", "medium", "large")).alias("energy_certificate"),
-        (F.col("p_partkey") / 100).alias("latitude"),
+        (F.col("p_partkey") % 1000 / 100).alias("latitude"),
     )
     rows = rows.withColumn("is_test", features.in_test_split(F.col("p_partkey")))
     rows = rows.withColumn(
@@ -57,8 +78,15 @@ def boosted_trees(spark: SparkSession, sf: str) -> DataFrame:
     )
     numeric, categorical = model.feature_columns(rows)
     fitted = model.fit_boosted_trees(
-        rows.filter(~F.col("is_test")), numeric, categorical, "price", "is_validation", max_iter=10, max_depth=3
+        rows.filter(~F.col("is_test")), numeric, categorical, "price", "is_validation", max_iter=20, max_depth=4,
+        step_size=0.3, means=["location_address_city"],
     )
     metrics = model.regression_metrics(fitted.transform(rows), "price", "prediction", ["is_test"])
-    best = model.feature_importances(fitted, 20)
-    return metrics.withColumn("top_feature", F.lit(best[0][0])).withColumn("features", F.lit(len(best)))
+    spread = rows.groupBy("is_test").agg(F.count("*").alias("rows"), F.stddev("price").alias("spread"))
+    best = model.feature_importances(fitted, None)
+    told = {"numeric_features": sorted(numeric), "categories": sorted(categorical)}
+    return metrics.join(spread, "is_test").select(
+        "is_test", "rows", (F.col("rmse") < F.col("spread") / 2).alias("fits"), F.lit(best[0][0]).alias("top_feature"),
+        F.lit(abs(sum(gain for _, gain in best) - 1) < 1e-9).alias("shares_are_whole"),
+        *[F.lit(",".join(names)).alias(c) for c, names in told.items()],
+    )

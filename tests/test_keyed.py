@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import math
 import random
 import uuid
 
@@ -187,3 +188,31 @@ def test_counters_fill_while_writing(spark):
     df, seen = quality.counted(spark.range(10), "audit", {"even": F.col("id") % 2 == 0})
     df.write.format("noop").mode("overwrite").save()
     assert seen.get == {"rows": 10, "even": 5}
+
+
+@pytest.mark.parametrize("max_values", [50, 5_000])
+def test_quantiles_take_three_scans(spark, max_values):
+    """Whole numbers above 2 ** 53 come back exactly, NaN does not count, and the input is read three times at most."""
+    read = spark.sparkContext.accumulator(0)
+    n, big = 20_000, 2**60
+
+    def passed(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    df = spark.range(0, n, 1, 4).mapInPandas(passed, "id bigint").select(
+        F.when(F.col("id") % 7 != 0, F.lit(big) + F.col("id") * 3).alias("large"),
+        F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).otherwise(F.sin("id")).alias("wave"),
+        F.when(F.col("id") % 2 == 0, 5).otherwise((F.col("id") % 11).cast("int")).alias("few"),
+    )
+    found = quality.exact_quantiles(df, ["large", "wave", "few"], [0.0, 0.3, 0.5, 1.0], max_values=max_values)
+    assert read.value <= 3 * n
+    large = sorted(big + i * 3 for i in range(n) if i % 7)
+    assert found["large"][0.0] == large[0] and found["large"][1.0] == large[-1]
+    middle = [large[(len(large) - 1) // 2], large[len(large) // 2]]
+    assert found["large"][0.5] in (sum(middle) // 2, sum(middle) / 2) and abs(found["large"][0.5] - middle[0]) <= 3
+    wave = [math.sin(i) for i in range(n) if i % 3]
+    assert found["wave"] == pytest.approx({p: exact(wave, p) for p in (0.0, 0.3, 0.5, 1.0)})
+    few = [5 if i % 2 == 0 else i % 11 for i in range(n)]
+    assert found["few"] == pytest.approx({p: exact(few, p) for p in (0.0, 0.3, 0.5, 1.0)})

@@ -235,3 +235,37 @@ def test_training_rows(spark):
     assert [r.floor_no for r in out] == [0.0, 2.0, 0.0]
     assert [r.energy_certificate for r in out] == [8, 13, 0]
     assert [r.heating for r in out] == ["unknown", "gas", "gas"] and "area_unit" not in out[0]
+
+
+def test_wide_categories_stand_by_their_means(spark):
+    """50,000 labels, null among them, and labels that the fit has not seen."""
+    n = 50_000
+    rows = spark.range(2 * n).select(
+        (F.col("id") % 50).cast("int").alias("area"), F.when(F.col("id") % n != 7, F.concat(F.lit("c"), F.col("id") % n)).alias("city"),
+        (F.col("id") % n % 97 + F.floor(F.col("id") / n)).cast("double").alias("price"),
+    )
+    known = {r.city: r["mean"] for r in model.category_means(rows, "city", "price").collect()}
+    assert len(known) == n and all(known[f"c{i}"] == i % 97 + 0.5 for i in range(0, n, 501)) and known[None] == 7.5
+    drawn = model.category_means(rows.filter("city = 'c5' or area = 3"), "city", "price", smoothing=2.0).filter("city = 'c5'").first()["mean"]
+    assert known["c5"] != drawn
+    fitted = model.fit_boosted_trees(rows, ["area"], ["city"], "price", max_iter=1, means=["city"])
+    best = dict(model.feature_importances(fitted))
+    assert set(best) == {"area", "city"} and best["city"] > 0.9
+    unseen = spark.createDataFrame([(1, "never", 1.0)], "area int, city string, price double")
+    assert fitted.transform(unseen).first()["city_mean"] == pytest.approx(rows.agg(F.avg("price")).first()[0])
+
+
+def test_wide_sparse_features_are_one_jvm_expression(spark):
+    n = 20_000
+    wide = spark.range(n).select(
+        F.col("id").alias("ad_id"),
+        F.to_json(F.array(F.struct(F.lit("k").alias("label"), F.array(F.concat(F.lit("v"), "id"), F.lit("all")).alias("values")))).alias("features_by_category"),
+    )
+    paired = wide.withColumn("p", features.label_value_pairs("features_by_category"))
+    vocabulary = features.feature_index(paired, "p")
+    number = {r.feature: r["index"] for r in vocabulary.filter("feature in ('feat_cat_k_all', 'feat_cat_k_v7')").collect()}
+    table = features.model_table(wide, sparse=True, vocabulary=vocabulary)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan and len(plan) < 20_000
+    row = table.filter("ad_id = 7").first()
+    assert row.feature_vector.size == n + 1 and sorted(row.feature_vector.indices.tolist()) == sorted(number.values())
