@@ -96,6 +96,7 @@ def _rounded(schema: T.StructType):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_p, held_size, group = None, 0.0, 0.0, None
+        last, met = None, 0  # source, leaf and hash of the row before, and how many rows before had them in a row
 
         def release(up: int | None) -> pa.RecordBatch:
             one = np.zeros(1, np.int64)
@@ -104,8 +105,16 @@ def _rounded(schema: T.StructType):
         for batch in batches:
             source, leaf, key, size = (batch.column(at[c]).to_numpy(zero_copy_only=False) for c in ("__source", "__leaf", "__hash", "size"))
             chance = batch.column(at["__chance"]).to_numpy(zero_copy_only=False).astype(float).tolist()
+            # Rows of one hash are neighbours; each draws by its number among them, wherever a batch ends.
+            same = np.zeros(len(key), bool)
+            same[1:] = (key[1:] == key[:-1]) & (leaf[1:] == leaf[:-1]) & (source[1:] == source[:-1])
+            same[:1] = [last == (source[0], leaf[0], key[0])] if len(key) else []
+            starts = np.maximum.accumulate(np.where(same, -1, np.arange(len(key))))
+            number = np.arange(len(key)) - np.maximum(starts, 0) + np.where(starts < 0, met, 0)
+            if len(key):
+                last, met = (source[-1], leaf[-1], key[-1]), int(number[-1]) + 1
             with np.errstate(over="ignore"):
-                draw = mixed(key.astype(np.uint64) + np.arange(len(key), dtype=np.uint64))
+                draw = mixed(mixed(key.astype(np.uint64)) + number.astype(np.uint64))
             draw = ((draw >> np.uint64(11)).astype(float) / 2.0**53).tolist()
             up = np.zeros(len(key), np.int64)
             here = -1  # index of the open row, if it lies in this batch

@@ -350,6 +350,24 @@ def test_mixing_meets_targets_and_reruns_agree(spark, docs, nothing, monkeypatch
     assert mixing.mix(nothing, size, ["doc_id"]).count() == 0
 
 
+def test_mixing_does_not_depend_on_the_layout(spark):
+    """Other numbers of partitions, batches of other sizes, with and without coalescing: the same rows are taken."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "source", F.length("text").alias("n"))
+    rows = rows.unionByName(rows.filter("doc_id % 3 = 0")).unionByName(rows.limit(5)).unionByName(rows.withColumn("source", F.lit("other")))
+    names = ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.coalescePartitions.enabled")
+    before, seen = [spark.conf.get(n) for n in names], set()
+    try:
+        for setting in (("4", "1000", "true"), ("13", "100", "false"), ("4", "7", "false"), ("29", "1000", "true")):
+            for n, value in zip(names, setting):
+                spark.conf.set(n, value)
+            got = mixing.mix(rows, F.col("n"), ["doc_id"]).select("doc_id", "source", "copies").collect()
+            seen.add(tuple(sorted(map(tuple, got), key=str)))
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
+    assert len(seen) == 1
+
+
 def test_mixing_is_fair(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), (F.col("id") % 50 + 1).alias("words"))
     other = spark.range(4000).select((F.col("id") + 9000).alias("doc_id"), F.lit("t").alias("source"), F.lit(200).alias("words"))
