@@ -2,15 +2,18 @@
 
 A document's set are its distinct word shingles.  The parity sketch of a set is
 an array of 64-bit words: a shingle belongs to one word by its hash and flips
-one bit there.  A shingle that only one of two sets has changes at most one
-word, so sets that differ in at most D shingles agree in all but D words.  With
+bits there.  A shingle that only one of two sets has changes at most one word,
+so sets that differ in at most D shingles agree in all but D words.  With
 more words than that, taken in an order that depends on their content only, the
 first D + 1 of both sides have one in common (pigeonhole and prefix); fuller
 words go first, because they are shared by chance least.  D follows from the
 sizes: bands of sizes have one number of words each, and sets near a band's
 lower end join the band below as well.
 
-Sets that share a word meet in a bucket.  First each member of a bucket is paired
+Sets that share a word meet in a bucket.  In the words that make them meet a
+shingle flips the bits of a hash, so that unlike sets do not meet by chance; in
+the sketches that are compared afterwards it flips one bit, so that their
+Hamming distance is a lower bound of the difference.  First each member of a bucket is paired
 with the smallest one.  Pairs whose whole sketches are nearer than the sizes
 allow are verified on their texts, and links make components.  In buckets that
 still hold several components, the pairs across components are compared by
@@ -118,14 +121,18 @@ class Bands:
         return max(LEAST_WORDS, -(-SKETCH_BITS * (self.low[band + 1] - 1) // 64))
 
 
-def sketch(shingles: np.ndarray, band: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, parity words and set sizes of the words that are not empty."""
+def sketch(shingles: np.ndarray, band: int, words: int, all_bits: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, parity words and set sizes of the words that are not empty.
+
+    A shingle flips one bit of its word, or with ``all_bits`` those of a hash:
+    words are then equal by chance next to never, but say nothing of distance.
+    """
     own = mix(shingles ^ mix(np.array([band * 2 + 1], np.uint64)))
     place = ((own >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)
     order = np.argsort(place, kind="stable")
     place = place[order]
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    bits = np.uint64(1) << (own[order] & np.uint64(63))
+    bits = mix(own[order]) if all_bits else np.uint64(1) << (own[order] & np.uint64(63))
     return place[first], np.bitwise_xor.reduceat(bits, first), np.diff(np.r_[first, len(place)])
 
 
@@ -135,7 +142,7 @@ def bucket_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     for band in bands.joins(len(shingles)):
         needed = bands.differing(band) + 1
         words = needed if needed == 1 else int(np.ceil(needed * SLACK))
-        place, parity, count = sketch(shingles, band, words)
+        place, parity, count = sketch(shingles, band, words, all_bits=True)
         seed = mix(np.array([band * 2], np.uint64))
         with np.errstate(over="ignore"):
             key = mix(parity ^ mix(place * _FACTORS[1] + count.astype(np.uint64) * _FACTORS[2] + seed))
@@ -187,48 +194,55 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _digests(sets: list[np.ndarray]) -> np.ndarray:
+    """128 bits of each set, as two columns."""
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), np.int64).reshape(-1, 2)
+
+
 def bucket_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row with n_shingles for each row of (doc_id, text), and one for each bucket key of its set.
 
-    The former hold a 128-bit digest of the set, and the record of its sketches
-    unless the same set came before in the task's chunk of texts.
+    Sets are known by the digests d1 and d2, those of a key by d1.  Rows of
+    texts hold a hash of the text and the record of their sketches, unless the
+    same set came before in the task's chunk of texts.
     """
-    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.xxhash64("text").cast("string").alias("hash"), "text")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, bands = Shingler(words), Bands(percent)
         for batch in batches:
             texts = encoded(t if isinstance(t, str) else None for t in batch["text"])
             ids = [int(i) if isinstance(i, str) else None for i in batch["id"]]
+            hashes = [int(h) for h in batch["hash"]]
             for a, b in chunks([len(t) for t in texts], CHUNK):
-                yield _chunk(ids[a:b], [shingler.shingles(t) for t in texts[a:b]], bands)
+                yield _chunk(ids[a:b], hashes[a:b], [shingler.shingles(t) for t in texts[a:b]], bands)
 
-    return rows.mapInPandas(work, "key long, id long, n_shingles long, d1 long, d2 long, record binary")
+    return rows.mapInPandas(work, "key long, id long, hash long, n_shingles long, d1 long, d2 long, record binary")
 
 
-def _chunk(ids: list[int | None], sets: list[np.ndarray], bands: Bands) -> pd.DataFrame:
+def _chunk(ids: list[int | None], hashes: list[int], sets: list[np.ndarray], bands: Bands) -> pd.DataFrame:
     keys, owners, records, seen = [], [], [], set()
-    digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-    for i, s, digest in zip(ids, sets, digests):
+    two = _digests(sets)
+    for i, s, digest in zip(ids, sets, map(tuple, two.tolist())):
         new = i is not None and len(s) > 0 and digest not in seen
         records.append(record(s, bands) if new else None)
         if new:
             seen.add(digest)
             keys.append(bucket_keys(s, bands))
-            owners.append(np.full(len(keys[-1]), i, np.int64))
-    two = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            owners.append(np.full(len(keys[-1]), digest[0], np.int64))
     spread = mix(two[:, 0].view(np.uint64) + np.arange(len(ids), dtype=np.uint64)).view(np.int64)
     own = pd.DataFrame({
-        "key": spread, "id": pd.array(ids, dtype="Int64"), "n_shingles": pd.array([len(s) for s in sets], dtype="Int64"),
-        "d1": pd.array(two[:, 0], dtype="Int64"), "d2": pd.array(two[:, 1], dtype="Int64"), "record": records,
+        "key": spread, "id": pd.array(ids, dtype="Int64"), "hash": pd.array(hashes, dtype="Int64"),
+        "n_shingles": pd.array([len(s) for s in sets], dtype="Int64"), "d1": two[:, 0], "d2": pd.array(two[:, 1], dtype="Int64"),
+        "record": records,
     })
     if not keys:
         return own
-    key = pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "id": pd.array(np.concatenate(owners), dtype="Int64")})
-    for name in ("n_shingles", "d1", "d2"):
+    key = pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "d1": np.concatenate(owners)})
+    for name in ("id", "hash", "n_shingles", "d2"):
         key[name] = pd.array([pd.NA], dtype="Int64").repeat(len(key))
     key["record"] = None
-    return pd.concat([own, key], ignore_index=True)
+    return pd.concat([own, key[own.columns]], ignore_index=True)
 
 
 def _near(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
@@ -261,24 +275,28 @@ def _marked(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return found.select(*docs.columns)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The (a, b) pairs whose whole texts are linked."""
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The (a, b) pairs of classes whose whole texts are linked."""
     spark = docs.sparkSession
     pairs = stored(spark, pairs, "ngram-pairs")
-    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = _marked(docs, needed).join(needed, "doc_id", "left_semi")
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text")), "a").join(
-        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text")), "b"
-    )
+    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    needed = needed.join(classes.select("id", "doc_id", "d1", "d2"), "id")
+    texts = _marked(docs, needed.select("doc_id").distinct()).join(needed, "doc_id")
+    for side in ("a", "b"):
+        own = [F.col(c).alias(f"{side}_{c}") for c in ("text", "d1", "d2")]
+        pairs = pairs.join(texts.select(F.col("id").alias(side), *own), side)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
-        sets = lambda texts: (shingler.shingles(t) for t in encoded(texts))
         for batch in batches:
-            keep = [linked(x, y, percent) for x, y in zip(sets(batch["a_text"]), sets(batch["b_text"]))]
-            yield batch.loc[np.array(keep, bool), ["a", "b"]]
+            keep = np.ones(len(batch), bool)
+            sets = {side: [shingler.shingles(t) for t in encoded(batch[f"{side}_text"])] for side in ("a", "b")}
+            for side, own in sets.items():  # an id may have texts of other sets
+                keep &= (_digests(own) == batch[[f"{side}_d1", f"{side}_d2"]].to_numpy()).all(axis=1)
+            keep &= [k and linked(x, y, percent) for k, x, y in zip(keep, sets["a"], sets["b"])]
+            yield batch.loc[keep, ["a", "b"]]
 
-    return stored(spark, both.mapInPandas(work, "a long, b long").distinct(), "ngram-links")
+    return stored(spark, pairs.mapInPandas(work, "a long, b long").distinct(), "ngram-links")
 
 
 def _across(members: DataFrame, records: DataFrame, percent: int) -> DataFrame:
@@ -337,14 +355,13 @@ def _across(members: DataFrame, records: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of (doc_id, text); other columns are not read.
+def text_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ids_link: bool = True) -> DataFrame:
+    """(id, hash, n_shingles, d1, d2, group, least_id, least_hash) for each row of (doc_id, text).
 
-    The component is the smallest doc_id reachable by links of at least
-    ``percent`` similarity, itself included.  Null, empty and blank texts have
-    no shingle and link with nothing.  Rows without an id link with nothing and
-    have a null component.  Rows that share an id are one document, linked if
-    one of its texts is; repeated rows come back repeated.
+    ``group`` is a number for all rows that are reached by links, ``least_id``
+    its least id and ``least_hash`` the least text hash under that; they are
+    null for rows that can link with nothing.  With ``ids_link`` the texts of
+    one id are linked as well, however unlike they are.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -354,61 +371,91 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         bucket_rows(docs, words, percent)
         .withColumn("is_text", F.col("n_shingles").isNotNull())
         .withColumns({
-            "least": F.min("id").over(in_bucket),
-            "members": F.count("id").over(in_bucket),
-            "mark": F.bit_xor(F.xxhash64("id")).over(in_bucket),
+            "least": F.min("d1").over(in_bucket),
+            "most": F.max("d1").over(in_bucket),
+            "members": F.count("d1").over(in_bucket),
+            "mark": F.bit_xor(F.xxhash64("d1")).over(in_bucket),
         })
-        .filter(F.col("n_shingles").isNotNull() | (F.col("members") > 1))
-        .select("id", "n_shingles", "d1", "d2", "record", "least", "members", F.xxhash64("mark", "least", "members").alias("bucket"))
+        .filter(F.col("is_text") | (F.col("most") > F.col("least")))  # others meet nobody but copies
+        .select("id", "hash", "n_shingles", "d1", "d2", "record", "least", "members", F.xxhash64("mark", "least", "members").alias("bucket"))
     )
     rows = stored(spark, rows, "ngram-buckets")
-    texts = rows.filter("n_shingles is not null")
-    met = rows.filter("n_shingles is null")
-    # Equal sets are a class; the smallest document that has a record stands for it.
+    texts = rows.filter("n_shingles is not null").select("id", "hash", "n_shingles", "d1", "d2", "record")
+    met = rows.filter("n_shingles is null").select("d1", "least", "members", "bucket")
+    # Equal sets are a class, with a number of its own; one document that has a record stands for it.
+    able = texts.filter("n_shingles > 0 and id is not null")
+    classes = able.groupBy("d1", "d2").agg(
+        F.min(F.struct("id", "hash")).alias("low"), F.min(F.when(F.col("record").isNotNull(), F.struct("id", "record"))).alias("own")
+    )
     classes = stored(
-        spark,
-        texts.filter("n_shingles > 0 and id is not null").groupBy("d1", "d2")
-        .agg(F.min("id").alias("low"), F.min(F.when(F.col("record").isNotNull(), F.struct("id", "record"))).alias("own"))
-        .select("d1", "d2", "low", "own.id", "own.record"),
+        spark, classes.select("d1", "d2", "low", F.col("own.id").alias("doc_id"), "own.record", F.monotonically_increasing_id().alias("id")),
         "ngram-classes",
     )
     records = classes.select("id", "record")
-    stands_for = (
-        texts.filter("record is not null").select(F.col("id").alias("member"), "d1", "d2")
-        .join(classes.select("d1", "d2", "id"), ["d1", "d2"]).filter("member <> id").select("member", "id")
-        .groupBy("member").agg(F.min("id").alias("id"))
-    )
 
     def classed(df: DataFrame, column: str) -> DataFrame:
-        own = stands_for.select(F.col("member").alias(column), F.col("id").alias("__own"))
-        return df.join(own, column, "left").withColumn(column, F.coalesce("__own", column)).drop("__own")
+        return df.join(classes.select(F.col("d1").alias(column), F.col("id").alias("__own")), column).withColumn(column, F.col("__own")).drop("__own")
 
-    # An id with several texts joins their classes.
-    several = (
-        texts.filter("n_shingles > 0 and id is not null").groupBy(F.col("id").alias("a"))
-        .agg(F.min(F.struct("d1", "d2")).alias("x"), F.max(F.struct("d1", "d2")).alias("y")).filter("x <> y").select("a")
-    )
-    same_id = (
-        texts.select(F.col("id").alias("a"), "d1", "d2").join(several, "a", "left_semi").distinct()
-        .join(classes.select("d1", "d2", F.col("id").alias("b")), ["d1", "d2"]).select("a", "b")
-    )
-    pairs = met.filter("id <> least").groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.lit(1).alias("one"))
+    pairs = met.filter("d1 <> least").groupBy(F.col("least").alias("a"), F.col("d1").alias("b")).agg(F.lit(1).alias("one"))
     pairs = classed(classed(pairs.select("a", "b"), "a"), "b").filter("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = _verified(_near(pairs, records, percent), docs, words, percent)
+    first = _verified(_near(pairs, records, percent), classes, docs, words, percent)
     parts = connected_components(first)
     # Buckets of three and more can hold pairs that no star has shown.
-    members = met.filter("members > 2").groupBy("bucket", "id").agg(F.lit(1).alias("one")).select("bucket", "id")
+    members = met.filter("members > 2").groupBy("bucket", F.col("d1").alias("id")).agg(F.lit(1).alias("one")).select("bucket", "id")
     members = classed(members, "id").distinct().join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     members = members.join(mixed.select("bucket"), "bucket", "left_semi")
-    second = _verified(_across(members, records, percent).join(first, ["a", "b"], "left_anti"), docs, words, percent)
-    parts = stored(spark, connected_components(first.unionByName(second).unionByName(same_id)), "ngram-components")
-    grouped = classes.select("d1", "d2", "low", "id").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    lowest = grouped.groupBy("component").agg(F.min("low").alias("component_id"))
-    known = grouped.select("d1", "d2", "component").join(lowest, "component").select("d1", "d2", "component_id")
-    return (
-        texts.select(F.col("id").alias("doc_id"), "n_shingles", "d1", "d2")
-        .join(known, ["d1", "d2"], "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    second = _verified(_across(members, records, percent).join(first, ["a", "b"], "left_anti"), classes, docs, words, percent)
+    links = first.unionByName(second)
+    if ids_link:
+        several = able.groupBy(F.col("id").alias("doc")).agg(F.min(F.struct("d1", "d2")).alias("x"), F.max(F.struct("d1", "d2")).alias("y"))
+        several = several.filter("x <> y").select("doc")
+        under = able.select(F.col("id").alias("doc"), "d1", "d2").join(several, "doc", "left_semi").distinct()
+        under = under.join(classes.select("d1", "d2", "id"), ["d1", "d2"]).select("doc", "id")
+        star = under.join(under.groupBy("doc").agg(F.min("id").alias("a")), "doc")
+        links = links.unionByName(star.select("a", F.col("id").alias("b")))
+    parts = stored(spark, connected_components(links), "ngram-components")
+    grouped = classes.select("d1", "d2", "low", "id").join(parts, "id", "left").withColumn("group", F.coalesce("component", "id"))
+    lowest = grouped.groupBy("group").agg(F.min("low").alias("least"))
+    known = grouped.select("d1", "d2", "group").join(lowest, "group")
+    return texts.drop("record").join(known, ["d1", "d2"], "left").select(
+        "id", "hash", "n_shingles", "d1", "d2",
+        *[F.when(F.col("id").isNotNull(), c).alias(n) for n, c in (
+            ("group", F.col("group")), ("least_id", F.col("least.id")), ("least_hash", F.col("least.hash")))],
     )
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of (doc_id, text); other columns are not read.
+
+    The component is the smallest doc_id reachable by links of at least
+    ``percent`` similarity, itself included.  Null, empty and blank texts have
+    no shingle and link with nothing.  Rows without an id link with nothing and
+    have a null component.  Rows that share an id are one document, linked if
+    one of its texts is; repeated rows come back repeated.
+    """
+    groups = text_groups(docs, words, percent)
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("least_id", "id").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of (doc_id, text, ...) without near copies, with all columns: of linked rows the least id stays.
+
+    Of several texts under that id the one with the least hash stays, and of
+    rows that repeat id and text one.  Unlike texts that share an id all stay,
+    and so do rows without an id and rows whose text has no shingle.  Columns
+    may have any names beside these two.
+    """
+    key = {"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64("text")}
+    groups = stored(docs.sparkSession, text_groups(docs, words, percent, ids_link=False).filter("group is not null"), "ngram-groups")
+    stays = (F.col("id") == F.col("least_id")) & (F.col("hash") == F.col("least_hash"))
+    gone = groups.filter(~stays).select(F.col("id").alias("__id"), F.col("hash").alias("__hash")).distinct()
+    repeated = groups.filter(stays).groupBy(F.col("id").alias("__id"), F.col("hash").alias("__hash")).agg(F.count("*").alias("n"))
+    repeated = repeated.filter("n > 1").select("__id", "__hash")
+    # Written once: their sizes are then known, and few of them need no exchange of the texts.
+    gone, repeated = (stored(docs.sparkSession, t, "ngram-rows") for t in (gone, repeated))
+    rows = docs.withColumns(key).join(gone, ["__id", "__hash"], "left_anti")
+    once = rows.join(repeated, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
+    rows = rows.join(repeated, ["__id", "__hash"], "left_anti").unionByName(once)
+    return rows.select(*[f"`{c}`" for c in docs.columns])

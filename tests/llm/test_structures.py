@@ -284,3 +284,28 @@ def test_stages_against_plain_python(spark):
 def test_run_gives_token_digests(spark):
     got = corpus_pipeline.run(spark, SF_DIR)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 50
+
+
+# ids with several texts
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_links_of_texts_that_share_an_id(spark, parts):
+    """(3, X) (5, X) | (5, Y) | (9, near Y): 9 is linked to 3 by way of 5, however the rows are dealt."""
+    x, y = " ".join(f"x{i}" for i in range(60)), " ".join(f"y{i}" for i in range(60))
+    rows = [(3, x), (5, x), (5, y), (9, y + " end"), (11, " ".join(f"z{i}" for i in range(60)))]
+    for order in (rows, rows[::-1], [rows[i] for i in (2, 0, 3, 1, 4)]):
+        df = spark.createDataFrame(order, "doc_id long, text string").coalesce(1).repartition(parts)
+        got = ngram_join.near_duplicates(df).collect()
+        assert {(r.doc_id, r.component_id) for r in got} == {(3, 3), (5, 3), (9, 3), (11, 11)}
+
+
+def test_unlike_texts_under_one_id_stay(spark):
+    x, y = " ".join(f"x{i}" for i in range(60)), " ".join(f"y{i}" for i in range(60))
+    rows = [(3, x, 1), (5, x + " end", 2), (5, y, 3), (9, y, 4), (9, y, 4), (3, y + " end", 5), (None, x, 6), (7, "", 7), (7, "", 7), (8, None, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long").withColumn("hash", F.lit("own"))
+    kept = ngram_join.one_of_each_group(df, 5, 80)
+    assert kept.columns == df.columns
+    assert sorted(r.n for r in kept.collect()) == [1, 5, 6, 7, 7, 8]
+    repeated = ngram_join.one_of_each_group(df.filter("doc_id = 9"), 5, 80)
+    assert [r.n for r in repeated.collect()] == [4] and ngram_join.one_of_each_group(df.limit(0), 5, 80).count() == 0
