@@ -8,7 +8,7 @@ written and read again, which cuts lineage.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestead.llm import line_dedup, mixing, ngram_join, quality_rules, sentencepiece_bpe
@@ -33,14 +33,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones, the one with the smallest id; rows without an id stay.
 
-    Rows that share an id are one document, of which the least text stays.
+    Texts are what is linked: unlike texts that share an id all stay.
     """
-    groups = ngram_join.near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    dropped = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id is not null").join(dropped, "doc_id", "left_anti")
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars"))
-    kept = kept.withColumn("__one", one).filter("__one = 1").select(*docs.columns)
-    return kept.unionByName(docs.filter("doc_id is null"))
+    return ngram_join.one_of_each_group(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
