@@ -55,6 +55,24 @@ def json_doc_files(spark: SparkSession, sf: str) -> DataFrame:
     return json_files.read_documents(spark, path, shape, whole_file=False)
 
 
+@query("""
+    SELECT o_orderpriority || '/' || o_orderstatus AS location_id, l_orderkey, l_linenumber, l_returnflag, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+""")
+def json_whole_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """All line items of a priority as one document of one file, read back item by item."""
+    path = scratch_path(spark, "whole-documents")
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    items = lines.select(
+        F.col("o_orderpriority").alias("district"), F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("place"),
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice",
+    )
+    docs = sinks.district_documents(items, "district", "place", items_per_document=10_000_000)
+    docs.select("district", "value").repartition("district").write.partitionBy("district").text(path)
+    item = "struct<l_orderkey:bigint,l_linenumber:int,l_returnflag:string,l_extendedprice:double>"
+    return json_files.read_documents(spark, path, f"map<string,array<{item}>>")
+
+
 @query("""
     SELECT o_orderpriority AS district, CAST(count(*) AS BIGINT) AS listings,
            CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders GROUP BY 1

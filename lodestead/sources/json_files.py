@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lodestead import schemas
 from lodestead.functions.json_text import is_json
+from lodestead.sources.json_stream import PIECE, JsonDocuments
 
 
 def read_documents(
@@ -15,22 +19,26 @@ def read_documents(
 ) -> DataFrame:
     """Documents ``{key: [item, ...]}`` to one row per item.
 
-    ``whole_file=True`` reads one document per file, the form of foreign
-    files; a file is then one task's work.  The writer of this package puts
-    one bounded document on each line, which ``whole_file=False`` reads in
-    parallel.  The item's own id and the key are both kept.  A document that
-    does not parse fails the job, or is left out with ``on_bad="skip"`` and
-    can be looked up with :func:`bad_documents`.
+    ``whole_file=True`` reads one document per file, the form of foreign files,
+    item by item (:mod:`json_stream`): a file is one task's work, but of any
+    size.  The writer of this package puts one bounded document on each line,
+    which ``whole_file=False`` reads in parallel.  The item's own id and the key
+    are both kept.  A document that does not parse fails the job, or is left
+    out with ``on_bad="skip"`` and can be looked up with :func:`bad_documents`.
     """
-    docs = spark.read.text(path, wholetext=whole_file)
+    if on_bad not in ("fail", "skip"):
+        raise ValueError(f"on_bad must be fail or skip, not {on_bad}")
+    if whole_file:
+        item = StructType.fromDDL(f"document {document}")["document"].dataType.valueType.elementType
+        items = read_document_items(spark, path, on_bad)
+        return items.select(F.col("key").alias(key), F.from_json("item", item).alias("item")).select(key, "item.*")
+    docs = spark.read.text(path)
     parsed = docs.select(F.when(is_json(F.col("value")), F.from_json("value", document)).alias("doc"))
     if on_bad == "fail":
         checked = F.when(F.col("doc").isNotNull(), F.col("doc")).otherwise(
             F.raise_error(F.lit("a document is not valid JSON")).cast(document)
         )
         parsed = parsed.select(checked.alias("doc"))
-    elif on_bad != "skip":
-        raise ValueError(f"on_bad must be fail or skip, not {on_bad}")
     return (
         parsed.select(F.explode("doc").alias(key, "items"))
         .select(key, F.explode("items").alias("item"))
@@ -38,6 +46,15 @@ def read_documents(
     )
 
 
+def read_document_items(spark: SparkSession, path: str, on_bad: str = "fail", piece: int = PIECE) -> DataFrame:
+    """(path, key, item) of each item of the documents below ``path``, the item as JSON text."""
+    spark.dataSource.register(JsonDocuments)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = [r["path"] for r in listing.filter("length > 0").select("path").collect()]  # names only
+    reader = spark.read.format("json_documents").option("files", json.dumps(sorted(files)))
+    return reader.option("on_bad", on_bad).option("piece", str(piece)).load()
+
+
 def bad_documents(
     spark: SparkSession, path: str, document: str = schemas.DISTRICT_DOCUMENT, whole_file: bool = True
 ) -> DataFrame:
