@@ -42,6 +42,32 @@ def last_parsed(characteristics: Column, key: str, parse, value: str = "value")
     )
 
 
+def with_characteristics(ads: DataFrame, name: str = "characteristics") -> DataFrame:
+    """Adds the key/value entries of ``ad`` with their values as text, and ``number``: the value where it is a JSON number.
+
+    A column of its own, so that the entries are made once for all that look into them.
+    """
+    own = ads.schema["ad"].dataType["characteristics"].dataType.elementType["value"].dataType.simpleString()
+
+    def entry(c: Column) -> Column:
+        value, number = c["value"], F.lit(None).cast("double")
+        if own == "variant":
+            text = F.try_variant_get(value, "$", "string")
+            number = F.when(F.schema_of_variant(value) != "STRING", text.try_cast("double"))
+            value = text
+        others = [c[k].alias(k) for k in ("key", "localizedValue", "currency", "suffix")]
+        return F.struct(*others, value.alias("value"), number.alias("number"))
+
+    return ads.withColumn(name, F.transform("ad.characteristics", entry))
+
+
+def last_whole_number(characteristics: Column, key: str) -> Column:
+    """Last value of this key that is a number, without its fraction, or a text of digits; 2.0 as a text is none."""
+    own = F.filter(characteristics, lambda c: c["key"] == key)
+    whole = F.transform(own, lambda c: F.coalesce(c["number"].cast("bigint"), casts.to_whole_text_number(c["value"])))
+    return F.try_element_at(F.filter(whole, lambda v: v.isNotNull()), F.lit(-1))
+
+
 def large_image_urls(images: Column) -> Column:
     urls = F.filter(F.transform(images, lambda i: i["large"]), lambda u: u != "")
     return F.coalesce(urls, F.array().cast(_NO_TEXTS))
@@ -75,11 +101,10 @@ def stage_details(
     property type from the ad category only.
     """
     # The text needs the Python parser: compute it once, then only refer to it.
-    ads = parse_props(df, props).withColumn(
+    ads = with_characteristics(parse_props(df, props)).withColumn(
         "description_text", html_to_line(F.coalesce(F.col("ad.description"), F.lit("")))
     )
-    ad, text = F.col("ad"), F.col("description_text")
-    chars = ad["characteristics"]
+    ad, text, chars = F.col("ad"), F.col("description_text"), F.col("characteristics")
     amenities = amenity_columns(text)
     typology = last_entry(chars, "rooms_num", "localizedValue")
     property_type = F.nullif(F.get(ad["category"]["name"], F.lit(0))["value"], F.lit(""))
@@ -107,7 +132,7 @@ def stage_details(
             last_parsed(chars, "rooms_num", bedrooms_from_typology, "localizedValue"), bedrooms_from_text(text)
         ),
         "energy_certificate": last_entry(chars, "energy_certificate", "localizedValue"),
-        "bathrooms": last_parsed(chars, "bathrooms_num", casts.to_whole_text_number),
+        "bathrooms": last_whole_number(chars, "bathrooms_num"),
         "address_city": ad["location"]["address"]["city"]["name"],
         "address_county": ad["location"]["address"]["county"]["name"],
         "address_district": ad["location"]["address"]["province"]["name"],
@@ -175,8 +200,9 @@ def flat_rows(df: DataFrame, line: str = "value") -> DataFrame:
     parsed = F.from_json(repair_surrogates(F.col(line), "?"), schemas.PAGE)
     # A filter would be moved below the projection and parse every line again.
     ads = df.select(F.explode(F.array_compact(F.array(parsed["props"]["pageProps"]["ad"]))).alias("ad"))
-    ad = F.col("ad")
-    chars, target, place = ad["characteristics"], ad["target"], ad["location"]
+    ads = with_characteristics(ads)
+    ad, chars = F.col("ad"), F.col("characteristics")
+    target, place = ad["target"], ad["location"]
     parish = F.get(
         F.filter(place["reverseGeocoding"]["locations"], lambda p: p["locationLevel"] == "parish"), F.lit(0)
     )

@@ -10,11 +10,13 @@ from lodestead.functions.json_text import variant_text
 from lodestead.functions.html import html_to_line, html_to_lines
 from lodestead.operators import keys
 from lodestead.operators.details import with_file_date
-from lodestead.operators.projections import concat_pages
+from lodestead.operators.projections import concat_pages, union_all
 from lodestead.operators.quality import run_counters
 from lodestead.queries.registry import query, spread_table, table
+from lodestead.schemas import BOUNDARY_ATTRIBUTES
 from lodestead.session import scratch_path
 from lodestead.sources import geography, json_files, pages as page_source, sinks, snapshots
+from lodestead.streaming.ingest import append_arrivals, arriving_files
 
 
 @query("""
@@ -40,6 +42,40 @@ def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("""
+    WITH d AS (SELECT CAST(o_orderdate AS VARCHAR)[1:4] AS year, o_orderkey % 10 AS part, o_custkey FROM orders)
+    SELECT 'newest' AS fact, CAST(part AS VARCHAR) AS name, count(*) AS rows, count(DISTINCT o_custkey) AS slugs
+    FROM d WHERE part >= 5 GROUP BY 2
+    UNION ALL SELECT 'streamed', 'all', count(*), count(DISTINCT o_custkey) FROM d
+""")
+def snapshot_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten dated snapshots among files of other names: the newest five, their slugs, and what a stream takes of the folder."""
+    folder, checkpoint = scratch_path(spark, "listing"), scratch_path(spark, "listing-checkpoint")
+    orders = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("c"), F.col("o_custkey")).alias("slug"))
+    for part in range(10):
+        rows = orders.filter(F.col("o_orderkey") % 10 == part).coalesce(1)
+        sinks.write_snapshot(rows, folder, "orders", f"2024-03-{part + 1:02d}")
+    sinks.write_snapshot(orders.limit(5), folder, "customers", "2024-04-01")
+    orders.limit(5).write.mode("append").json(f"{folder}/orders_2024-03-01.parquet")  # a part of another kind in a snapshot
+    listed = snapshots.list_snapshots(spark, folder, "orders_*.parquet/part-*.parquet")
+    by_date = listed.withColumn("modified", F.col("snapshot_date").cast("timestamp"))  # the writes lie too close together
+    newest = [r["path"] for r in snapshots.newest_snapshots(by_date, 5).collect()]
+    facts = [
+        snapshots.read_snapshot(spark, path).agg(
+            F.lit("newest").alias("fact"), F.lit(str(int(path[-10:-8]) - 1)).alias("name"), F.count("*").alias("rows"),
+            F.lit(snapshots.read_slugs(spark, path).count()).cast("bigint").alias("slugs"),
+        )
+        for path in newest
+    ]
+    out = scratch_path(spark, "listing-out")
+    arrivals = arriving_files(spark, f"{folder}/orders_*", orders.schema)
+    append_arrivals(arrivals, lambda df: df, out, checkpoint).awaitTermination()
+    facts.append(spark.read.schema(orders.schema).parquet(out).agg(
+        F.lit("streamed").alias("fact"), F.lit("all").alias("name"), F.count("*").alias("rows"), F.countDistinct("slug").alias("slugs"),
+    ))
+    return union_all(facts)
+
+
 @query("""
     SELECT o_orderstatus AS location_id, o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice
     FROM orders
@@ -133,8 +169,10 @@ def geojsonseq_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS freguesia, n_name AS municipio, r_name AS distrito_ilha,
-           s_acctbal AS area_ha, CAST(1 AS BIGINT) AS rings,
+    SELECT CAST(s_suppkey AS VARCHAR) AS id, lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS dtmnfr, s_name AS freguesia,
+           CASE WHEN s_acctbal > 0 THEN 'main' END AS tipo_area_administrativa, n_name AS municipio, r_name AS distrito_ilha,
+           n_name || ' 3' AS nuts3, n_name || ' 2' AS nuts2, r_name || ' 1' AS nuts1,
+           s_acctbal AS area_ha, s_acctbal / 2 AS perimetro_km, CAST(1 AS BIGINT) AS rings,
            CAST(n_nationkey AS DOUBLE) AS center_lon, CAST(n_regionkey AS DOUBLE) AS center_lat
     FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 """)
@@ -152,16 +190,19 @@ def boundary_load(spark: SparkSession, sf: str) -> DataFrame:
         F.to_json(F.struct(
             F.lit("Feature").alias("type"),
             F.struct(
-                F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("freguesia"),
+                F.col("s_suppkey").cast("string").alias("id"), F.lpad(F.col("s_suppkey").cast("string"), 6, "0").alias("dtmnfr"),
+                F.col("s_name").alias("freguesia"), F.when(F.col("s_acctbal") > 0, "main").alias("tipo_area_administrativa"),
                 F.col("n_name").alias("municipio"), F.col("r_name").alias("distrito_ilha"),
-                F.col("s_acctbal").alias("area_ha"),
+                F.concat("n_name", F.lit(" 3")).alias("nuts3"), F.concat("n_name", F.lit(" 2")).alias("nuts2"),
+                F.concat("r_name", F.lit(" 1")).alias("nuts1"), F.col("s_acctbal").alias("area_ha"),
+                (F.col("s_acctbal") / 2).alias("perimetro_km"),
             ).alias("properties"),
             F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"),
         )).alias("value")
     ).write.text(path)
     center = rings_centroid(F.col("rings"))
     return geography.read_boundaries(spark, path).select(
-        "id", "freguesia", "municipio", "distrito_ilha", "area_ha",
+        *[name for name, _ in BOUNDARY_ATTRIBUTES],
         F.size("rings").cast("bigint").alias("rings"),
         F.round(center["lon"], 6).alias("center_lon"), F.round(center["lat"], 6).alias("center_lat"),
     )

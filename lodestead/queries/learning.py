@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestead.operators import details, features, model
-from lodestead.queries.nested import part_lines
+from lodestead.queries.nested import FLAT_SQL, part_lines
 from lodestead.queries.registry import query, table
 
 
@@ -24,21 +24,22 @@ def regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.withColumns({c: F.round(c, 6) for c in ("rmse", "mae", "r2")})
 
 
-@query("""
-    SELECT p_partkey AS ad_id, CASE WHEN p_size > 25 THEN NULL ELSE round(p_retailprice, 2) * 2 END AS price,
-           CAST(1 AS INTEGER) AS image_count, CAST(3 AS INTEGER) AS features_count,
-           CAST(p_type = 'ECONOMY' AS INTEGER) AS feat_cat_extras_economy,
-           CAST(p_type = 'LARGE' AS INTEGER) AS feat_cat_extras_large,
-           CAST(p_type = 'MEDIUM' AS INTEGER) AS feat_cat_extras_medium,
-           CAST(p_type = 'PROMO' AS INTEGER) AS feat_cat_extras_promo,
-           CAST(p_type = 'SMALL' AS INTEGER) AS feat_cat_extras_small,
-           CAST(p_type = 'STANDARD' AS INTEGER) AS feat_cat_extras_standard
-    FROM part
+@query(f"""
+    WITH f AS ({FLAT_SQL})
+    SELECT ad_id, price, area, area_unit, rooms_num_clean, rooms_num_raw, bathrooms_num, build_year, construction_status, floor_no,
+           ad_category_name, ad_category_type, round(latitude, 6) AS latitude, longitude, location_address_city,
+           location_address_county, location_address_province, location_parish_full, energy_certificate, heating, windows_type,
+           advertiser_type, CAST(1 AS INTEGER) AS image_count, CAST(3 AS INTEGER) AS features_count,
+           CAST(ad_category_name = 'ECONOMY' AS INTEGER) AS feat_cat_extras_economy,
+           CAST(ad_category_name = 'LARGE' AS INTEGER) AS feat_cat_extras_large,
+           CAST(ad_category_name = 'MEDIUM' AS INTEGER) AS feat_cat_extras_medium,
+           CAST(ad_category_name = 'PROMO' AS INTEGER) AS feat_cat_extras_promo,
+           CAST(ad_category_name = 'SMALL' AS INTEGER) AS feat_cat_extras_small,
+           CAST(ad_category_name = 'STANDARD' AS INTEGER) AS feat_cat_extras_standard
+    FROM f
 """)
 def model_table(spark: SparkSession, sf: str) -> DataFrame:
-    built = features.model_table(details.flat_rows(part_lines(spark, sf)))
-    hot = [c for c in built.columns if c.startswith(features.PREFIX)]
-    return built.select("ad_id", "price", "image_count", "features_count", *hot)
+    return features.model_table(details.flat_rows(part_lines(spark, sf))).withColumn("latitude", F.round("latitude", 6))
 
 
 @query("""

@@ -34,29 +34,46 @@ def order_listings(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_mktsegment").alias("estate"),
         F.col("o_orderstatus").alias("transaction"),
         F.when(urgent, "2.5").otherwise(F.col("o_custkey").cast("string")).alias("developmentId"),
+        F.concat(F.lit("dev "), F.col("c_name")).alias("developmentTitle"),
+        F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("https://example.org/dev/"), F.col("o_custkey"))).alias("developmentUrl"),
         F.when(
             ~low,
             F.struct(
                 F.struct(
                     F.struct(F.col("n_name").alias("name")).alias("city"),
                     F.when(~urgent, F.struct(F.col("c_mktsegment").alias("name"))).alias("province"),
+                    F.concat(F.col("n_name"), F.lit(" street")).alias("street"),
                 ).alias("address"),
                 F.struct(F.concat(F.lit(" "), F.col("c_nationkey"), F.lit(" ")).alias("radius")).alias("mapDetails"),
             ),
         ).alias("location"),
+        (F.col("o_orderkey") % 2 == 0).alias("isExclusiveOffer"),
+        F.when(~urgent, F.col("o_orderkey") % 3 == 0).alias("isPrivateOwner"),
         (F.col("o_orderstatus") == "F").alias("isPromoted"),
+        F.concat(F.lit("site-"), F.col("o_orderstatus")).alias("source"),
         F.when(
             F.col("c_acctbal") >= 0,
             F.struct(
                 F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
-                (F.col("c_acctbal") > 5000).alias("brandingVisible"),
+                F.concat(F.lit("agency-"), F.col("c_custkey")).alias("slug"), F.col("c_mktsegment").alias("type"),
+                (F.col("c_acctbal") > 5000).alias("brandingVisible"), (F.col("c_acctbal") > 7000).alias("highlightedAds"),
+                F.when(F.col("c_acctbal") > 7000, F.concat(F.lit("img-"), F.col("c_custkey"))).alias("imageUrl"),
             ),
         ).alias("agency"),
+        F.when(low, "sat, sun").alias("openDays"),
         F.struct(
             F.lit("EUR").alias("currency"),
             F.when(low, "1d").when(urgent, "abc").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("value"),
         ).alias("totalPrice"),
-        F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).otherwise("bad").alias("dateCreated"),
+        F.struct(F.lit("USD").alias("currency"), F.concat(F.col("o_custkey"), F.lit(".5")).alias("value")).alias("pricePerSquareMeter"),
+        F.concat(F.lit(" "), F.col("o_custkey"), F.lit(".25")).alias("areaInSquareMeters"),
+        F.when(urgent, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("terrainAreaInSquareMeters"),
+        F.concat(F.lit("ROOMS_"), F.col("o_orderkey") % 5).alias("roomsNumber"),
+        (F.col("o_orderkey") % 5 == 0).alias("hidePrice"),
+        F.when(low, "GROUND").otherwise("FLOOR_1").alias("floorNumber"),
+        F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "yyyy-MM-dd 03:04:05")).otherwise("bad").alias("dateCreated"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'23:59:58").alias("dateCreatedFirst"),
+        F.concat(F.col("c_name"), F.lit(" – short")).alias("shortDescription"),
         F.concat(F.length("c_name"), F.lit(".0")).alias("totalPossibleImages"),
     )
     text = F.to_json(item)
@@ -65,29 +82,48 @@ def order_listings(spark: SparkSession, sf: str) -> DataFrame:
 
 _STAGED_SQL = """
     SELECT CAST(o_orderkey AS VARCHAR) AS id, c_name AS title, 'order-' || o_orderkey AS slug,
-           c_mktsegment AS estate,
-           CASE WHEN o_orderpriority <> '1-URGENT' THEN o_custkey END AS "developmentId",
+           c_mktsegment AS estate, o_orderstatus AS transaction,
+           CASE WHEN o_orderpriority <> '1-URGENT' THEN o_custkey END AS "developmentId", 'dev ' || c_name AS "developmentTitle",
+           CASE WHEN o_orderstatus = 'F' THEN 'https://example.org/dev/' || o_custkey END AS "developmentUrl",
            CASE WHEN o_orderpriority <> '5-LOW' THEN n_name END AS city,
            CASE WHEN o_orderpriority NOT IN ('5-LOW', '1-URGENT') THEN c_mktsegment END AS province,
+           CASE WHEN o_orderpriority <> '5-LOW' THEN n_name || ' street' END AS street,
            CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(c_nationkey AS DOUBLE) END AS "mapRadius",
-           o_orderstatus = 'F' AS "isPromoted",
-           CASE WHEN c_acctbal >= 0 THEN c_custkey END AS "agencyId",
+           o_orderkey % 2 = 0 AS "isExclusiveOffer",
+           CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderkey % 3 = 0 END AS "isPrivateOwner",
+           o_orderstatus = 'F' AS "isPromoted", 'site-' || o_orderstatus AS source,
+           CASE WHEN c_acctbal >= 0 THEN c_custkey END AS "agencyId", CASE WHEN c_acctbal >= 0 THEN c_name END AS "agencyName",
+           CASE WHEN c_acctbal >= 0 THEN 'agency-' || c_custkey END AS "agencySlug",
+           CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS "agencyType",
            CASE WHEN c_acctbal >= 0 THEN c_acctbal > 5000 END AS "agencyBrandingVisible",
+           CASE WHEN c_acctbal >= 0 THEN c_acctbal > 7000 END AS "agencyHighlightedAds",
+           CASE WHEN c_acctbal > 7000 THEN 'img-' || c_custkey END AS "agencyImageUrl",
+           CASE WHEN o_orderpriority = '5-LOW' THEN 'sat, sun' END AS "openDays",
            'EUR' AS "totalPriceCurrency",
            CASE WHEN o_orderpriority NOT IN ('5-LOW', '1-URGENT') THEN o_totalprice END AS "totalPriceValue",
-           CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS created,
-           CAST(length(c_name) AS BIGINT) AS "totalPossibleImages", '2024-05-02' AS loaded
+           'USD' AS "pricePerSquareMeterCurrency", o_custkey + 0.5::DOUBLE AS "pricePerSquareMeterValue",
+           o_custkey + 0.25::DOUBLE AS "areaInSquareMeters",
+           CASE WHEN o_orderpriority <> '1-URGENT' THEN CAST(o_custkey AS DOUBLE) END AS "terrainAreaInSquareMeters",
+           'ROOMS_' || (o_orderkey % 5) AS "roomsNumber", o_orderkey % 5 = 0 AS "hidePrice",
+           CASE WHEN o_orderpriority = '5-LOW' THEN 'GROUND' ELSE 'FLOOR_1' END AS "floorNumber",
+           CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') || ' 03:04:05' END AS "dateCreated",
+           strftime(o_orderdate, '%Y-%m-%d') || ' 23:59:58' AS "dateCreatedFirst",
+           c_name || ' – short' AS "shortDescription",
+           CAST(length(c_name) AS BIGINT) AS "totalPossibleImages", CAST(NULL AS VARCHAR) AS "additionalInfo",
+           '2024-05-02' AS "ingestionDate"
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 """
 
 
-def _shown(staged: DataFrame) -> DataFrame:
-    return staged.select(
-        "id", "title", "slug", "estate", "developmentId", "city", "province", "mapRadius", "isPromoted", "agencyId",
-        "agencyBrandingVisible", "totalPriceCurrency", "totalPriceValue",
-        F.date_format("dateCreated", "yyyy-MM-dd").alias("created"), "totalPossibleImages",
-        F.col("ingestionDate").cast("string").alias("loaded"),
-    )
+def _shown(rows: DataFrame) -> DataFrame:
+    """All columns; times, dates and open or nested values as text."""
+    texts = {
+        f.name: F.date_format(f.name, "yyyy-MM-dd HH:mm:ss") if f.dataType.typeName() == "timestamp"
+        else F.to_json(f.name) if f.dataType.typeName() == "struct" else F.col(f.name).cast("string")
+        for f in rows.schema.fields if f.dataType.typeName() in ("timestamp", "date", "variant", "struct")
+    }
+    lists = {f.name: F.array_join(f.name, "|") for f in rows.schema.fields if f.dataType.typeName() == "array"}
+    return rows.withColumns(texts | lists)
 
 
 @query(_STAGED_SQL)
@@ -112,6 +148,10 @@ def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(rows_not_in(one_per_batch_key(twice, keys, ["dateCreated", "id"]), held, keys, ["2024-05-02"]))
 
 
+#: Stands for 2.0 as a JSON number, which no Spark type is written as.
+_NUMBER = "(2.0)"
+
+
 def part_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as detail pages: JSON text of the page properties."""
     big = F.col("p_size") > 25
@@ -127,8 +167,12 @@ def part_pages(spark: SparkSession, sf: str) -> DataFrame:
         key_value("m", F.col("p_size"), nothing),
         key_value("rooms_num", F.col("p_size"), F.when(big, F.lit("Loft")).otherwise(F.concat(F.lit("t"), F.col("p_size")))),
         key_value("energy_certificate", nothing, F.lower("p_type")),
-        key_value("bathrooms_num", F.when(F.col("p_type") == "PROMO", "2.0").otherwise("3"), nothing),
+        key_value("bathrooms_num", F.when(F.col("p_type") == "PROMO", "2.0").when(F.col("p_type") == "LARGE", _NUMBER).otherwise("3"), nothing),
         key_value("floor_no", nothing, F.lit("Rés do chão")),
+        key_value("construction_status", nothing, F.when(big, "new")),
+        key_value("build_year", F.col("p_size") + 1950, nothing),
+        key_value("heating", nothing, F.lit("gas")),
+        key_value("windows_type", nothing, F.when(~big, "wood")),
     )
     description = F.concat(
         F.lit("<p>"), F.col("p_name"), F.lit(" com "),
@@ -139,44 +183,70 @@ def part_pages(spark: SparkSession, sf: str) -> DataFrame:
     ad = F.struct(
         F.col("p_partkey").alias("id"),
         F.concat(F.lit("part-"), F.col("p_partkey")).alias("slug"),
+        F.concat(F.lit("https://example.org/"), F.col("p_partkey")).alias("url"),
         F.col("p_name").alias("title"),
+        F.when(big, "agency").otherwise("private").alias("advertiserType"),
+        F.lit("DEVELOPER").alias("advertType"),
         F.lit("active").alias("status"),
         F.lit("2024-01-02T03:04:05").alias("createdAt"),
+        F.lit("2024-03-04 05:06:07").alias("pushedUpAt"),
         F.when(big, "not a date").otherwise("2024-02-03 04:05:06").alias("modifiedAt"),
         description.alias("description"),
         F.when(big, F.struct(F.array(F.struct(F.col("p_brand").alias("value"))).alias("name"))).alias("category"),
-        F.struct(F.col("p_type").alias("name"), F.lit("SELL").alias("type")).alias("adCategory"),
+        F.struct((F.col("p_size") % 3).alias("id"), F.col("p_type").alias("name"), F.lit("SELL").alias("type")).alias("adCategory"),
         chars.alias("characteristics"),
-        F.struct(F.col("p_brand").alias("City"), F.array(F.col("p_size").cast("string"), F.lit("9")).alias("Rooms_num")).alias("target"),
+        F.struct(
+            price.alias("Price"), F.col("p_size").alias("Area"), F.array(F.lit("1"), F.lit("x")).alias("Bathrooms_num"),
+            F.col("p_brand").alias("City"), F.col("p_partkey").alias("City_id"), F.array(F.lit("ready")).alias("Construction_status"),
+            F.lit("Portugal").alias("Country"), F.array(F.lower("p_type")).alias("Energy_certificate"),
+            F.when(big, F.array(F.lit("floor_1"))).alias("Floor_no"), F.array(F.lit("gas"), F.lit("wood")).alias("Heating"),
+            F.lit("sell").alias("OfferType"), F.lit("flat").alias("ProperType"), F.col("p_name").alias("Province"),
+            F.array(F.col("p_size").cast("string"), F.lit("9")).alias("Rooms_num"),
+            F.array().cast("array<string>").alias("Windows_type"), F.col("p_size").alias("Build_year"),
+        ).alias("target"),
         F.array(F.col("p_name"), F.lit(None).cast("string"), F.col("p_type")).alias("features"),
         F.array(F.struct(F.lit("Extras").alias("label"), F.array(F.col("p_type")).alias("values"))).alias("featuresByCategory"),
         F.array(F.struct(F.lit("").alias("large")), F.struct(F.concat(F.lit("u"), F.col("p_partkey")).alias("large"))).alias("images"),
         F.struct(
             F.struct((F.col("p_size") / 10).alias("latitude"), F.lit(-8.5).alias("longitude")).alias("coordinates"),
-            F.struct(F.struct(F.col("p_brand").alias("name")).alias("city")).alias("address"),
+            F.struct(
+                F.struct(F.col("p_brand").alias("name")).alias("city"), F.struct(F.lit("county").alias("name")).alias("county"),
+                F.struct(F.col("p_type").alias("name")).alias("province"), F.concat(F.lit("40-"), F.col("p_size")).alias("postalCode"),
+            ).alias("address"),
+            F.struct(F.col("p_size").alias("radius"), F.lit(12).alias("zoom")).alias("mapDetails"),
             F.struct(F.array(
                 F.struct(F.lit("district").alias("locationLevel"), F.lit("x").alias("fullName")),
                 F.struct(F.lit("parish").alias("locationLevel"), F.col("p_brand").alias("fullName")),
             ).alias("locations")).alias("reverseGeocoding"),
         ).alias("location"),
         F.struct(F.when(big, F.array(F.lit("111"), F.lit("222"))).alias("phones"), F.col("p_name").alias("name")).alias("contactDetails"),
-        F.struct(F.col("p_partkey").alias("id"), F.lit("agency").alias("type")).alias("owner"),
+        F.struct(
+            F.col("p_partkey").alias("id"), F.col("p_brand").alias("name"), F.lit("agency").alias("type"),
+            F.array(F.lit("333"), F.lit("444")).alias("phones"),
+        ).alias("owner"),
+        F.struct(F.col("p_name").alias("title"), F.lit("a flat").alias("description")).alias("seo"),
         F.array(F.struct(F.lit("Home").alias("label")), F.struct(F.col("p_type").alias("label"))).alias("breadcrumbs"),
         F.array(
             F.struct(F.lit("lift").alias("label"), F.array(F.lit("::y")).alias("values")),
             F.struct(F.lit("lift").alias("label"), F.array(F.when(big, "::n").otherwise("?")).alias("values")),
         ).alias("additionalInformation"),
-        F.struct(price.cast("string").alias("ad_price"), F.lit("rent").alias("business")).alias("adTrackingData"),
+        F.struct(
+            price.cast("string").alias("ad_price"), F.lit("rent").alias("business"), F.lower("p_brand").alias("city_name"),
+            F.lit("private").alias("poster_type"), F.lit("north").alias("region_name"), F.col("p_partkey").alias("seller_id"),
+        ).alias("adTrackingData"),
     )
     props = F.to_json(F.struct(F.struct(ad.alias("ad")).alias("pageProps")))
+    props = F.replace(props, F.lit(f'"{_NUMBER}"'), F.lit("2.0"))
     return spread_table(spark, sf, "part").select("p_partkey", props.alias("props"), F.lit("2024-05-02").alias("ingestionDate"))
 
 
 @query("""
-    SELECT p_partkey AS id, p_name AS title, 'part-' || p_partkey AS slug,
+    SELECT p_partkey AS id, p_name AS title, 'https://example.org/' || p_partkey AS url,
            p_name || ' com ' || CASE WHEN p_type = 'ECONOMY' THEN '2 quartos' ELSE 'sala' END || '   Garagem' ||
                CASE WHEN p_type = 'PROMO' THEN ' fechada' ELSE '' END || ' Cozinha equipada & varanda' AS description_text,
-           CASE WHEN p_size > 25 THEN NULL ELSE '2024-02-03' END AS modified,
+           'DEVELOPER' AS advert_type, CASE WHEN p_size > 25 THEN 'agency' ELSE 'private' END AS advertiser_type_detail,
+           'active' AS status, '2024-01-02 03:04:05' AS created_at,
+           CASE WHEN p_size > 25 THEN NULL ELSE '2024-02-03 04:05:06' END AS modified_at,
            CASE WHEN p_size > 25 THEN p_brand ELSE p_type END AS property_type,
            'SELL' AS transaction_type,
            CASE WHEN p_size > 25 THEN round(p_retailprice, 2) ELSE round(p_retailprice, 2) * 2 END AS price,
@@ -184,29 +254,22 @@ def part_pages(spark: SparkSession, sf: str) -> DataFrame:
            CASE WHEN p_size > 25 THEN 'Loft' ELSE 't' || p_size END AS typology,
            CASE WHEN p_size <= 25 THEN CAST(p_size AS BIGINT) WHEN p_type = 'ECONOMY' THEN CAST(2 AS BIGINT) END AS bedrooms,
            lower(p_type) AS energy_certificate,
-           CASE WHEN p_type = 'PROMO' THEN NULL ELSE CAST(3 AS BIGINT) END AS bathrooms,
-           p_brand AS address_city, round(p_size / 10.0, 6) AS latitude,
+           CASE p_type WHEN 'PROMO' THEN NULL WHEN 'LARGE' THEN CAST(2 AS BIGINT) ELSE CAST(3 AS BIGINT) END AS bathrooms,
+           p_brand AS address_city, 'county' AS address_county, p_type AS address_district,
+           round(p_size / 10.0, 6) AS latitude, -8.5::DOUBLE AS longitude, p_name AS contact_name,
            CASE WHEN p_size > 25 THEN '111' END AS contact_phone,
-           'u' || p_partkey AS image_urls, p_size <= 25 AS lift,
-           CASE WHEN p_type = 'PROMO' THEN 'Closed' ELSE 'Yes' END AS garage,
-           CAST(NULL AS BOOLEAN) AS fireplace, TRUE AS balcony, 'Equipped' AS kitchen,
-           p_name || '||' || p_type AS features, '{"label":"Extras","values":["' || p_type || '"]}' AS by_category,
-           CAST(0 AS BIGINT) AS without_category, '2024-05-02' AS loaded
+           'u' || p_partkey AS image_urls,
+           '{"lift":' || (p_size <= 25) || ',"garage":"' || CASE WHEN p_type = 'PROMO' THEN 'Closed' ELSE 'Yes' END
+               || '","balcony":true,"kitchen_equipment":"Equipped"}' AS other_features,
+           p_name || '||' || p_type AS features, '{"label":"Extras","values":["' || p_type || '"]}' AS "featuresByCategory",
+           '' AS "featuresWithoutCategory", '{"radius":' || p_size || ',"zoom":12}' AS map_details,
+           '{"locations":[{"fullName":"x","locationLevel":"district"},{"fullName":"' || p_brand || '","locationLevel":"parish"}]}'
+               AS reverse_geocoding,
+           'part-' || p_partkey AS slug, '2024-05-02' AS "ingestionDate"
     FROM part
 """)
 def detail_projection(spark: SparkSession, sf: str) -> DataFrame:
-    staged = details.stage_details(part_pages(spark, sf))
-    return staged.select(
-        "id", "title", "slug", "description_text", F.date_format("modified_at", "yyyy-MM-dd").alias("modified"),
-        "property_type", "transaction_type", "price", "price_currency", "price_period", "area_m2", "typology",
-        "bedrooms", "energy_certificate", "bathrooms", "address_city", F.round("latitude", 6).alias("latitude"),
-        "contact_phone", F.array_join("image_urls", "|").alias("image_urls"), F.col("other_features.lift").alias("lift"),
-        F.col("other_features.garage").alias("garage"), F.col("other_features.fireplace").alias("fireplace"),
-        F.col("other_features.balcony").alias("balcony"), F.col("other_features.kitchen_equipment").alias("kitchen"),
-        F.array_join("features", "|").alias("features"), F.array_join("featuresByCategory", "|").alias("by_category"),
-        F.size("featuresWithoutCategory").cast("bigint").alias("without_category"),
-        F.col("ingestionDate").cast("string").alias("loaded"),
-    )
+    return _shown(details.stage_details(part_pages(spark, sf))).withColumn("latitude", F.round("latitude", 6))
 
 
 def part_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -214,28 +277,47 @@ def part_lines(spark: SparkSession, sf: str) -> DataFrame:
     return part_pages(spark, sf).select(F.concat(F.lit('{"props":'), F.col("props"), F.lit("}")).alias("value"))
 
 
-@query("""
-    SELECT p_partkey AS ad_id, p_name AS title,
+FLAT_SQL = """
+    SELECT p_partkey AS ad_id, 'part-' || p_partkey AS slug, 'https://example.org/' || p_partkey AS url, p_name AS title,
+           CASE WHEN p_size > 25 THEN 'agency' ELSE 'private' END AS advertiser_type, 'DEVELOPER' AS advert_type,
+           'active' AS status, '2024-01-02 03:04:05' AS created_at,
+           CASE WHEN p_size > 25 THEN NULL ELSE '2024-02-03 04:05:06' END AS modified_at, '2024-03-04 05:06:07' AS pushed_up_at,
+           '<p>' || p_name || ' com ' || CASE WHEN p_type = 'ECONOMY' THEN '2 quartos' ELSE 'sala' END || '</p>' || chr(10)
+               || '<ul><li>Garagem' || CASE WHEN p_type = 'PROMO' THEN ' fechada' ELSE '' END
+               || '</li><li>Cozinha equipada &amp; varanda</li></ul>' AS description_raw,
            p_name || ' com ' || CASE WHEN p_type = 'ECONOMY' THEN '2 quartos' ELSE 'sala' END || chr(10) || 'Garagem' ||
                CASE WHEN p_type = 'PROMO' THEN ' fechada' ELSE '' END || chr(10) || 'Cozinha equipada & varanda'
                AS description_clean,
            CASE WHEN p_size > 25 THEN NULL ELSE round(p_retailprice, 2) * 2 END AS price,
            'EUR' AS price_currency, '/mês' AS price_suffix, CAST(p_size AS DOUBLE) AS area, 'm²' AS area_unit,
-           CASE WHEN p_size > 25 THEN 'Loft' ELSE 't' || p_size END AS rooms_num_clean,
-           'Rés do chão' AS floor_no, p_brand AS target_city, CAST(p_size AS DOUBLE) AS target_rooms_num,
+           CASE WHEN p_size > 25 THEN 'Loft' ELSE 't' || p_size END AS rooms_num_clean, CAST(p_size AS DOUBLE) AS rooms_num_raw,
+           CASE WHEN p_type IN ('PROMO', 'LARGE') THEN 2.0::DOUBLE ELSE 3.0::DOUBLE END AS bathrooms_num,
+           'Rés do chão' AS floor_no, lower(p_type) AS energy_certificate,
+           CASE WHEN p_size > 25 THEN 'new' END AS construction_status, p_size + 1950.0::DOUBLE AS build_year, 'gas' AS heating,
+           CASE WHEN p_size <= 25 THEN 'wood' END AS windows_type,
+           round(p_retailprice, 2) AS target_price, CAST(p_size AS DOUBLE) AS target_area, 1.0::DOUBLE AS target_bathrooms_num,
+           p_brand AS target_city, CAST(p_partkey AS VARCHAR) AS target_city_id, 'ready' AS target_construction_status,
+           'Portugal' AS target_country, lower(p_type) AS target_energy_certificate,
+           CASE WHEN p_size > 25 THEN 'floor_1' END AS target_floor_no, 'gas' AS target_heating, 'sell' AS target_offer_type,
+           'flat' AS target_proper_type, p_name AS target_province, CAST(p_size AS DOUBLE) AS target_rooms_num,
+           CAST(NULL AS VARCHAR) AS target_windows_type, CAST(p_size AS DOUBLE) AS target_build_year,
            p_name || '||' || p_type AS features,
-           '[{"label":"Extras","values":["' || p_type || '"]}]' AS features_by_category,
-           p_brand AS location_parish_full, p_partkey AS owner_id, p_type AS last_breadcrumb_label,
-           round(p_retailprice, 2) AS tracking_price
+           '[{"label":"Extras","values":["' || p_type || '"]}]' AS features_by_category, 'u' || p_partkey AS image_urls,
+           round(p_size / 10.0, 6) AS latitude, -8.5::DOUBLE AS longitude, p_brand AS location_address_city,
+           'county' AS location_address_county, p_type AS location_address_province, '40-' || p_size AS location_address_postal_code,
+           p_brand AS location_parish_full, p_partkey AS owner_id, p_brand AS owner_name, 'agency' AS owner_type,
+           '333|444' AS owner_phones, p_name AS seo_title, 'a flat' AS seo_description,
+           CAST(p_size % 3 AS VARCHAR) AS ad_category_id, p_type AS ad_category_name, 'SELL' AS ad_category_type,
+           '[{"label":"Home"},{"label":"' || p_type || '"}]' AS breadcrumbs_json, p_type AS last_breadcrumb_label,
+           round(p_retailprice, 2) AS tracking_price, 'rent' AS tracking_business, lower(p_brand) AS tracking_city_name,
+           'private' AS tracking_poster_type, 'north' AS tracking_region_name, CAST(p_partkey AS VARCHAR) AS tracking_seller_id
     FROM part
-""")
+"""
+
+
+@query(FLAT_SQL)
 def flat_training_row(spark: SparkSession, sf: str) -> DataFrame:
-    return details.flat_rows(part_lines(spark, sf)).select(
-        "ad_id", "title", "description_clean", "price", "price_currency", "price_suffix", "area", "area_unit",
-        "rooms_num_clean", "floor_no", "target_city", "target_rooms_num",
-        F.array_join("features", "|").alias("features"), "features_by_category", "location_parish_full", "owner_id",
-        "last_breadcrumb_label", "tracking_price",
-    )
+    return _shown(details.flat_rows(part_lines(spark, sf))).withColumn("latitude", F.round("latitude", 6))
 
 
 @query("""
@@ -389,17 +471,17 @@ def poi_whitelist(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    SELECT doc_id, lang || chr(65533) || ' ' || chr(128512) || chr(65533) || '\\ud83d' AS repaired,
-           lang || '? ' || chr(128512) || '?' || '\\ud83d' AS replaced
+    SELECT doc_id, text || chr(65533) || ' ' || chr(128512) || chr(65533) || '\\ud83d' AS repaired,
+           text || '? ' || chr(128512) || '?' || '\\ud83d' AS replaced
     FROM documents
 """)
 def surrogate_repair(spark: SparkSession, sf: str) -> DataFrame:
-    """A lone high half, a valid pair, a lone low half and an escaped backslash per document."""
-    raw = F.concat(F.lit('{"t":"'), F.col("lang"), F.lit(r'\ud83d 😀\ude00\\ud83d"}'))
+    """A lone high half, a valid pair, a lone low half and an escaped backslash behind each document's text."""
+    written = F.to_json(F.struct("text"))  # {"text":"..."}, the text from the tenth character on
+    docs = table(spark, sf, "documents").select("doc_id", F.when(F.col("text").isNotNull(), written).alias("w"))
+    raw = F.concat(F.lit('{"t":"'), F.expr("substring(w, 10, length(w) - 11)"), F.lit(r'\ud83d 😀\ude00\\ud83d"}'))
 
     def text(c: Column) -> Column:
         return F.from_json(c, "t string")["t"]
 
-    return table(spark, sf, "documents").select(
-        "doc_id", text(repair_surrogates(raw)).alias("repaired"), text(repair_surrogates(raw, "?")).alias("replaced")
-    )
+    return docs.select("doc_id", text(repair_surrogates(raw)).alias("repaired"), text(repair_surrogates(raw, "?")).alias("replaced"))

@@ -86,12 +86,13 @@ def staging_schema() -> StructType:
 
 
 # The part of a detail page that is read.  Ids are read as text, since some are written as 12.0.
+# Values of characteristics stay open, since a number says other things than the same number as text.
 _AD_DDL = """
   id:string, slug:string, url:string, title:string, advertiserType:string, advertType:string,
   status:string, createdAt:string, modifiedAt:string, pushedUpAt:string, description:string,
   category:struct<name:array<struct<value:string>>>,
   adCategory:struct<id:string,name:string,type:string>,
-  characteristics:array<struct<key:string,value:string,localizedValue:string,currency:string,suffix:string>>,
+  characteristics:array<struct<key:string,value:variant,localizedValue:string,currency:string,suffix:string>>,
   target:struct<Price:string,Area:string,Bathrooms_num:array<string>,City:string,City_id:string,
     Construction_status:array<string>,Country:string,Energy_certificate:array<string>,
     Floor_no:array<string>,Heating:array<string>,OfferType:string,ProperType:string,Province:string,
