@@ -13,14 +13,16 @@ lower end join the band below as well.
 Sets that share a word meet in a bucket.  In the words that make them meet a
 shingle flips the bits of a hash, so that unlike sets do not meet by chance; in
 the sketches that are compared afterwards it flips one bit, so that their
-Hamming distance is a lower bound of the difference.  First each member of a bucket is paired
-with the smallest one.  Pairs whose whole sketches are nearer than the sizes
-allow are verified on their texts, and links make components.  In buckets that
-still hold several components, the pairs across components are compared by
-their sketches, block by block inside tasks, and the few that remain are
-verified as well.  After that every pair that shares a bucket is verified,
-connected or too far apart.  Equal sets are one class from the start, and a map
-task sends one row for each word of its distinct texts.
+Hamming distance is a lower bound of the difference.  First each member of a
+bucket is paired with the one of the least id.  Pairs whose whole sketches are
+nearer than the sizes allow are verified on their texts, and links make
+components.  In buckets that still hold several components, the pairs across
+components are compared by their sketches, block by block inside tasks.  Of two
+components the nearest few pairs are verified first, and more only where these
+have not linked them, so that a large group of near copies is never paired as a
+whole.  In the end every pair that shares a bucket is verified, connected or
+too far apart.  Equal sets are one class from the start, and a map task sends
+one row for each word of its distinct texts.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from lodestead.llm.text import chunks, encoded, mix, small_batches, stored
 WORDS, PERCENT = 4, 85
 BAND = 1.2
 SLACK = 1.25
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 CACHED = 200_000
 #: Members of a bucket that one task compares with each other; larger buckets are cut into pairs of blocks.
 BLOCK = 1024
@@ -202,8 +204,8 @@ def _digests(sets: list[np.ndarray]) -> np.ndarray:
 def bucket_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row with n_shingles for each row of (doc_id, text), and one for each bucket key of its set.
 
-    Sets are known by the digests d1 and d2, those of a key by d1.  Rows of
-    texts hold a hash of the text and the record of their sketches, unless the
+    Sets are known by the digests d1 and d2, those of a key by d1 and an id that
+    has them.  Rows of texts hold a hash of the text and the record of their sketches, unless the
     same set came before in the task's chunk of texts.
     """
     rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.xxhash64("text").cast("string").alias("hash"), "text")
@@ -229,7 +231,7 @@ def _chunk(ids: list[int | None], hashes: list[int], sets: list[np.ndarray], ban
         if new:
             seen.add(digest)
             keys.append(bucket_keys(s, bands))
-            owners.append(np.full(len(keys[-1]), digest[0], np.int64))
+            owners.append((i, digest[0], len(keys[-1])))
     spread = mix(two[:, 0].view(np.uint64) + np.arange(len(ids), dtype=np.uint64)).view(np.int64)
     own = pd.DataFrame({
         "key": spread, "id": pd.array(ids, dtype="Int64"), "hash": pd.array(hashes, dtype="Int64"),
@@ -238,8 +240,11 @@ def _chunk(ids: list[int | None], hashes: list[int], sets: list[np.ndarray], ban
     })
     if not keys:
         return own
-    key = pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "d1": np.concatenate(owners)})
-    for name in ("id", "hash", "n_shingles", "d2"):
+    id_, d1, times = (np.array(x, np.int64) for x in zip(*owners))
+    key = pd.DataFrame({
+        "key": np.concatenate(keys).view(np.int64), "id": pd.array(np.repeat(id_, times), dtype="Int64"), "d1": np.repeat(d1, times),
+    })
+    for name in ("hash", "n_shingles", "d2"):
         key[name] = pd.array([pd.NA], dtype="Int64").repeat(len(key))
     key["record"] = None
     return pd.concat([own, key[own.columns]], ignore_index=True)
@@ -289,21 +294,28 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(words)
         for batch in batches:
-            keep = np.ones(len(batch), bool)
-            sets = {side: [shingler.shingles(t) for t in encoded(batch[f"{side}_text"])] for side in ("a", "b")}
-            for side, own in sets.items():  # an id may have texts of other sets
-                keep &= (_digests(own) == batch[[f"{side}_d1", f"{side}_d2"]].to_numpy()).all(axis=1)
-            keep &= [k and linked(x, y, percent) for k, x, y in zip(keep, sets["a"], sets["b"])]
-            yield batch.loc[keep, ["a", "b"]]
+            keep = []
+            wanted = batch[["a_d1", "a_d2", "b_d1", "b_d2"]].to_numpy()
+            for x, y, digests in zip(batch["a_text"], batch["b_text"], wanted):
+                sets = [shingler.shingles(t) for t in encoded([x, y])]
+                # An id may have texts of other sets.
+                keep.append((_digests(sets).ravel() == digests).all() and linked(*sets, percent))
+            yield batch.loc[np.array(keep, bool), ["a", "b"]]
 
     return stored(spark, pairs.mapInPandas(work, "a long, b long").distinct(), "ngram-links")
 
 
-def _across(members: DataFrame, records: DataFrame, percent: int) -> DataFrame:
+#: Stands for pairs that a round has left for the next one.
+_MORE = -1
+
+
+def _across(members: DataFrame, records: DataFrame, percent: int, most: int) -> DataFrame:
     """(a, b) pairs of different components in one bucket that sketches do not rule out.
 
     ``members`` has rows (bucket, id, component).  A bucket of many members is
-    cut into blocks, and each pair of blocks is a group of its own.
+    cut into blocks, and each pair of blocks is a group of its own.  Of a pair
+    of components a group gives the ``most`` nearest pairs; where there are
+    others, a pair (-1, -1) says so.
     """
     in_order = Window.partitionBy("bucket").orderBy("id")
     place = F.row_number().over(in_order) - 1
@@ -322,7 +334,7 @@ def _across(members: DataFrame, records: DataFrame, percent: int) -> DataFrame:
             n, sketches = read_record(data, bands)
             for band, words in sketches.items():
                 by_band.setdefault(band, []).append((i, c, n, words))
-        out = []
+        out = [], [], [], [], []
         for rows in by_band.values():
             ids, parts, sizes = (np.array([r[k] for r in rows], np.int64) for k in range(3))
             if (parts == parts[0]).all():
@@ -335,9 +347,22 @@ def _across(members: DataFrame, records: DataFrame, percent: int) -> DataFrame:
                     continue
                 at = np.flatnonzero(fits) + k + 1
                 far = np.bitwise_count(words[at] ^ words[k]).sum(axis=1)
-                near = at[far <= (100 - bands.percent) * (sizes[at] + sizes[k]) // (100 + bands.percent)]
-                out += [(int(ids[k]), int(j)) for j in ids[near]]
-        return out
+                near = far <= (100 - bands.percent) * (sizes[at] + sizes[k]) // (100 + bands.percent)
+                at, far = at[near], far[near]
+                lower = np.minimum(ids[at], ids[k]), np.maximum(ids[at], ids[k])
+                found = *lower, np.minimum(parts[at], parts[k]), np.maximum(parts[at], parts[k]), far
+                for values, value in zip(out, found):
+                    values.append(value)
+        if not out[0]:
+            return []
+        a, b, x, y, far = (np.concatenate(values) for values in out)
+        order = np.lexsort((b, a, far, y, x))
+        x, y = x[order], y[order]
+        first = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
+        sizes = np.diff(np.r_[first, len(x)])
+        taken = order[np.arange(len(x)) - np.repeat(first, sizes) < most]
+        left = [(_MORE, _MORE)] if len(taken) < len(order) else []
+        return list(zip(a[taken].tolist(), b[taken].tolist())) + left
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bands, key, group = Bands(percent), None, []
@@ -351,8 +376,7 @@ def _across(members: DataFrame, records: DataFrame, percent: int) -> DataFrame:
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
         yield pd.DataFrame(compare(group, bands), columns=["a", "b"], dtype="int64")
 
-    pairs = dealt.mapInPandas(work, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return dealt.mapInPandas(work, "a long, b long").distinct()
 
 
 def text_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ids_link: bool = True) -> DataFrame:
@@ -371,12 +395,12 @@ def text_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ids
         bucket_rows(docs, words, percent)
         .withColumn("is_text", F.col("n_shingles").isNotNull())
         .withColumns({
-            "least": F.min("d1").over(in_bucket),
-            "most": F.max("d1").over(in_bucket),
+            "least": F.min(F.struct("id", "d1")).over(in_bucket)["d1"],  # first documents are what others are copies of
+            "unlike": F.min("d1").over(in_bucket) < F.max("d1").over(in_bucket),
             "members": F.count("d1").over(in_bucket),
             "mark": F.bit_xor(F.xxhash64("d1")).over(in_bucket),
         })
-        .filter(F.col("is_text") | (F.col("most") > F.col("least")))  # others meet nobody but copies
+        .filter(F.col("is_text") | F.col("unlike"))  # others meet nobody but copies
         .select("id", "hash", "n_shingles", "d1", "d2", "record", "least", "members", F.xxhash64("mark", "least", "members").alias("bucket"))
     )
     rows = stored(spark, rows, "ngram-buckets")
@@ -400,14 +424,23 @@ def text_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ids
     pairs = classed(classed(pairs.select("a", "b"), "a"), "b").filter("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = _verified(_near(pairs, records, percent), classes, docs, words, percent)
-    parts = connected_components(first)
     # Buckets of three and more can hold pairs that no star has shown.
     members = met.filter("members > 2").groupBy("bucket", F.col("d1").alias("id")).agg(F.lit(1).alias("one")).select("bucket", "id")
-    members = classed(members, "id").distinct().join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    members = members.join(mixed.select("bucket"), "bucket", "left_semi")
-    second = _verified(_across(members, records, percent).join(first, ["a", "b"], "left_anti"), classes, docs, words, percent)
-    links = first.unionByName(second)
+    members = stored(spark, classed(members, "id").distinct(), "ngram-members")
+    links, tested, most = first, pairs.limit(0), 4
+    while True:
+        parts = connected_components(links)
+        known = members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        mixed = known.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+        known = known.join(mixed.select("bucket"), "bucket", "left_semi")
+        found = stored(spark, _across(known, records, percent, most), "ngram-across")
+        more = not found.filter(F.col("a") == _MORE).isEmpty()
+        asked = found.filter(F.col("a") != _MORE).join(tested, ["a", "b"], "left_anti")
+        links = links.unionByName(_verified(asked, classes, docs, words, percent))
+        if not more:
+            break
+        # What is linked by now needs no further pairs; the others get more of them.
+        tested, most = stored(spark, tested.unionByName(asked), "ngram-tested"), most * 8
     if ids_link:
         several = able.groupBy(F.col("id").alias("doc")).agg(F.min(F.struct("d1", "d2")).alias("x"), F.max(F.struct("d1", "d2")).alias("y"))
         several = several.filter("x <> y").select("doc")
