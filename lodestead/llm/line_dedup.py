@@ -55,10 +55,12 @@ def boilerplate_lines(
     )
     spread = lines.groupBy("a", "b").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(log_k))).alias("sites"))
     low, high = min_sites * (1 - _near(log_k)) - 1, min_sites * (1 + _near(log_k)) + 1
-    near = spread.filter((F.col("sites") >= low) & (F.col("sites") <= high)).select("a", "b")
+    # Both are written once: few rows, whose size Spark then knows when it joins them with all lines.
+    spread = stored(df.sparkSession, spread.filter(F.col("sites") >= low), "line-spread")
+    near = stored(df.sparkSession, spread.filter(F.col("sites") <= high).select("a", "b"), "line-near")
     exact = (
-        # Distinct first, combined before a shuffle; a semi join would be moved below it.
-        lines.distinct().join(near, ["a", "b"])
+        # Only lines near the threshold are counted exactly; the others do not reach the distinct.
+        lines.join(near, ["a", "b"], "left_semi").distinct()
         .groupBy("a", "b").agg(F.count("*").alias("sites"))
         .filter(F.col("sites") >= min_sites)
     )
