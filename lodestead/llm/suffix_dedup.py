@@ -25,6 +25,7 @@ is sorted: there is no multikey quicksort, and leading bytes only choose a bucke
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -242,9 +243,21 @@ def _splitters(docs: DataFrame, length: int, gram: int, least: int) -> tuple[Spl
     got = stored(docs.sparkSession, got, "suffix-sample")
     total, k = got.agg(F.sum("n"), F.sum("k")).first()
     buckets = max(least, -(-(total or 0) * SAMPLED // BUCKET_BYTES))
-    # Few enough rows are taken that the suffixes in them are bounded.
+    # Each of them is taken with a chance that leaves ``SAMPLES`` of all, however many there are, and copies one by one.
     share = min(1.0, SAMPLES / max(1, k or 0))
-    rows = got.filter(F.pmod(F.xxhash64("anchors"), F.lit(1000)) < max(1, int(1000 * share))).select("anchors", "starts").collect()
+
+    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row in zip(batch["anchors"], batch["starts"]):
+                parts = [np.frombuffer(data, np.uint64).reshape(n, -1) for data, n in zip(row, (3, 2))]
+                draws = np.random.default_rng(zlib.crc32(row[0]))  # by content: a task that runs twice takes the same
+                kept = [part[:, draws.random(part.shape[1]) < share] for part in parts]
+                if any(part.size for part in kept):
+                    out.append([part.tobytes() for part in kept])
+            yield pd.DataFrame(out, columns=["anchors", "starts"])
+
+    rows = got.select("anchors", "starts").mapInPandas(thin, "anchors binary, starts binary").collect()
     join = lambda name, n: np.concatenate([np.zeros((n, 0), np.uint64), *(np.frombuffer(r[name], np.uint64).reshape(n, -1) for r in rows)], axis=1)
     anchors, starts = join("anchors", 3), join("starts", 2)
     return Splitters(*anchors, buckets), Splitters(*starts, np.zeros_like(starts[0]), buckets), buckets
@@ -448,7 +461,7 @@ def remove_repeats(
     flagged = _per_text(_flagged_runs(docs, anchors, buckets, length, gram), FLAGGED, buckets, "runs")
     flagged = stored(spark, flagged, "suffix-runs")
     # Both joins deal the texts out in the same way: Spark moves them once.
-    dealt = docs.repartition(least, "id", "h")
+    dealt = docs.repartition(max(least, buckets), "id", "h")
     doubtful = dealt.select("id", "h", "text").join(flagged, ["id", "h"])
     again = _per_text(_repeated_starts(doubtful, starts, buckets, length), PLACE, buckets, "starts")
     made = T.StructType.fromDDL("n_bytes long, n_removed long, spans array<struct<start:long, end:long>>, kept binary")

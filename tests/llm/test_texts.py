@@ -248,6 +248,20 @@ def test_suffix_dedup(spark, docs, nothing, monkeypatch, piece):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
+def test_suffix_sample_is_bounded(spark, monkeypatch):
+    """However many anchors the texts have, about ``SAMPLES`` of them reach the driver; the result does not depend on it."""
+    rows = [(i, LONG[i * 40 :] if i % 4 else LONG[i * 900 : i * 900 + 700]) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(suffix_dedup, "SAMPLED", 1)
+    seen, kept = [], []
+    own = suffix_dedup.Splitters
+    monkeypatch.setattr(suffix_dedup, "Splitters", lambda *a: seen.append(len(a[0])) or own(*a))
+    for most in (200_000, 60):
+        monkeypatch.setattr(suffix_dedup, "SAMPLES", most)
+        kept.append(sorted((r.doc_id, r.n_removed, bytes(r.kept)) for r in suffix_dedup.remove_repeats(docs).collect()))
+    assert kept[0] == kept[1] and seen[0] > 1000 and 0 < max(seen[2:]) < 200
+
+
 # sentencepiece
 
 
