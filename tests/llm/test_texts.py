@@ -2,7 +2,9 @@
 
 import hashlib
 import itertools
+import math
 import re
+import zlib
 from array import array
 from collections import Counter
 
@@ -434,3 +436,30 @@ def test_held_out_rows_are_marked(spark):
 
     got = spark.range(50).select("id", toxicity.held_out("id").alias("out")).collect()
     assert all(r.out == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
+
+
+def test_scores_equal_a_plain_noisy_or(spark, docs):
+    """Sentence by sentence in plain Python, with random weights, over nulls, long texts and signs of all kinds."""
+    rng = np.random.default_rng(9)
+    weights, bias = np.where(rng.random(1 << toxicity.BITS) < 0.3, rng.normal(0.5, 1.0, 1 << toxicity.BITS), 0.0).astype("f4"), -3.0
+    extra = ["One. Two! THREE? four\nfive... a1b_c", "Ünï çode Ñandú. x!?x", ". . .", "same same same. same", "é" * 5000 + ". end"]
+    rows = [(i, t) for i, (_, t, _) in enumerate(collected(docs))] + [(1000 + i, t) for i, t in enumerate(extra)]
+
+    def logit(word):
+        w = word.lower()
+        total = sum(float(weights[zlib.crc32(x.encode()) % (1 << toxicity.BITS)]) for x in ("w" + w, "4" + w[:4], "5" + w[:5]))
+        return total if total >= 0.05 else 0.0
+
+    def plain(text):
+        none, spans = 1.0, 0
+        for sentence in re.split(r"[.!?\n]", text or ""):
+            told = [x for x in map(logit, set(re.findall(r"[^\W\d_]+", sentence))) if x > 0]
+            chance = 1 / (1 + math.exp(-max(-40.0, min(40.0, bias + sum(told))))) if told else 0.0
+            none, spans = none * (1 - min(chance, 1 - 1e-12)), spans + (chance >= 0.5)
+        return 1 - none, spans
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.score, len(r.offending)) for r in toxicity.score(df, weights, bias).collect()}
+    for i, t in rows:
+        score, spans = plain(t)
+        assert got[i][0] == pytest.approx(score, abs=1e-9) and got[i][1] == spans, (i, t and t[:60])
