@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # An escape counts only after an even number of backslashes.
@@ -55,3 +55,10 @@ def variant_list_text(v: Column) -> Column:
     """Array of texts from an open list; anything but a list gives an empty one."""
     items = F.try_variant_get(v, "$", "array<variant>")
     return F.coalesce(F.transform(items, variant_text), F.array().cast("array<string>"))
+
+
+def line_states(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Adds ``state``: blank, bad or ok."""
+    text = F.regexp_replace(F.col(value), r"(?U)^\s+|\s+$", "")
+    state = F.when(text == "", "blank").when(is_json(text), "ok").otherwise("bad")
+    return lines.withColumn("state", state)

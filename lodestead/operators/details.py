@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lodestead import schemas
 from lodestead.functions import casts
 from lodestead.functions.html import html_to_line, html_to_lines
-from lodestead.functions.json_text import repair_surrogates, variant_list_text
+from lodestead.functions.json_text import line_states, repair_surrogates, variant_list_text
 from lodestead.functions.text import (
     amenity_columns,
     bedrooms_from_text,
@@ -195,8 +195,15 @@ FLAT_TIMES = ("created_at", "modified_at", "pushed_up_at")
 AREA_UNIT = "m²"
 
 
+def line_outcomes(df: DataFrame, line: str = "value") -> DataFrame:
+    """(outcome, rows): how many lines are an ``ad``, and how many :func:`flat_rows` leaves out as ``blank``, ``bad`` or ``no ad``."""
+    parsed = F.from_json(repair_surrogates(F.col(line), "?"), schemas.PAGE)["props"]["pageProps"]["ad"]
+    outcome = F.when(F.col("state") != "ok", F.col("state")).when(parsed.isNull(), "no ad").otherwise("ad")
+    return line_states(df, line).groupBy(outcome.alias("outcome")).agg(F.count("*").alias("rows"))
+
+
 def flat_rows(df: DataFrame, line: str = "value") -> DataFrame:
-    """Raw page lines to the 69-column flat row; lines without an ad are left out."""
+    """Raw page lines to the 69-column flat row; lines without an ad are left out (:func:`line_outcomes` counts them)."""
     parsed = F.from_json(repair_surrogates(F.col(line), "?"), schemas.PAGE)
     # A filter would be moved below the projection and parse every line again.
     ads = df.select(F.explode(F.array_compact(F.array(parsed["props"]["pageProps"]["ad"]))).alias("ad"))

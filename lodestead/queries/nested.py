@@ -320,6 +320,18 @@ def flat_training_row(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(details.flat_rows(part_lines(spark, sf))).withColumn("latitude", F.round("latitude", 6))
 
 
+@query("""
+    SELECT CASE p_partkey % 10 WHEN 0 THEN 'bad' WHEN 1 THEN 'blank' WHEN 2 THEN 'no ad' ELSE 'ad' END AS outcome, count(*) AS rows
+    FROM part GROUP BY 1
+""")
+def flat_line_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Page lines of which some are cut short, blank or without an ad: none is left out uncounted."""
+    lines = part_pages(spark, sf).select((F.col("p_partkey") % 10).alias("k"), F.concat(F.lit('{"props":'), F.col("props"), F.lit("}")).alias("line"))
+    k = F.col("k")
+    value = F.when(k == 0, F.expr("left(line, length(line) - 1)")).when(k == 1, " \t ").when(k == 2, '{"props":{}}').otherwise(F.col("line"))
+    return details.line_outcomes(lines.select(value.alias("value")))
+
+
 @query("""
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
            CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE l_extendedprice * 2 END AS price,

@@ -152,3 +152,16 @@ def ordinal_rank(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def hash_split(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", features.in_test_split(F.col("o_orderkey")).alias("is_test"))
+
+
+@query("""
+    SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(current_date AS DATE)) AS INTEGER) AS days,
+           CAST(CAST(current_date AS DATE) AS VARCHAR) AS loaded
+    FROM orders
+""")
+def loaded_today(spark: SparkSession, sf: str) -> DataFrame:
+    """A load without a run date has today's; days since the order was first seen."""
+    return table(spark, sf, "orders").select(
+        "o_orderkey", features.days_on_market(F.to_date("o_orderdate"), casts.run_date()).alias("days"),
+        casts.run_date().cast("string").alias("loaded"),
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestead import schemas
-from lodestead.functions.json_text import is_json
+from lodestead.functions.json_text import is_json, line_states
 from lodestead.sources.json_stream import PIECE, JsonDocuments
 
 
@@ -69,12 +69,6 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return line_states(spark.read.text(path))
 
 
-def line_states(lines: DataFrame, value: str = "value") -> DataFrame:
-    text = F.regexp_replace(F.col(value), r"(?U)^\s+|\s+$", "")
-    state = F.when(text == "", "blank").when(is_json(text), "ok").otherwise("bad")
-    return lines.withColumn("state", state)
-
-
 def read_geojson_sequence(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a GeoJSON text sequence with their state and without the record mark."""
     return sequence_states(spark.read.text(path))
