@@ -48,6 +48,8 @@ CACHED = 200_000
 BLOCK = 1024
 #: Bits of the sketch that is compared, for each shingle of the largest set of its band, and least words.
 SKETCH_BITS, LEAST_WORDS = 1, 16
+#: Pairs of two components that a block gives in the first round; eight times as many in each that follows.
+NEAREST = 32
 #: Bits of the filter that picks out the texts to verify.
 FILTER_BITS = 23
 
@@ -204,8 +206,8 @@ def _digests(sets: list[np.ndarray]) -> np.ndarray:
 def bucket_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row with n_shingles for each row of (doc_id, text), and one for each bucket key of its set.
 
-    Sets are known by the digests d1 and d2, those of a key by d1 and an id that
-    has them.  Rows of texts hold a hash of the text and the record of their sketches, unless the
+    Sets are known by the digests d1 and d2, those of a key by an id that has
+    them, among others perhaps.  Rows of texts hold a hash of the text and the record of their sketches, unless the
     same set came before in the task's chunk of texts.
     """
     rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.xxhash64("text").cast("string").alias("hash"), "text")
@@ -231,20 +233,17 @@ def _chunk(ids: list[int | None], hashes: list[int], sets: list[np.ndarray], ban
         if new:
             seen.add(digest)
             keys.append(bucket_keys(s, bands))
-            owners.append((i, digest[0], len(keys[-1])))
+            owners.append(np.full(len(keys[-1]), i, np.int64))
     spread = mix(two[:, 0].view(np.uint64) + np.arange(len(ids), dtype=np.uint64)).view(np.int64)
     own = pd.DataFrame({
         "key": spread, "id": pd.array(ids, dtype="Int64"), "hash": pd.array(hashes, dtype="Int64"),
-        "n_shingles": pd.array([len(s) for s in sets], dtype="Int64"), "d1": two[:, 0], "d2": pd.array(two[:, 1], dtype="Int64"),
+        "n_shingles": pd.array([len(s) for s in sets], dtype="Int64"), "d1": pd.array(two[:, 0], dtype="Int64"), "d2": pd.array(two[:, 1], dtype="Int64"),
         "record": records,
     })
     if not keys:
         return own
-    id_, d1, times = (np.array(x, np.int64) for x in zip(*owners))
-    key = pd.DataFrame({
-        "key": np.concatenate(keys).view(np.int64), "id": pd.array(np.repeat(id_, times), dtype="Int64"), "d1": np.repeat(d1, times),
-    })
-    for name in ("hash", "n_shingles", "d2"):
+    key = pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "id": pd.array(np.concatenate(owners), dtype="Int64")})
+    for name in ("hash", "n_shingles", "d1", "d2"):
         key[name] = pd.array([pd.NA], dtype="Int64").repeat(len(key))
     key["record"] = None
     return pd.concat([own, key[own.columns]], ignore_index=True)
@@ -395,17 +394,16 @@ def text_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ids
         bucket_rows(docs, words, percent)
         .withColumn("is_text", F.col("n_shingles").isNotNull())
         .withColumns({
-            "least": F.min(F.struct("id", "d1")).over(in_bucket)["d1"],  # first documents are what others are copies of
-            "unlike": F.min("d1").over(in_bucket) < F.max("d1").over(in_bucket),
-            "members": F.count("d1").over(in_bucket),
-            "mark": F.bit_xor(F.xxhash64("d1")).over(in_bucket),
+            "least": F.min("id").over(in_bucket),
+            "members": F.count("id").over(in_bucket),
+            "mark": F.bit_xor(F.xxhash64("id")).over(in_bucket),
         })
-        .filter(F.col("is_text") | F.col("unlike"))  # others meet nobody but copies
+        .filter(F.col("is_text") | (F.col("members") > 1))
         .select("id", "hash", "n_shingles", "d1", "d2", "record", "least", "members", F.xxhash64("mark", "least", "members").alias("bucket"))
     )
     rows = stored(spark, rows, "ngram-buckets")
     texts = rows.filter("n_shingles is not null").select("id", "hash", "n_shingles", "d1", "d2", "record")
-    met = rows.filter("n_shingles is null").select("d1", "least", "members", "bucket")
+    met = rows.filter("n_shingles is null").select("id", "least", "members", "bucket")
     # Equal sets are a class, with a number of its own; one document that has a record stands for it.
     able = texts.filter("n_shingles > 0 and id is not null")
     classes = able.groupBy("d1", "d2").agg(
@@ -417,17 +415,22 @@ def text_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, ids
     )
     records = classes.select("id", "record")
 
+    # An id with several texts stands for the classes of all: more pairs are asked, none is lost.
+    class_of = able.filter("record is not null").select(F.col("id").alias("member"), "d1", "d2").distinct()
+    class_of = stored(spark, class_of.join(classes.select("d1", "d2", "id"), ["d1", "d2"]).select("member", "id"), "ngram-members")
+
     def classed(df: DataFrame, column: str) -> DataFrame:
-        return df.join(classes.select(F.col("d1").alias(column), F.col("id").alias("__own")), column).withColumn(column, F.col("__own")).drop("__own")
+        own = class_of.select(F.col("member").alias(column), F.col("id").alias("__own"))
+        return df.join(own, column).withColumn(column, F.col("__own")).drop("__own")
 
-    pairs = met.filter("d1 <> least").groupBy(F.col("least").alias("a"), F.col("d1").alias("b")).agg(F.lit(1).alias("one"))
+    pairs = met.filter("id <> least").groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.lit(1).alias("one"))
     pairs = classed(classed(pairs.select("a", "b"), "a"), "b").filter("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = _verified(_near(pairs, records, percent), classes, docs, words, percent)
     # Buckets of three and more can hold pairs that no star has shown.
-    members = met.filter("members > 2").groupBy("bucket", F.col("d1").alias("id")).agg(F.lit(1).alias("one")).select("bucket", "id")
+    members = met.filter("members > 2").groupBy("bucket", "id").agg(F.lit(1).alias("one")).select("bucket", "id")
     members = stored(spark, classed(members, "id").distinct(), "ngram-members")
-    links, tested, most = first, pairs.limit(0), 4
+    links, tested, most = first, pairs.limit(0), NEAREST
     while True:
         parts = connected_components(links)
         known = members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))

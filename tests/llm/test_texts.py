@@ -176,7 +176,8 @@ def test_ngram_join(spark, docs, nothing, percent):
 
 
 def test_ngram_join_of_many_near_copies(spark, monkeypatch):
-    """A large group in which some pairs are linked and most are not, in small blocks."""
+    """A large group in which some pairs are linked and most are not, in small blocks and several rounds."""
+    monkeypatch.setattr(ngram_join, "NEAREST", 2)
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
     rng = np.random.default_rng(5)
     base = [f"x{i}" for i in range(150)]
