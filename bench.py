@@ -33,6 +33,8 @@ HEADLINE = (
     "page_embedded_json", "page_text", "multi_hot", "column_profile", "median_fill", "text_flags", "date_features",
     "hash_split", "regression_metrics", "partitioned_refresh", "idempotent_load", "stream_keyed_load",
     "nearest_poi", "poi_counts_radius", "model_table", "json_doc_files", "null_key_quarantine",
+    "replayed_loads", "versioned_refresh", "bucketed_load", "json_whole_documents", "multi_hot_sparse", "category_means",
+    "boosted_trees",
 )
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
