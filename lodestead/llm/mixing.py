@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestead.llm.text import mix as mixed
-from lodestead.llm.text import small_batches, stored
+from lodestead.llm.text import give_back, small_batches, stored
 
 WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2.0
 LEAF_ROWS, FAN_IN, SEED = 4096, 64, 20_240_501
@@ -164,6 +164,8 @@ def _rounded(schema: T.StructType):
                 yield filled(batch, rows, up[rows], np.zeros(len(rows)), False)
         if held is not None:
             yield release(None)
+        held = None
+        give_back()
 
     return work
 

@@ -37,13 +37,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestead.llm.graph import connected_components
-from lodestead.llm.text import chunks, encoded, mix, small_batches, stored
+from lodestead.llm.text import chunks, encoded, give_back, mix, small_batches, stored
 
 WORDS, PERCENT = 4, 85
 BAND = 1.2
 SLACK = 1.25
 CHUNK = 1_000_000
-CACHED = 200_000
+CACHED = 50_000
 #: Members of a bucket that one task compares with each other; larger buckets are cut into pairs of blocks.
 BLOCK = 1024
 #: Bits of the sketch that is compared, for each shingle of the largest set of its band, and least words.
@@ -220,6 +220,8 @@ def bucket_rows(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
             hashes = [int(h) for h in batch["hash"]]
             for a, b in chunks([len(t) for t in texts], CHUNK):
                 yield _chunk(ids[a:b], hashes[a:b], [shingler.shingles(t) for t in texts[a:b]], bands)
+        del shingler
+        give_back()
 
     return rows.mapInPandas(work, "key long, id long, hash long, n_shingles long, d1 long, d2 long, record binary")
 
@@ -300,6 +302,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
                 # An id may have texts of other sets.
                 keep.append((_digests(sets).ravel() == digests).all() and linked(*sets, percent))
             yield batch.loc[np.array(keep, bool), ["a", "b"]]
+        give_back()
 
     return stored(spark, pairs.mapInPandas(work, "a long, b long").distinct(), "ngram-links")
 
@@ -374,6 +377,8 @@ def _across(members: DataFrame, records: DataFrame, percent: int, most: int) ->
                 group.append(row[3:])
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
         yield pd.DataFrame(compare(group, bands), columns=["a", "b"], dtype="int64")
+        del group
+        give_back()
 
     return dealt.mapInPandas(work, "a long, b long").distinct()
 
