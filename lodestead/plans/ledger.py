@@ -2,7 +2,8 @@
 
 A ledger is a folder.  ``done`` holds one small Parquet folder for each load
 that is complete, ``begun`` one for each whose rows are chosen, ``rows`` the
-chosen rows until the load is done.  Spark's commit shows each of them as a
+chosen rows until the load is done, ``totals`` one for each target, written
+anew by each load.  Spark's commit shows each of them as a
 whole or not at all, so a load that stops anywhere goes on from the last one.
 """
 
@@ -59,5 +60,6 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
 
 
 def rows_before(spark: SparkSession, ledger: str, target: str) -> int | None:
-    """The rows that a target had after the last load of the ledger into it."""
-    return read_ledger(spark, ledger).filter(F.col("target") == target).agg(F.max("table_rows")).first()[0]
+    """The rows that a target had after the last load of the ledger into it; one small file, however many loads there were."""
+    entry = read_entry(spark, ledger, "totals", target)
+    return entry and entry["table_rows"]

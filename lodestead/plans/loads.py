@@ -117,10 +117,12 @@ def keyed_append(
             counters["table_rows"] = (target.count() if before is None else before) + added
             write_entry(spark, ledger, "begun", load, table, counters)
         if added:
-            append_table(rows, table)
+            append_table(rows, table, layout)
     if quarantine and counters["without_key"]:
         set_aside(with_key(batch, keys, present=False), quarantine, load)
     if ledger:
+        if not begun or (rows_before(spark, ledger, table) or 0) < counters["table_rows"]:  # others may have come since
+            write_entry(spark, ledger, "totals", table, table, counters)
         write_entry(spark, ledger, "done", load, table, counters)
         forget_rows(spark, ledger, load)
     else:

@@ -78,15 +78,15 @@ def in_buckets(df: DataFrame, layout: Layout) -> DataFrame:
     return df.repartition(layout.buckets, *layout.bucket_by)
 
 
-def append_table(df: DataFrame, name: str) -> None:
-    """Append by column name to a table that must exist, in the table's layout.
+def append_table(df: DataFrame, name: str, layout: Layout | None = None) -> None:
+    """Append by column name to a table that must exist, in the table's layout, which is looked up if it is not given.
 
     A row that lacks one of the table's key columns fails the write, which then
     leaves the table as it was.
     """
     spark = df.sparkSession
     rows = df.select(*spark.table(name).columns)
-    layout = table_layout(spark, name)
+    layout = layout or table_layout(spark, name)
     kinds = {f.name: f.dataType for f in rows.schema.fields}
     rows = rows.withColumns({
         c: F.when(F.col(c).isNotNull(), F.col(c)).otherwise(F.raise_error(F.lit(f"{name}: {c} is null")).cast(kinds[c]))
