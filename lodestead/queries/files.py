@@ -103,8 +103,8 @@ def json_whole_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderpriority").alias("district"), F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("place"),
         "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice",
     )
-    docs = sinks.district_documents(items, "district", "place", items_per_document=10_000_000)
-    docs.select("district", "value").repartition("district").write.partitionBy("district").text(path)
+    docs = sinks.district_documents(items, "district", "place", items_per_document=10_000_000, as_lines=True)
+    docs.write.partitionBy("district", "document_no").text(path)
     item = "struct<l_orderkey:bigint,l_linenumber:int,l_returnflag:string,l_extendedprice:double>"
     return json_files.read_documents(spark, path, f"map<string,array<{item}>>")
 

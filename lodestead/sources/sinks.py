@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
@@ -166,22 +166,33 @@ def write_snapshot(df: DataFrame, folder: str, source: str, day: str | dt.date,
     return path
 
 
-def district_documents(df: DataFrame, district: str, location: str, items_per_document: int = 10_000) -> DataFrame:
+#: Copies of one item on a line of a document.
+_COPIES_PER_LINE = 1000
+
+
+def district_documents(
+    df: DataFrame, district: str, location: str, items_per_document: int = 10_000, as_lines: bool = False
+) -> DataFrame:
     """JSON documents ``{location: [listing, ...]}``, several for a large district.
 
     A location's listings are spread over documents by the hash of the row,
     copies of one row in turn, so that no document grows beyond about
     ``items_per_document`` listings however many a district, a location or a
     group of copies has.
+
+    A row is a document, which a task holds as one value.  For documents of
+    any size ``as_lines`` gives (district, document_no, value) with an item on
+    each row and the brackets beside it.  A document's rows lie in one
+    partition in order, so text partitioned by its two columns is one file for
+    each document.
     """
     listing = F.struct(*[c for c in df.columns if c not in (district, location)])
-    counted = (
-        df.select(district, location, listing.alias("_item"))
-        .withColumn("_text", F.to_json("_item"))
-        .groupBy(district, location, "_text")
-        .agg(F.any_value("_item").alias("_item"), F.count(F.lit(1)).alias("_copies"))
-    )
+    items = df.select(district, location, listing.alias("_item")).withColumn("_text", F.to_json("_item"))
+    kept = [] if as_lines else [F.any_value("_item").alias("_item")]
+    counted = items.groupBy(district, location, "_text").agg(*kept, F.count(F.lit(1)).alias("_copies"))
     dealt = deal_copies(counted, [district], F.col("_text"), items_per_document, "document_no")
+    if as_lines:
+        return _document_lines(dealt, district, location)
     items = dealt.groupBy(district, "document_no", location).agg(
         F.flatten(F.collect_list(F.array_repeat(F.col("_item"), F.col("_copies")))).alias("items")
     )
@@ -190,6 +201,29 @@ def district_documents(df: DataFrame, district: str, location: str, items_per_do
     )
 
 
+def _document_lines(dealt: DataFrame, district: str, location: str) -> DataFrame:
+    """Rows with a text and its number of copies to the lines of their documents."""
+    last_line = F.floor((F.col("_copies") - 1) / _COPIES_PER_LINE)
+    # Neither part of the file's path may be nullable: the writer would put another column in
+    # its place and sort by that, and the order within a document would be lost.
+    lines = dealt.select(
+        F.coalesce(district, F.lit("")).alias(district), F.coalesce("document_no", F.lit(0)).alias("document_no"),
+        F.coalesce(F.col(location).cast("string"), F.raise_error(F.lit("a location is null")).cast("string")).alias("_key"),
+        "_text", "_copies", F.explode(F.sequence(F.lit(0).cast("bigint"), last_line)).alias("_line"),
+    )
+    document = [district, "document_no"]
+    order = [*document, "_key", "_text", "_line"]
+    within = Window.partitionBy(*document).orderBy("_key", "_text", "_line")
+    before, last = F.lag("_key").over(within), F.lead("_key").over(within).isNull()
+    opened = F.concat(F.regexp_replace(F.to_json(F.array("_key")), r"^\[|\]$", ""), F.lit(":["))
+    start = F.when(before.isNull(), F.concat(F.lit("{"), opened)).when(before == F.col("_key"), ",").otherwise(
+        F.concat(F.lit("],"), opened)
+    )
+    copies = F.least(F.col("_copies") - F.col("_line") * _COPIES_PER_LINE, F.lit(_COPIES_PER_LINE)).cast("int")
+    value = F.concat(start, F.array_join(F.array_repeat("_text", copies), ","), F.when(last, "]}").otherwise(""))
+    return lines.select(*order, value.alias("value")).sortWithinPartitions(*order).select(*document, "value")
+
+
 def write_district_documents(df: DataFrame, path: str, district: str, location: str,
                              items_per_document: int = 10_000) -> None:
     """One JSON document per line, one folder per district."""

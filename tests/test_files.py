@@ -94,6 +94,27 @@ def test_documents_of_a_large_district_are_split(spark, folder):
     assert {(r.location_id, r.slug) for r in back.collect()} == {(r.loc, r.slug) for r in df.collect()}
 
 
+def test_documents_as_lines_are_never_one_value(spark, folder):
+    """Two documents of a district, a file each; keys to quote, copies over several lines, a null district is left out."""
+    n = spark.range(1200).select(
+        F.when(F.col("id") % 100 != 99, "braga").alias("district"), F.when(F.col("id") % 3 == 0, 'b/"x"').otherwise("a, é").alias("loc"),
+        F.col("id").cast("string").alias("slug"),
+    )
+    df = n.unionByName(spark.range(2500).select(F.lit("braga").alias("district"), F.lit("a, é").alias("loc"), F.lit('hot "]}').alias("slug")))
+    docs = sinks.district_documents(df, "district", "loc", 2000, as_lines=True)
+    assert docs.agg(F.max(F.length("value"))).first()[0] < 25_000
+    docs.write.partitionBy("district", "document_no").text(f"{folder}/out")
+    files = [os.path.join(d, f) for d, _, names in os.walk(f"{folder}/out") for f in names if f.endswith(".txt")]
+    assert len(files) == 2
+    for f in files:
+        with open(f) as text:
+            document = json.load(text)
+        assert set(document) == {"a, é", 'b/"x"'} and sum(map(len, document.values())) < 2500
+    back = json_files.read_documents(spark, f"{folder}/out", "map<string,array<struct<slug:string>>>")
+    want = df.filter("district is not null").groupBy("loc", "slug").count().collect()
+    assert {tuple(r) for r in back.groupBy("location_id", "slug").count().collect()} == {tuple(r) for r in want}
+
+
 def test_json_lines_and_geojson_sequence(spark, folder):
     point = '{"geometry":{"type":"Point","coordinates":[-8.5,41.2]},"properties":{"amenity":"cafe"},"id":"n1","x":1}'
     area = '{"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]},"properties":{},"id":"w1"}'
