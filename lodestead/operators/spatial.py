@@ -217,27 +217,6 @@ def _cell_table(points: DataFrame, levels: Sequence[int], sums: Sequence[str]) -
     )
 
 
-def _split_open(rows: DataFrame, cells: DataFrame, levels: Sequence[int], sums: Sequence[str]) -> DataFrame:
-    """Replace each open row by its non-empty sub-cells, which are of ``levels``; other rows pass through."""
-    side = 2**_SPLIT
-    subs = cells.filter(F.col("level").isin(list(levels))).select(
-        F.lit(True).alias("open"),
-        (F.col("level") - _SPLIT).alias("level"),
-        F.floor(F.col("x") / side).alias("x"),
-        F.floor(F.col("y") / side).alias("y"),
-        F.col("level").alias("s_level"), F.col("x").alias("s_x"), F.col("y").alias("s_y"),
-        F.col("n").alias("s_n"), *[F.col(c).alias(f"s_{c}") for c in sums],
-    )
-    if max(levels) <= _FEW_CELLS:
-        # Bounded by the number of cells on the globe, however many points there are.
-        subs = F.broadcast(subs)
-    replaced = ["level", "x", "y", "n", *sums]
-    kept = [c for c in rows.columns if c not in replaced]
-    return rows.join(subs, ["open", "level", "x", "y"], "left").select(
-        *kept, *[F.when(F.col("open"), F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) for c in replaced]
-    )
-
-
 def _center_distance() -> tuple[Column, Column]:
     step = F.lit(360.0) / F.pow(F.lit(2.0), F.col("level"))
     lon_c, lat_c = cell_center(F.col("x"), F.col("y"), step)
@@ -253,10 +232,12 @@ def poi_counts(
 ) -> DataFrame:
     """Adds ``count_<category>_<radius>m`` for every category and radius.
 
-    Around each place the cells that the circle touches are looked up.  A cell
-    wholly inside the circle adds its stored count; one that the edge crosses
-    is split while it is crowded, and only its last, small pieces are compared
-    point by point.  The counts are exact.
+    Cells of places are paired with the cells of points that their circles
+    touch.  A pair that is nearer than the radius as a whole adds the cell's
+    stored count to all of the places at once, and one that is farther is
+    dropped.  A crowded pair on the edge is cut, both cells into 8 x 8, and
+    only the last, small pairs are compared point by point.  The counts are
+    exact.
     """
     sums = [f"c{i}" for i in range(len(categories))]
     points = (
@@ -267,29 +248,47 @@ def poi_counts(
         .agg(*[F.count_if(F.col(category) == c).alias(s) for c, s in zip(categories, sums)])
     )
     points = written_once(points, "poi-points")
+    places = written_once(_places(listings, lon, lat), "poi-places")
     first = {r: _level_for(r) for r in radii}
     last = {r: min(first[r] + _SPLIT * splits, 30) for r in radii}
     per_radius = {r: list(range(first[r], last[r] + 1, _SPLIT)) for r in radii}
     levels = sorted({n for ns in per_radius.values() for n in ns})
 
+    place_cells = written_once(_cell_table(places, levels, []), "poi-place-cells")
     cells = written_once(_cell_table(points, levels, sums), "poi-cells")
-    rows = _touched_cells(_places(listings, lon, lat), {r: (first[r], per_radius[r][-1]) for r in radii})
-    rows = rows.join(cells.filter(F.col("level").isin(sorted(set(first.values())))), ["level", "x", "y"])
-    rows = _classify_circle(rows, leaf_points)
+    rows = _touched_cells(place_cells, {r: (first[r], per_radius[r][-1]) for r in radii})
+    rows = rows.join(_side(cells, sorted(set(first.values())), "t_"), _CELL["t_"])
+    pairs, done = _classify_pairs(rows, leaf_points), []
     for k in range(1, splits + 1):
         at = sorted({per_radius[r][k] for r in radii if k < len(per_radius[r])})
         if at:
-            rows = _classify_circle(_split_open(rows, cells, at, sums), leaf_points)
-
-    leaves = _leaf_points(points, cells, levels, {ns[-1] for ns in per_radius.values()}, leaf_points, sums)
-    # Whole cells already have their counts and match no point.
-    rows = rows.join(leaves.withColumn("whole", F.lit(False)), ["whole", "level", "x", "y"], "left")
-    distance = haversine(F.col("lon"), F.col("lat"), F.col("p_lon"), F.col("p_lat"))
-    near = rows.select("*", (distance <= F.col("radius")).alias("_near"))
-    added = {s: F.when(F.col("whole"), F.col(s)).when(F.col("_near"), F.col(f"p_{s}")).otherwise(F.lit(0)) for s in sums}
-    per_circle = near.select("lon", "lat", "radius", *[c.alias(s) for s, c in added.items()])
+            pairs = written_once(pairs, "poi-pairs")
+            done.append(pairs.filter(~F.col("open")))
+            # Few and small rows are much work, so they are dealt out over all tasks.
+            still = pairs.filter("open").repartition(_tasks(pairs))
+            for side, own in (("p_", place_cells), ("t_", cells)):
+                still = _classify_pairs(_cut(still, own, side, at, leaf_points), leaf_points)
+            pairs = still
+    pairs = union_all([*done, written_once(pairs, "poi-pairs")])
+
+    # Whole pairs: the points' counts are added up by cell of places first.
+    stored = cells.select(*[F.col(c).alias(f"t_{c}") for c in ("level", "x", "y")], *sums)
+    by_cell = pairs.filter("whole").join(stored, _CELL["t_"]).groupBy("radius", *_CELL["p_"]).agg(*[F.sum(s).alias(s) for s in sums])
+    most = _CROWD * leaf_points**2
+    own = _with_cells(places, levels).withColumnsRenamed({c: f"p_{c}" for c in ("level", "x", "y")})
+    inside = own.join(by_cell, _CELL["p_"]).select("lon", "lat", "radius", *sums)
+
+    # Pairs on the edge: point by point.
+    edge = pairs.filter(~F.col("whole")).repartition(_tasks(pairs), *_CELL["p_"]).select("radius", *_CELL["p_"], *_CELL["t_"])
+    ends = [n[-1] for n in per_radius.values()]
+    near = edge.join(_cell_lists(points, cells, levels, ends, most, "t_", sums), _CELL["t_"])
+    near = near.join(_cell_lists(places, place_cells, levels, ends, most, "p_", []), _CELL["p_"])
+    near = near.select("radius", "t_items", F.explode("p_items").alias("p")).select("radius", "p.*", F.explode("t_items").alias("t"))
+    near = near.filter(haversine(F.col("lon"), F.col("lat"), F.col("t.lon"), F.col("t.lat")) <= F.col("radius"))
+    near = near.select("lon", "lat", "radius", *[F.col(f"t.{s}").alias(s) for s in sums])
+
     names = {(s, r): f"count_{c}_{r}m" for c, s in zip(categories, sums) for r in radii}
-    per_place = per_circle.groupBy("lon", "lat").agg(
+    per_place = inside.unionByName(near).groupBy("lon", "lat").agg(
         *[F.sum(F.when(F.col("radius") == r, F.col(s))).alias(n) for (s, r), n in names.items()]
     )
     joined = _join_back(listings, per_place, lon, lat)
@@ -299,54 +298,112 @@ def poi_counts(
     )
 
 
+def _tasks(df: DataFrame) -> int:
+    return max(4 * df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _level_for(radius: float) -> int:
     """Finest level whose cells are at least as tall as the circle."""
     return max(1, math.floor(math.log2(360.0 / math.degrees(2 * radius / EARTH_RADIUS_M))))
 
 
-def _touched_cells(places: DataFrame, radii: dict[int, tuple[int, int]]) -> DataFrame:
-    """One row per place, radius and first-level cell that the circle's bounds touch."""
+def _touched_cells(place_cells: DataFrame, radii: dict[int, tuple[int, int]]) -> DataFrame:
+    """One row per first-level cell of places, radius and cell that the bounds of its places' circles touch."""
     specs = F.array(
         *[
             F.struct(
-                F.lit(float(r)).alias("radius"), F.lit(level).alias("level"), F.lit(last).alias("last"),
+                F.lit(float(r)).alias("radius"), F.lit(level).alias("p_level"), F.lit(last).alias("last"),
                 F.lit(cell_step(level)).alias("step"), F.lit(2**level).cast("bigint").alias("across"),
                 F.lit(math.degrees(r / EARTH_RADIUS_M) + 1e-9).alias("dlat"),
             )
             for r, (level, last) in radii.items()
         ]
     )
-    rows = places.withColumn("_s", F.explode(specs)).select("lon", "lat", "_s.*")
-    pole = F.abs(F.col("lat")) + F.col("dlat") >= 89.9
+    firsts = _side(place_cells, sorted({level for level, _ in radii.values()}), "p_")
+    rows = firsts.withColumn("_s", F.explode(specs)).filter("p_level = _s.p_level").select(*firsts.columns, "_s.radius", "_s.last", "_s.step", "_s.across", "_s.dlat")
+    low, high = F.col("p_y") * F.col("step") - 90.0, (F.col("p_y") + 1) * F.col("step") - 90.0
+    widest = F.greatest(F.abs(low), F.abs(high))  # where a degree of longitude is shortest
+    pole = widest + F.col("dlat") >= 89.9
     dlon = F.when(pole, F.lit(180.0)).otherwise(
         F.degrees(F.asin(F.least(F.lit(1.0), F.try_divide(
-            F.sin(F.radians(F.col("dlat"))), F.cos(F.radians(F.col("lat"))))))) + 1e-9
+            F.sin(F.radians(F.col("dlat"))), F.cos(F.radians(widest)))))) + 1e-9
     )
     rows = rows.withColumn("dlon", dlon)
-    west = F.floor((F.col("lon") - F.col("dlon") + 180.0) / F.col("step"))
-    east = F.floor((F.col("lon") + F.col("dlon") + 180.0) / F.col("step"))
+    # Places on a border are filed on one of its sides: 1e-9 of a cell more takes in both.
+    west = F.floor(F.col("p_x") - F.col("dlon") / F.col("step") - 1e-9)
+    east = F.floor(F.col("p_x") + 1 + F.col("dlon") / F.col("step") + 1e-9)
     xs = F.sequence(west, F.least(east, west + F.col("across") - 1))
-    south = F.greatest(F.floor((F.col("lat") - F.col("dlat") + 90.0) / F.col("step")), F.lit(0).cast("bigint"))
-    north = F.floor((F.col("lat") + F.col("dlat") + 90.0) / F.col("step"))
+    south = F.greatest(F.floor((low - F.col("dlat") + 90.0) / F.col("step") - 1e-9), F.lit(0).cast("bigint"))
+    north = F.floor((high + F.col("dlat") + 90.0) / F.col("step") + 1e-9)
     return (
-        rows.withColumn("x", F.explode(xs))
-        .withColumn("x", F.pmod("x", "across"))
-        .withColumn("y", F.explode(F.sequence(south, north)))
-        .select("lon", "lat", "radius", "last", "level", "x", "y")
+        rows.withColumn("t_x", F.explode(xs))
+        .withColumn("t_x", F.pmod("t_x", "across"))
+        .withColumn("t_y", F.explode(F.sequence(south, north)))
+        .select("radius", "last", *_CELL["p_"], "p_n", F.col("p_level").alias("t_level"), "t_x", "t_y")
     )
 
 
-def _classify_circle(rows: DataFrame, leaf_points: int) -> DataFrame:
-    distance, reach = _center_distance()
-    cell = [c for c in rows.columns if c not in ("whole", "open")]
-    measured = rows.select(*cell, distance.alias("_d"), reach.alias("_r"))
+#: Pairs of cells of up to this times the square of ``leaf_points`` are compared point by point.
+_CROWD = 16
+
+
+def _classify_pairs(rows: DataFrame, leaf_points: int) -> DataFrame:
+    """Pairs of cells that circles touch: ``whole`` ones lie inside, ``open`` ones are to be cut."""
+    steps = {s: F.lit(360.0) / F.pow(F.lit(2.0), F.col(f"{s}level")) for s in ("p_", "t_")}
+    (p_lon, p_lat), (t_lon, t_lat) = (cell_center(F.col(f"{s}x"), F.col(f"{s}y"), steps[s]) for s in ("p_", "t_"))
+    pair = ["radius", "last", *_CELL["p_"], "p_n", *_CELL["t_"], "t_n"]
+    measured = rows.select(
+        *pair, haversine(p_lon, p_lat, t_lon, t_lat).alias("_d"),
+        (cell_reach(p_lat, steps["p_"]) + cell_reach(t_lat, steps["t_"])).alias("_r"),
+    )
     whole = F.col("_d") + F.col("_r") <= F.col("radius")
-    crowded = (F.col("n") > leaf_points) & (F.col("level") < F.col("last"))
+    crowded = F.col("p_n") * F.col("t_n") > _CROWD * leaf_points**2
+    able = [(F.col(f"{s}n") > leaf_points) & (F.col(f"{s}level") < F.col("last")) for s in ("p_", "t_")]
     return measured.filter(F.col("_d") - F.col("_r") <= F.col("radius")).select(
-        *cell, whole.alias("whole"), (~whole & crowded).alias("open")
+        *pair, whole.alias("whole"), (~whole & crowded & (able[0] | able[1])).alias("open")
     )
 
 
+def _cut(pairs: DataFrame, cells: DataFrame, side: str, levels: Sequence[int], leaf_points: int) -> DataFrame:
+    """The pairs with one side's crowded cells replaced by their non-empty parts, which are of ``levels``."""
+    parts = cells.filter(F.col("level").isin(list(levels))).select(
+        F.lit(True).alias("_cut"), (F.col("level") - _SPLIT).alias(f"{side}level"),
+        F.shiftright("x", _SPLIT).alias(f"{side}x"), F.shiftright("y", _SPLIT).alias(f"{side}y"),
+        F.col("level").alias("_level"), F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("n").alias("_n"),
+    )
+    if max(levels) <= _FEW_CELLS:
+        # Bounded by the number of cells on the globe, however many points there are.
+        parts = F.broadcast(parts)
+    own = [*_CELL[side], f"{side}n"]
+    crowded = F.col("open") & (F.col(f"{side}n") > leaf_points) & (F.col(f"{side}level") < F.col("last"))
+    others = [c for c in pairs.columns if c not in (*own, "whole", "open")]
+    marked = pairs.withColumn("_cut", crowded)
+    return marked.join(parts, ["_cut", *_CELL[side]], "left").select(
+        *others, *[F.when(F.col("_cut"), F.col(f"_{c}")).otherwise(F.col(f"{side}{c}")).alias(f"{side}{c}") for c in ("level", "x", "y", "n")]
+    )
+
+
+#: Points of a cell in one list.
+_LISTED = 256
+
+
+def _cell_lists(
+    points: DataFrame, cells: DataFrame, levels: Sequence[int], last_levels: Sequence[int], most: int, side: str,
+    sums: Sequence[str],
+) -> DataFrame:
+    """The points of each cell that can be compared point by point, in lists of about ``_LISTED``.
+
+    A side of a crowded pair is left whole only where it has few points or is
+    of a last level, so other cells of more than ``most`` points are left out.
+    """
+    few = cells.filter((F.col("n") <= most) | F.col("level").isin(list(last_levels))).select("level", "x", "y", "n")
+    filed = _with_cells(points, levels).join(few, ["level", "x", "y"])
+    lists = F.pmod(F.xxhash64("lon", "lat"), F.ceil(F.col("n") / _LISTED))
+    return filed.groupBy("level", "x", "y", lists.alias("_list")).agg(
+        F.collect_list(F.struct("lon", "lat", *sums)).alias(f"{side}items")
+    ).drop("_list").withColumnsRenamed({c: f"{side}{c}" for c in ("level", "x", "y")})
+
+
 def _leaf_points(points, cells, levels, last_levels, leaf_points, sums) -> DataFrame:
     """Points under each cell that can be compared point by point.
 

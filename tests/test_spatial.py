@@ -55,6 +55,21 @@ def test_counts_and_nearest_equal_brute_force(spark, shape):
     assert nearest[-1] is None
 
 
+def test_places_of_a_cell_are_counted_together(spark, monkeypatch):
+    """4,000 places and points within 3 km: pairs of cells are few beside the cells that each circle would touch."""
+    rng = np.random.default_rng(3)
+    xy = np.round(rng.normal((-8.6, 41.1), 0.012, (4000, 2)), 6)
+    df = spark.createDataFrame([(i, float(x), float(y), "ab"[i % 2]) for i, (x, y) in enumerate(xy)], "id int, lon double, lat double, kind string")
+    kept, written = [], spatial.written_once
+    monkeypatch.setattr(spatial, "written_once", lambda d, label: kept.append((label, written(d, label))) or kept[-1][1])
+    counted = {r.id: r.count_a_1000m for r in spatial.poi_counts(df, df, "kind", ["a"], [1000], leaf_points=8).collect()}
+    assert sum(d.count() for label, d in kept if label == "poi-pairs") < 25 * 4000
+    lon, lat = np.radians(xy).T
+    for i in range(0, 4000, 97):
+        h = np.sin((lat - lat[i]) / 2) ** 2 + np.cos(lat) * np.cos(lat[i]) * np.sin((lon - lon[i]) / 2) ** 2
+        assert counted[i] == np.count_nonzero(2 * EARTH_RADIUS_M * np.arcsin(np.sqrt(h))[::2] <= 1000)
+
+
 def test_no_plan_pairs_everything(spark):
     ldf = spark.createDataFrame([(1, -8.6, 41.1)], "id int, lon double, lat double")
     pdf = spark.createDataFrame([("a", -8.6, 41.1)], "kind string, lon double, lat double")
