@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from lodestead.functions.casts import to_double
 from lodestead.functions.text import bedrooms_from_typology
 from lodestead.operators import features as fx
 from lodestead.operators.filters import numeric_target
-from lodestead.session import scratch_root
+from lodestead.session import scratch_path, scratch_root
 
 
 def training_rows(df: DataFrame, target: str = "price") -> DataFrame:
@@ -106,17 +106,35 @@ def mean_stages(columns: Sequence[str], target: str, smoothing: float = 0.0) ->
     """
     if not columns:
         return []
-    labels, out = [f"{c}_label" for c in columns], [f"{c}_encoded" for c in columns]
-    # Null becomes a text of its own: the indexer would count it among the labels that it has not seen.
+    # Null becomes a text of its own, so that it is joined like any label.
     texts = ", ".join(f"coalesce(cast(`{c}` AS string), '{_NULL}') AS `{c}_text`" for c in columns)
-    # The encoder's column is still marked as one of labels; a number of its own is not.
-    numbers = ", ".join(f"`{c}_encoded` + 0D AS `{c}{_MEAN}`" for c in columns)
-    return [
-        SQLTransformer(statement=f"SELECT *, {texts} FROM __THIS__"),
-        StringIndexer(inputCols=[f"{c}_text" for c in columns], outputCols=labels, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        TargetEncoder(inputCols=labels, outputCols=out, labelCol=target, targetType="continuous", handleInvalid="keep", smoothing=smoothing),
-        SQLTransformer(statement=f"SELECT *, {numbers} FROM __THIS__"),
-    ]
+    return [SQLTransformer(statement=f"SELECT *, {texts} FROM __THIS__"), *[_MeanEncoder(c, target, smoothing) for c in columns]]
+
+
+class _MeanEncoder(Estimator):
+    """What Spark ML's ``TargetEncoder`` learns, for any number of labels.
+
+    The labels are not held by the driver nor tried one by one: they are a
+    table in the scratch folder, which the fitted stage joins.
+    """
+
+    def __init__(self, column: str, target: str, smoothing: float):
+        super().__init__()
+        self.column, self.target, self.smoothing = column, target, smoothing
+
+    def _fit(self, dataset: DataFrame) -> SQLTransformer:
+        rows = dataset.select(F.col(f"{self.column}_text").alias("label"), F.col(self.target).cast("double").alias("value"))
+        rows = rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+        spark, path = dataset.sparkSession, scratch_path(dataset.sparkSession, "means")
+        rows.groupBy("label").agg(F.count("*").alias("rows"), F.sum("value").alias("total")).write.parquet(path)
+        every = spark.read.parquet(path).agg(F.sum("total") / F.sum("rows")).first()[0]
+        overall = "CAST(NULL AS DOUBLE)" if every is None else f"CAST('{every!r}' AS DOUBLE)"
+        share = f"(`_m`.rows / (`_m`.rows + {float(self.smoothing)!r}D))"
+        mean = f"{share} * (`_m`.total / `_m`.rows) + (1 - {share}) * {overall}"
+        return SQLTransformer(
+            statement=f"SELECT `_t`.*, CASE WHEN `_m`.label IS NULL THEN {overall} ELSE {mean} END AS `{self.column}{_MEAN}` "
+            f"FROM __THIS__ AS `_t` LEFT JOIN parquet.`{path}` AS `_m` ON `_t`.`{self.column}_text` = `_m`.label"
+        )
 
 
 def category_means(train: DataFrame, column: str, target: str, smoothing: float = 0.0) -> DataFrame:

@@ -4,6 +4,7 @@ import json
 import warnings
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from lodestead import schemas
@@ -255,6 +256,16 @@ def test_wide_categories_stand_by_their_means(spark):
     assert fitted.transform(unseen).first()["city_mean"] == pytest.approx(rows.agg(F.avg("price")).first()[0])
 
 
+def test_means_hold_no_labels(spark):
+    """The fitted stages are statements; rows without a number count nowhere and their labels have the mean of all."""
+    rows = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 6.0), (None, 3.0), ("c", None), ("c", float("nan"))], "city string, price double")
+    fitted = Pipeline(stages=model.mean_stages(["city"], "price")).fit(rows)
+    assert {type(s).__name__ for s in fitted.stages} == {"SQLTransformer"} and all(len(s.getStatement()) < 1000 for s in fitted.stages)
+    assert {tuple(r) for r in model.category_means(rows, "city", "price").collect()} == {("a", 1.5), ("b", 6.0), (None, 3.0), ("c", 3.0)}
+    drawn = dict(map(tuple, model.category_means(rows, "city", "price", smoothing=2.0).collect()))
+    assert drawn == {"a": pytest.approx(2.25), "b": pytest.approx(4.0), None: pytest.approx(3.0), "c": 3.0}
+
+
 def test_wide_sparse_features_are_one_jvm_expression(spark):
     n = 20_000
     wide = spark.range(n).select(
