@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lodestead.operators.details import stage_details
-from lodestead.operators.keys import DateRange, existing_keys, new_rows
+from lodestead.operators.keys import DateRange, existing_keys, new_rows, of_dates
 from lodestead.operators.projections import require_columns, stage_listings
 from lodestead.plans.ledger import folder_name, forget_rows, part_path, read_entry, rows_before, write_entry
 from lodestead.session import remove_folder, scratch_path, setting
@@ -41,6 +41,34 @@ def with_key(batch: DataFrame, keys: Sequence[str], present: bool = True) -> Dat
     return batch.filter(whole if present else ~whole)
 
 
+#: The key columns of a row as one value.
+_KEY = "_key"
+
+
+def new_of_batch(
+    batch: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[str],
+    dates: Iterable[str] | DateRange | None = None, date_column: str = "ingestionDate",
+) -> DataFrame:
+    """One row per key of the batch, as in :func:`one_per_batch_key`, if the target does not hold the key.
+
+    The key columns are one struct until the end.  Apart, a date that is a
+    literal in the batch or in the target would be a key of the dedup but none
+    of the join, and the join would move the whole rows a second time.
+    """
+    held = of_dates(target, dates, date_column)
+    kinds = [[f.dataType for f in df.select(*keys).schema] for df in (batch, held)]
+    if kinds[0] != kinds[1]:  # columns are cast for a join, fields of a struct are not
+        return new_rows(one_per_batch_key(batch, keys, order), held, keys)
+    packed = F.struct(*[F.col(k).alias(k) for k in keys])
+    unique = one_per_batch_key(
+        with_key(batch, keys).withColumn(_KEY, packed).drop(*keys), [_KEY],
+        [f"{_KEY}.{c}" if c in keys else c for c in order],
+    )
+    new = new_rows(unique, with_key(held, keys).select(packed.alias(_KEY)), [_KEY])
+    others = [F.col(f"`{c}`") for c in new.columns if c != _KEY]
+    return new.select(*[F.col(f"{_KEY}.{k}").alias(k) for k in keys], *others)
+
+
 #: Load dates of one batch that are looked up one by one in the target; a batch of more looks up all days between.
 MAX_DATES = 400
 
@@ -140,6 +168,8 @@ def _new_of_batch(
 ) -> DataFrame:
     if layout.bucket_by and set(layout.bucket_by) <= set(keys):
         batch = in_buckets(batch, layout)
+    elif dedup:
+        return new_of_batch(batch, target, keys, order, dates, date_column)
     unique = one_per_batch_key(batch, keys, order) if dedup else with_key(batch, keys)
     return new_rows(unique, target, keys, dates, date_column)
 

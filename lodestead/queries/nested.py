@@ -10,8 +10,7 @@ from lodestead.functions import casts
 from lodestead.functions.json_text import repair_surrogates
 from lodestead.functions.text import bedrooms_from_typology, clean_suffix
 from lodestead.operators import details, filters, projections
-from lodestead.plans.loads import one_per_batch_key
-from lodestead.operators.keys import new_rows as rows_not_in
+from lodestead.plans.loads import new_of_batch
 from lodestead.queries.registry import query, spread_table, table
 
 
@@ -145,7 +144,7 @@ def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
         .select(F.concat(F.lit("order-"), F.col("o_orderkey")).alias("slug"), F.lit("2024-05-02").cast("date").alias("ingestionDate"))
     )
     keys = ["slug", "ingestionDate"]
-    return _shown(rows_not_in(one_per_batch_key(twice, keys, ["dateCreated", "id"]), held, keys, ["2024-05-02"]))
+    return _shown(new_of_batch(twice, held, keys, ["dateCreated", "id"], ["2024-05-02"]))
 
 
 #: Stands for 2.0 as a JSON number, which no Spark type is written as.
